@@ -38,6 +38,11 @@ def as_col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(c: Column | str, body) -> Column:
+    """body(x) with x bound to the value of c: long expressions that use it often stay short in the plan."""
+    return F.get(F.transform(F.array(as_col(c)), body), F.lit(0))
+
+
 def fold_accents(c: Column | str) -> Column:
     """Latin letters without their marks; other scripts stay as they are."""
     return F.regexp_replace(F.translate(as_col(c), ACCENTED, PLAIN), COMBINING, "")
@@ -45,15 +50,15 @@ def fold_accents(c: Column | str) -> Column:
 
 def repair_mojibake(c: Column | str) -> Column:
     """Undo UTF-8 that was read as windows-1252; text that does not round-trip comes back untouched."""
-    c = as_col(c)
     high = "".join(map(chr, CP1252_HIGH))
     low = "".join(map(chr, CP1252_HIGH.values()))
-    narrow = F.translate(c, high, low)
-    # encode() raises on characters beyond its set, so they never reach it
-    data = F.encode(F.when(narrow.rlike("^[\\x00-\\xff]*$"), narrow).otherwise(F.lit("")), "iso-8859-1")
-    fixed = F.decode(F.when(F.is_valid_utf8(data.cast("string")), data), "utf-8")
-    hit = c.rlike("[ÂÃâ]") & narrow.rlike("^[\\x00-\\xff]*$")
-    return F.when(hit, F.coalesce(fixed, c)).otherwise(c)
+
+    def decoded(narrow: Column, c: Column) -> Column:
+        # encode() raises on characters beyond its set, so only narrow text reaches it
+        data = F.encode(F.when(narrow.rlike("^[\\x00-\\xff]*$"), narrow), "iso-8859-1")
+        return let(data, lambda d: F.coalesce(F.decode(F.when(F.is_valid_utf8(d.cast("string")), d), "utf-8"), c))
+
+    return let(c, lambda x: F.when(x.rlike("[ÂÃâ]"), let(F.translate(x, high, low), lambda n: decoded(n, x))).otherwise(x))
 
 
 def normalize_separators(c: Column | str) -> Column:
