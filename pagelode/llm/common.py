@@ -7,7 +7,7 @@ import tempfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelode.functions.text import as_col, fold_accents, repair_mojibake
+from pagelode.functions.text import fold_accents, let, repair_mojibake
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,11 +45,14 @@ FRAGMENTS = _fragments()
 
 def repair_fragments(c: Column | str) -> Column:
     """Like repair_mojibake, but also where only parts of the text are damaged."""
-    c = as_col(c)
-    fixed = c
-    for bad, good in FRAGMENTS:
-        fixed = F.replace(fixed, F.lit(bad), F.lit(good))
-    return F.when(c.rlike("[ÃâÂ]"), fixed).otherwise(c)
+
+    def fixed(x: Column) -> Column:
+        y = x
+        for bad, good in FRAGMENTS:
+            y = F.replace(y, F.lit(bad), F.lit(good))
+        return F.when(x.rlike("[ÃâÂ]"), y).otherwise(x)
+
+    return let(c, fixed)
 
 
 def plain(c: Column | str) -> Column:

@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagelode.llm import canonical
+from pagelode.llm import canonical, survivor
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p2_found": survivor.p2_found,
+    "p2_survivors": survivor.p2_survivors,
     "p4_found": canonical.p4_found,
 }
 ORACLES: dict[str, str] = {}
