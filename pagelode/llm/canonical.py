@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pagelode.llm.common import deletions, letters_for_digits, plain, table
+from pagelode.llm.common import cut, deletions, letters_for_digits, plain, table
 
 
 @dataclass(frozen=True)
@@ -132,11 +132,11 @@ def map_texts(texts: DataFrame, entries: DataFrame, rules: Rules) -> DataFrame:
     n = entries.count()
     small = n <= rules.broadcast_entries
     hint = F.broadcast if small else (lambda x: x)
-    parts, words = _vocabulary(entries, n, rules)
+    parts, words = (cut(x) for x in _vocabulary(entries, n, rules))  # as small as the list, read many times
     said = texts.select("text", F.explode(tokens(F.col("text"), rules)).alias("token"))
     rep = _repairs(said.select("token").distinct(), words, rules, small)
     idf = parts.select("tok", "idf").distinct()
-    rep = rep.join(hint(idf), "tok")
+    rep = cut(rep.join(hint(idf), "tok"))
     top = float(math.log(1 + max(n, 1)))
     # weight of a typed word: of its best reading; rules.unknown of the highest where it has none
     weight = rep.groupBy("token").agg(F.max(F.struct(F.col("sim"), F.col("idf"))).alias("b")).select("token", F.col("b.idf").alias("wt"))

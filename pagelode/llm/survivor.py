@@ -82,36 +82,37 @@ def evidence(rows: DataFrame, trust: DataFrame, cities: DataFrame) -> DataFrame:
 
 
 def _policy(said: DataFrame, hints: DataFrame | None) -> DataFrame:
-    """(dup_group, field, key): skyline over recency and trust for each field, then the lexicographic policy.
+    """(dup_group, field, key, show): skyline over recency and trust for each field, then the lexicographic policy.
 
-    said: (dup_group, field, key, at, trust) distinct; hints: (dup_group, field, text): letters the value should agree with."""
+    hints: (dup_group, field, text): letters the value should agree with."""
     reliable = F.col("trust") >= RELIABLE_FROM
     # the undominated reliable report is the latest one: one combinable maximum per field, whatever the group's size
-    top = said.filter(reliable).groupBy("dup_group", "field").agg(F.max(F.struct("at", F.col("key"))).alias("r"))
-    low = said.filter(~reliable).join(top, ["dup_group", "field"], "left").filter(F.col("r").isNull() | (F.col("at") > F.col("r.at")))
-    old = said.filter(reliable).select("dup_group", "field", "key").distinct()
-    low = low.groupBy("dup_group", "field", "key").agg(F.count("*").alias("n"), F.max("trust").alias("trust"), F.max("at").alias("at"))
-    low = low.join(old, ["dup_group", "field", "key"], "left_anti")  # what a reliable source saw before is outdated
+    top = said.filter(reliable).groupBy("dup_group", "field").agg(F.max(F.struct("at", "key")).alias("r"))
+    late = ~reliable & (F.col("r").isNull() | (F.col("at") > F.col("r.at")))
+    each = said.join(top, ["dup_group", "field"], "left").groupBy("dup_group", "field", "key").agg(
+        F.max("r").alias("r"), F.max(reliable).alias("sure"), F.count_if(late).alias("n"), F.max(F.when(late, F.col("trust"))).alias("trust"),
+        F.max(F.when(late, F.col("at"))).alias("at"), F.max(F.struct(F.length(F.encode("show", "utf-8")).alias("b"), "show")).alias("s"),
+    )
+    agrees = F.lit(0)
     if hints is not None:
-        low = low.join(hints, ["dup_group", "field"], "left")
+        each = each.join(hints, ["dup_group", "field"], "left")
         a, b = F.regexp_replace(F.substring_index("key", "@", 1), "[^a-z]", ""), F.regexp_replace(F.col("text"), "[^a-z]", "")
-        agrees = F.coalesce(F.when(F.col("field") == "decision_maker_last_name", F.endswith(b, a)).otherwise(F.contains(a, b) & (F.length(b) > 2)), F.lit(False))
-        low = low.withColumn("n", F.col("n") + agrees.cast("int"))
-    best = low.groupBy("dup_group", "field").agg(F.max(F.struct("n", "trust", "at", "key")).alias("l"))
-    both = top.join(best, ["dup_group", "field"], "full")
-    return both.select("dup_group", "field", F.when(F.col("r").isNull() | (F.col("l.n") >= 2), F.col("l.key")).otherwise(F.col("r.key")).alias("key"))
+        fits = F.when(F.col("field") == "decision_maker_last_name", F.endswith(b, a)).otherwise(F.endswith(a, b) & (F.length(b) > 2))
+        agrees = F.coalesce(fits, F.lit(False)).cast("int")
+    low = F.when(~F.col("sure") & (F.col("n") > 0), F.struct((F.col("n") + agrees).alias("n"), "trust", "at", "key", F.col("s.show").alias("show")))
+    kept = F.when(F.col("key") == F.col("r.key"), F.struct("key", F.col("s.show").alias("show")))
+    best = each.groupBy("dup_group", "field").agg(F.max(low).alias("l"), F.max(kept).alias("k"))
+    pick = F.when(F.col("k").isNull() | (F.col("l.n") >= 2), F.struct("l.key", "l.show")).otherwise(F.struct("k.key", "k.show"))
+    return best.select("dup_group", "field", pick.alias("p")).select("dup_group", "field", "p.key", "p.show").filter("key is not null")
 
 
 def winners(rows: DataFrame, trust: DataFrame, cities: DataFrame) -> DataFrame:
     """(dup_group, field, show): the surviving value of each field of each group, in lower case."""
-    said = cut(evidence(rows, trust, cities))  # read seven times below
-    shown = said.groupBy("dup_group", "field", "key", "show").agg(F.count("*").alias("n"))
-    shown = shown.groupBy("dup_group", "field", "key").agg(F.max(F.struct("n", F.length(F.encode("show", "utf-8")).alias("b"), "show")).alias("s")).select("dup_group", "field", "key", F.col("s.show").alias("show"))
-    facts = said.select("dup_group", "field", "key", "at", "trust").distinct()
-    first = _policy(facts, None)
+    said = cut(evidence(rows, trust, cities).distinct())  # read four times
+    first = _policy(said, None)
     swap = F.when(F.col("field") == "public_direct_email", F.lit("decision_maker_last_name")).when(F.col("field") == "decision_maker_last_name", F.lit("public_direct_email"))
     hints = first.select("dup_group", swap.alias("field"), F.substring_index("key", "@", 1).alias("text")).filter("field is not null")
-    return _policy(facts, hints).join(shown, ["dup_group", "field", "key"]).select("dup_group", "field", "show")
+    return _policy(said, cut(hints)).select("dup_group", "field", "show")
 
 
 def _held(name: str) -> Column:
