@@ -4,12 +4,18 @@ from __future__ import annotations
 
 import tempfile
 
+import pagelode.llm
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagelode.functions.text import fold_accents, let, repair_mojibake
 
 
+# Functions run on workers travel with their code: no node but the driver needs this package.
+cloudpickle.register_pickle_by_value(pagelode.llm)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

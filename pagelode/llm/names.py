@@ -21,24 +21,25 @@ DECOR = (
     r"^\W*(?:welcome to|home of|home)\b\W*", r"\W+official(?: site)?\W*$", r"\W+(?:indoor|ind\.?) courts?\W*$", r"\W+courts\W*$", r"\W+(?:home|homepage)\W*$",
     r",? +(?:inc|llc|l\.l\.c|corp|co|ltd|incorporated|limited)\b\.?(?=\W*$|\W+[|–-])", r", ny\b", r"\bn\.y\.",
 )
+NOT_NAMES = {"welcome", "official", "home", "site", "courts", "court", "corp", "unit", "number", "ball"}
 UNIT = re.compile(r"(?:#|\bno\.?|\bnr\.?|\bunit|\bsite|\bnumber|\bnum\.?) *0*([0-9]+)\b|\(0*([0-9]+)\)|\b0*([0-9]{1,4})\b")
 FREE_MAIL = {"mailnest.example", "quickpost.example", "gmail.com", "yahoo.com", "hotmail.com", "outlook.com", "aol.com", "icloud.com"}
 PAGES = {"", "contact", "courts", "index.html", "about", "staff", "home", "index.htm", "index.php"}
 # Given names and their short forms, public knowledge of English usage.
 NICKNAMES = {
-    "abigail": "abby gail", "alexander": "alex al xander sandy", "alexandra": "alex lexi sandra", "andrew": "andy drew", "anthony": "tony", "benjamin": "ben benny benji",
-    "beatriz": "bea", "catherine": "cathy kate cat", "charles": "charlie chuck chas", "christian": "chris", "christine": "chris chrissy tina", "christopher": "chris topher kit", "daniel": "dan danny",
-    "david": "dave davey", "deborah": "deb debbie debra", "dorothy": "dot dottie dolly", "edward": "ed eddie ted ned", "elizabeth": "liz beth eliza betty lizzie betsy", "emily": "em emmy",
-    "francisco": "paco pancho fran", "frederick": "fred freddie", "gerald": "gerry jerry", "gregory": "greg", "henry": "hank harry", "jacob": "jake", "james": "jim jimmy jamie", "jennifer": "jen jenny jenn",
-    "jessica": "jess jessie", "john": "jack johnny", "jonathan": "jon", "joseph": "joe joey", "joshua": "josh", "julian": "jules", "katherine": "kate kathy katie kat kathie", "kenneth": "ken kenny",
+    "abigail": "abby gail", "alexander": "alex al xander sandy sasha", "alexandra": "alex lexi sandra", "andrew": "andy drew", "anthony": "tony ant", "benjamin": "ben benny benji",
+    "beatriz": "bea bia betty", "catherine": "cathy kate cat", "charles": "charlie chuck chas chad", "christian": "chris", "christine": "chris chrissy tina christy kristy", "christopher": "chris topher kit", "daniel": "dan danny",
+    "david": "dave davey", "deborah": "deb debbie debra", "dorothy": "dot dottie dolly", "edward": "ed eddie ted ned edw", "elizabeth": "liz beth eliza betty lizzie betsy", "emily": "em emmy",
+    "francisco": "paco pancho fran frank cisco", "frederick": "fred freddie", "gerald": "gerry jerry", "gregory": "greg", "henry": "hank harry", "jacob": "jake", "james": "jim jimmy jamie", "jennifer": "jen jenny jenn",
+    "jessica": "jess jessie", "john": "jack johnny", "jonathan": "jon", "joseph": "joe joey jos", "josephine": "jo josie josey", "joshua": "josh", "julian": "jules", "katherine": "kate kathy katie kat kathie kitty kay", "kenneth": "ken kenny",
     "lawrence": "larry", "leonard": "len lenny leo", "margaret": "meg maggie peggy marge", "martin": "marty", "matthew": "matt matty", "michael": "mike mick mikey", "michelle": "shelly", "nathaniel": "nate nat",
-    "nicholas": "nick nicky", "patricia": "pat patty tricia trish", "patrick": "pat paddy", "peter": "pete", "philip": "phil", "rebecca": "becky becca", "richard": "rick dick rich ricky richie", "robert": "bob rob bobby robbie",
-    "ronald": "ron ronnie", "rosalind": "roz rosie", "samantha": "sam sammy", "samuel": "sam sammy", "stephanie": "steph stephie", "stephen": "steve stevie", "steven": "steve stevie", "susan": "sue susie suzie",
-    "theodore": "ted theo teddy", "thomas": "tom tommy", "timothy": "tim timmy", "victoria": "vicky vicki tori", "victor": "vic", "vincent": "vince vinny", "william": "bill will billy willie liam", "zachary": "zach zack",
+    "nicholas": "nick nicky", "patricia": "pat patty tricia trish", "patrick": "pat paddy", "peter": "pete", "philip": "phil", "rebecca": "becky becca", "richard": "rick dick rich ricky richie", "robert": "bob rob bobby robbie robt",
+    "ronald": "ron ronnie", "rosalind": "roz rosie", "samantha": "sam sammy", "samuel": "sam sammy", "stephanie": "steph stephie", "stephen": "steve stevie", "steven": "steve stevie", "susan": "sue susie suzie suzy",
+    "theodore": "ted theo teddy", "thomas": "tom tommy thos", "timothy": "tim timmy", "victoria": "vicky vicki tori", "victor": "vic", "vincent": "vince vinny", "william": "bill will billy willie liam wm", "zachary": "zach zack",
 }
 HONOR = {"mr", "mrs", "ms", "mx", "dr", "prof", "coach", "miss", "sir", "rev", "pro"}
 AFTER = {"jr", "sr", "ii", "iii", "iv", "ccp", "mba", "phd", "pga", "uspta", "ppr", "cpa", "esq", "md", "rn"}
-PARTICLES = {"de", "la", "van", "der", "el", "saint", "von", "del", "di", "du", "st"}
+PARTICLES = {"de", "la", "vander", "dela", "van", "der", "el", "saint", "von", "del", "di", "du", "st"}
 
 
 def _accents() -> dict[int, str]:
@@ -141,7 +142,8 @@ class Lexicon:
         self.side = {w for _, ws in self.entries for w in ws} - set(self.content)
         self.near_city = Near(w for w in self.content if len(w) >= 5)
         self.near_kind = Near(KIND_WORDS)
-        self.common = set(common)
+        self.common = {w for w in common if len(w) > 3 and w not in KIND_WORDS and w not in NOT_NAMES}
+        self.near_common = Near(w for w in self.common if w not in self.content and w not in self.side)
         self._kind: dict[str, str] = {}
 
     def kind(self, t: str) -> str:
@@ -154,9 +156,9 @@ class Lexicon:
             return KIND_SHORT[t]
         if t in KIND_WORDS:
             return t
-        if t in self.common:
-            return ""
         hit = self.near_kind.find(t)
+        if t in self.common and re.search("[aeiouy]", t[1:]) and not (hit and hit[1] <= 1):
+            return ""
         if hit:
             return hit[0]
         if len(t) >= 3 and (starts := [w for w in KIND_WORDS if w.startswith(t)]):
@@ -169,7 +171,7 @@ class Lexicon:
         """(id, positions) of the city named by words, 0 if none; whole: words are nothing but a city, so cut words count."""
         for at in range(len(words) - 1, -1, -1):
             w = words[at]
-            hit = self.near_city.find(w) if len(w) >= 5 and w not in self.common else None
+            hit = self.near_city.find(w) if len(w) >= 5 and (w in self.content or w not in self.common) else None
             if not hit and whole and len(w) >= 5 and (c := [x for x in self.content if x.startswith(w)]) and len(c) == 1:
                 hit = (c[0], 1)
             if hit:
@@ -196,30 +198,35 @@ def parse_facility(raw: str | None, lex: Lexicon) -> dict:
     s = re.sub(r"^\W*the\b", " ", s)
     s = re.sub(r"\bpickle ball\b", "pickleball", re.sub(r"\bfield house\b", "fieldhouse", s))
     s = re.sub(r"\bp-ball\b", "pickleball", re.sub(r"\bv-ball\b", "volleyball", s))
-    s = re.sub(r"\b((?:[a-z]\.){2,}[a-z]?)", lambda m: m[1].replace(".", "") + " ", s)
+    initials = ""
+    if m := re.search(r"\b(?:[a-z]\.){2,}[a-z]?", s):
+        initials, s = re.sub("[^a-z]", "", m[0]), s[: m.start()] + " " + s[m.end() :]
     unit = ""
-    for m in UNIT.finditer(s):
-        unit = (m[1] or m[2] or m[3]).lstrip("0") or "0"
-        s = s[: m.start()] + " " + s[m.end() :]
-        break
-    ws = words_of(s)
-    city, used = lex.city(ws) if len(ws) > 1 else (0, [])
-    if city and len(ws) - len(used) < 1:
-        city, used = 0, []
-    ws = [w for k, w in enumerate(ws) if k not in used]
-    core, kinds, initials = [], [], ""
+    if m := UNIT.search(s):
+        unit, s = (m[1] or m[2] or m[3]).lstrip("0") or "0", s[: m.start()] + " " + s[m.end() :]
+    ws, city = words_of(s), 0
+    town = ""
+    for _ in range(3):
+        at, used = lex.city(ws[1:]) if len(ws) > 1 else (0, [])
+        if not at:
+            break
+        if not city:
+            city, town = at, "".join(ws[k + 1][0] for k in used)
+        ws = [w for k, w in enumerate(ws) if k - 1 not in used]
+    if len(ws) == 1 and len(ws[0]) <= 7 and re.search(r"\b" + ws[0].upper() + r"\b", raw or "") and not initials and not unit:
+        return {"core": [], "kinds": [], "unit": "", "city": city, "initials": ws[0], "acro": ws[0], "acro_town": ws[0]}
+    core, kinds, acro = [], [], "".join(w[0] for w in ws if w not in ("and", "of", "the"))
     for k, w in enumerate(ws):
         if w in ("and", "of", "the", "a", "at", "ny"):
             continue
-        kd = lex.kind(w)
-        if kd and (len(w) > 1) and not (k == 0 and len(ws) > 1 and kd != w and len(w) > 6 and not any(lex.kind(x) for x in ws[1:])):
+        kd = lex.kind(w) if len(w) > 1 else ""
+        if kd and not (k == 0 and len(w) > 6 and kd != w and not any(lex.kind(x) for x in ws[1:])):
             kinds.append(kd)
-        elif len(w) <= 5 and not re.search("[aeiouy]", w[1:]) and w.isalpha() and k == len(ws) - 1 and w not in lex.common:
-            initials = w
         elif len(w) == 1:
             initials += w
         else:
-            core.append(w)
+            near = lex.near_common.find(w) if len(w) > 3 and w not in lex.common else None
+            core.append(near[0] if near else w)
     if "sports" in kinds and "plex" in kinds:
         kinds = [x for x in kinds if x not in ("sports", "plex")] + ["sportsplex"]
     if len(core) == 1 and len(core[0]) >= 9 and core[0] not in lex.common:
@@ -227,7 +234,7 @@ def parse_facility(raw: str | None, lex: Lexicon) -> dict:
             if core[0][cut:] in lex.common and core[0][cut:] not in KIND_WORDS:
                 core = [core[0][:cut], core[0][cut:]]
                 break
-    return {"core": core, "kinds": sorted(set(kinds)), "unit": unit, "city": city, "initials": initials}
+    return {"core": core, "kinds": sorted(set(kinds)), "unit": unit, "city": city, "initials": initials, "acro": acro, "acro_town": acro + town}
 
 
 def parse_host(website: str | None, email_domain: str | None, emails: Iterable[str | None] = ()) -> tuple[str, str]:
@@ -257,9 +264,10 @@ def parse_person(raw: str | None) -> tuple[list[str], list[str]]:
     """(given, family) words as typed, order repaired where a comma or particles show it; single letters stay as initials."""
     s = plain(raw)
     s = re.sub(r"\s[-–—|*(/;].*$", "", s)
+    s = re.sub(r",[^,]*/.*$", "", s)
     s = re.sub(r"[*\"()]", " ", s)
     head, _, tail = s.partition(",")
-    tw = [w for w in re.split(r"[^a-z']+", tail) if w and w not in AFTER]
+    tw = [] if "/" in tail else [w for w in re.split(r"[^a-z']+", tail) if w and w not in AFTER]
     clean = lambda x: [w.replace("'", "") for w in re.split(r"[\s.,]+", x) if w.strip(".'-") and w.strip(".") not in HONOR | AFTER]
     if tw:
         return [w for w in clean(tail) if "-" not in w], _family(clean(head))
@@ -276,3 +284,45 @@ def parse_person(raw: str | None) -> tuple[list[str], list[str]]:
 
 def _family(ws: list[str]) -> list[str]:
     return [w for x in ws for w in x.split("-") if w]
+
+
+class Titles:
+    """Job titles by the entry of a list they come nearest to; '' where none fits."""
+
+    def __init__(self, entries: Iterable[str], synonyms: dict[str, str]):
+        self.entries = [(n, [w for w in re.split("[^a-z]+", plain(n)) if w and w not in ("of", "and", "the")]) for n in entries]
+        self.df: dict[str, int] = {}
+        for _, ws in self.entries:
+            for w in set(ws):
+                self.df[w] = self.df.get(w, 0) + 1
+        self.short: dict[str, list[str]] = {}
+        for _, ws in self.entries:
+            if len(ws) > 1:
+                self.short.setdefault("".join(w[0] for w in ws), []).append(" ".join(ws))
+        self.near, self.syn = Near(self.df), synonyms
+        self.seen: dict[str, str] = {}
+
+    def _read(self, t: str) -> set[str]:
+        if t in self.df:
+            return {t}
+        if t in self.syn:
+            return {self.syn[t]}
+        if len(self.short.get(t, ())) == 1:
+            return set(self.short[t][0].split())
+        if hit := self.near.find(t):
+            return {hit[0]}
+        return {w for w in self.df if (w.startswith(t) and len(t) >= 3) or (len(t) <= 8 and skeleton(t, w))}
+
+    def key(self, raw: str | None) -> str:
+        s = re.sub(r"(?<=\b[a-z])\.(?=[a-z]\b)", "", plain(raw))
+        if s not in self.seen:
+            said = [self._read(w) for w in re.split("[^a-z]+", s.replace("'", "").replace("co-ord", "coord")) if w and w not in ("of", "the", "our", "interim", "acting", "title", "since", "full", "time", "main", "building", "ny", "see", "staff", "page", "whole")]
+            best = ("", 0.0)
+            for n, ws in self.entries:
+                got = sum(1 / self.df[w] for w in ws if any(w in x for x in said))
+                all_ = sum(1 / self.df[w] for w in ws)
+                lost = sum(0.5 for x in said if not x & set(ws))
+                if got / (all_ + lost) > best[1]:
+                    best = (n, got / (all_ + lost))
+            self.seen[s] = best[0] if best[1] >= 0.5 else ""
+        return self.seen[s]

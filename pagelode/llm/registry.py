@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagelode.llm import canonical, survivor
+from pagelode.llm import canonical, survivor, variants
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p1_found": variants.p1_found,
     "p2_found": survivor.p2_found,
     "p2_survivors": survivor.p2_survivors,
     "p4_found": canonical.p4_found,
