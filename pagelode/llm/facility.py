@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -34,7 +35,10 @@ FACILITY_SCHEMA = "id long, core string, kinds array<string>, unit string, ncity
 
 
 def facility_records(rows: DataFrame, cities: list[tuple[int, str]], common: list[str]) -> DataFrame:
-    """rows(id, name, website, city, email_domain, shared, direct, first, last, courts) in comparable form, one row each."""
+    """rows(id, name, website, city, email_domain, shared, direct, first, last, courts) in comparable form, one row each.
+
+    Optional columns: address (a postal address that names the city) and person (a full name) where city and last are missing."""
+    rows = rows.select("id", "name", "website", "city", "email_domain", "shared", "direct", "first", "last", "courts", *[F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in ("address", "person")])
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lex = names.Lexicon(cities, common)
@@ -45,15 +49,21 @@ def facility_records(rows: DataFrame, cities: list[tuple[int, str]], common: lis
                 host, slug = names.parse_host(r.website, r.email_domain, (r.shared,))
                 place = names.words_of(names.plain(r.city))
                 given, family = names.plain(r.first), "".join(names.parse_person(r.last)[1]) if r.last else ""
+                town = lex.city(place, whole=True)[0]
+                if r.address:
+                    town = lex.city(names.words_of(re.sub(r"\bnew york\b|\busa\b|\bn\.?y\b\.?", " ", names.plain(r.address))))[0]
+                if r.person:
+                    g, f = names.parse_person(r.person)
+                    given, family = "".join(g), "".join(f)
                 direct = names.plain(r.direct)
                 generic = bool(p["core"]) and all(w in lex.common for w in p["core"])
                 out.append((
-                    r.id, " ".join(p["core"]), p["kinds"], p["unit"], p["city"], lex.city(place, whole=True)[0], p["initials"], p["acro"], p["acro_town"], host, slug, given,
+                    r.id, " ".join(p["core"]), p["kinds"], p["unit"], p["city"], town, p["initials"], p["acro"], p["acro_town"], host, slug, given,
                     family if len(family) > 2 else "", direct if "@" in direct else "", None if pd.isna(r.courts) or not 1 <= r.courts <= 60 else int(r.courts), generic,
                 ))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in FACILITY_SCHEMA.split(", ")])
 
-    return rows.select("id", "name", "website", "city", "email_domain", "shared", "direct", "first", "last", "courts").mapInPandas(parse, FACILITY_SCHEMA)
+    return rows.mapInPandas(parse, FACILITY_SCHEMA)
 
 
 def master_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +73,15 @@ def master_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def outreach_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    email = F.coalesce("contact_email", "work_email", "final_email")
+    none = F.lit(None).cast("string")
+    return table(spark, sf_dir, "n8n_indoor_courts_5_row_reference").select(
+        F.col("track_row_id").alias("id"), F.col("company_name").alias("name"), "website", none.alias("city"), F.regexp_extract(F.lower(F.trim(email)), "@(.+)$", 1).alias("email_domain"),
+        none.alias("shared"), email.alias("direct"), none.alias("first"), none.alias("last"), F.lit(None).cast("int").alias("courts"), "address", F.col("contact_name").alias("person"),
+    )
+
+
 def grams(text: Column, n: int = 4) -> Column:
     """Distinct character n-grams of a text; a shorter text is its only gram."""
     last = F.length(text) - (n - 1)
@@ -84,7 +103,7 @@ def facility_similarity(a: str, b: str) -> Column:
     both = lambda c: (f(a, c) > 0) & (f(b, c) > 0)
     sa, sb = F.replace(f(a, "core"), F.lit(" ")), F.replace(f(b, "core"), F.lit(" "))
     shorter = F.least(F.length(sa), F.length(sb))
-    head = (shorter >= 5) & (F.startswith(sa, sb) | F.startswith(sb, sa))
+    head = (shorter >= 5) & (F.startswith(sa, sb) | F.startswith(sb, sa)) & (f(a, "initials") == "") & (f(b, "initials") == "")
     wa, wb = F.substring_index(f(a, "core"), " ", 1), F.substring_index(f(b, "core"), " ", 1)
     # a name partly in initials: its first word and the first letter of the next word of the other
     part = lambda p, q, w, v: (f(p, "initials") != "") & (f(q, "initials") == "") & (ratio(w, v) >= 0.7) & ((f(p, "initials") == F.substring(f(q, "acro"), 2, 99)) | (f(p, "initials") == F.substring(f(q, "acro_town"), 2, 99))) & (f(p, "core") != "")
@@ -92,12 +111,13 @@ def facility_similarity(a: str, b: str) -> Column:
     whole = lambda p, q: F.coalesce((F.length(short(p)) >= 2) & ((short(p) == f(q, "acro")) | (short(p) == f(q, "acro_town"))), F.lit(False))
     slug = lambda p, s: (F.length(f(p, "slug")) >= 6) & (F.startswith(s, f(p, "slug")) | F.startswith(f(p, "slug"), s)) & (F.length(s) >= 6)
     core = F.greatest(
-        ratio(sa, sb), F.when(head, 0.92).otherwise(0.0), F.when(part(a, b, wa, wb) | part(b, a, wb, wa), 0.9).otherwise(0.0), F.when(whole(a, b) | whole(b, a), 0.8).otherwise(0.0),
+        ratio(sa, sb), F.when(head, 0.9).otherwise(0.0), F.when(part(a, b, wa, wb) | part(b, a, wb, wa), 0.9).otherwise(0.0), F.when(whole(a, b) | whole(b, a), 0.8).otherwise(0.0),
+        F.when(same("host") & (short(a).isNotNull() | short(b).isNotNull()), 0.85).otherwise(0.0),
         F.when(((f(a, "core") == "") & slug(a, sb)) | ((f(b, "core") == "") & slug(b, sa)), 0.9).otherwise(0.0),
     )
     told = lambda p: F.filter(f(p, "kinds"), lambda k: ~k.isin(*names.GENERIC))
     ka, kb = told(a), told(b)
-    kind = F.when((F.size(ka) == 0) | (F.size(kb) == 0), 0.0).when(F.size(F.array_intersect(ka, kb)) * 2 >= F.least(F.size(ka), F.size(kb)), 0.5).otherwise(-2.5)
+    kind = F.when((F.size(ka) == 0) | (F.size(kb) == 0), 0.0).when(F.size(F.array_intersect(ka, kb)) * 2 >= F.least(F.size(ka), F.size(kb)), 0.5).otherwise(-4.5)
     host = F.when(~have("host"), 0.0).when(f(a, "host") == f(b, "host"), 2.5).otherwise(-4.0)
     place = F.when(both("ncity"), F.when(f(a, "ncity") == f(b, "ncity"), 1.0).otherwise(-6.0)).otherwise(0.0)
     either = (f(a, "ccity") > 0) & ((f(a, "ccity") == f(b, "ccity")) | (f(a, "ccity") == f(b, "ncity"))) | (f(b, "ccity") > 0) & (f(b, "ccity") == f(a, "ncity"))
@@ -106,8 +126,18 @@ def facility_similarity(a: str, b: str) -> Column:
     chain = F.when((f(a, "generic") | f(b, "generic")) & ~same("unit"), F.when(either & (same("family") | same("email")), 0.0).otherwise(-4.0)).otherwise(0.0)
     person = F.when(same("family"), 1.2).when(have("family"), -0.3).otherwise(0.0) + F.when(same("email"), 1.5).otherwise(0.0)
     courts = F.when(f(a, "courts") == f(b, "courts"), 0.5).when(f(a, "courts") != f(b, "courts"), -0.2).otherwise(0.0)
+    # a host or a page name starts with the name it was made of
+
+    def made_of(p: str, q: str, sq: Column) -> Column:
+        fits = lambda x: F.levenshtein(F.substring(x, F.lit(1), F.least(F.length(x), F.length(sq))), F.substring(sq, F.lit(1), F.least(F.length(x), F.length(sq)))) <= 2
+        full = f(q, "core").contains(" ") & ~f(q, "generic")
+        by_host = F.when((f(p, "host") != "") & (f(q, "host") == "") & full, F.when(fits(f(p, "host")), 1.0).otherwise(-2.5)).otherwise(0.0)
+        by_slug = F.when((F.length(f(p, "slug")) >= 9) & full, F.when(fits(f(p, "slug")), 0.5).otherwise(-2.0)).otherwise(0.0)
+        return by_host + by_slug
+
+    made = made_of(a, b, sb) + made_of(b, a, sa)
     # logistic in the fields; the core counts from a ratio of about 0.75 up
-    z = 14.0 * (F.least(core, F.lit(0.95)) - 0.8) + kind + host + place + town + unit + chain + person + courts
+    z = 14.0 * (F.least(core, F.lit(0.95)) - 0.8) + kind + host + place + town + unit + chain + person + courts + made
     # branches told apart by number or by the city in their names are certain not to be one
     apart = (have("unit") & (f(a, "unit") != f(b, "unit"))) | (both("ncity") & (f(a, "ncity") != f(b, "ncity")))
     return F.when(apart, -1.0).otherwise(F.round(1 / (1 + F.exp(-z)), 4))
