@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagelode.llm import canonical, entities, survivor, variants
+from pagelode.llm import addresses, canonical, entities, survivor, variants
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": variants.p1_found,
     "p2_found": survivor.p2_found,
     "p2_survivors": survivor.p2_survivors,
+    "p3_found": addresses.p3_found,
+    "p3_rewrites": addresses.p3_rewrites,
     "p4_found": canonical.p4_found,
     "p5_found": entities.p5_found,
     "p5_matches": entities.p5_matches,
