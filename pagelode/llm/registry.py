@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagelode.llm import addresses, canonical, entities, survivor, variants
+from pagelode.llm import addresses, canonical, entities, sentences, survivor, variants
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": variants.p1_found,
@@ -17,5 +17,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_found": canonical.p4_found,
     "p5_found": entities.p5_found,
     "p5_matches": entities.p5_matches,
+    "p8_found": sentences.p8_found,
 }
 ORACLES: dict[str, str] = {}
