@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagelode.llm import addresses, canonical, entities, sentences, survivor, variants
+from pagelode.llm import addresses, canonical, entities, mixing, sentences, survivor, tokens, variants
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": variants.p1_found,
@@ -17,6 +17,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_found": canonical.p4_found,
     "p5_found": entities.p5_found,
     "p5_matches": entities.p5_matches,
+    "p6_ids": tokens.p6_ids,
+    "p6_round_trip": tokens.p6_round_trip,
+    "p7_mix": mixing.p7_mix,
+    "p7_shares": mixing.p7_shares,
     "p8_found": sentences.p8_found,
 }
 ORACLES: dict[str, str] = {}
