@@ -78,3 +78,87 @@ def blank_to_null(c: Column | str) -> Column:
     """Null where nothing but white space is left, else the trimmed text."""
     t = squash_spaces(c)
     return F.when(F.length(t) > 0, t)
+
+
+def edge(ignore: str = "") -> str:
+    """An ASCII word boundary: Java's own \\b also counts letters beyond ASCII."""
+    w = "[A-Za-z0-9_]"
+    return f"(?:(?<={w})(?!{w})|(?<!{w})(?={w}))"
+
+
+def ascii_words(pattern: str) -> str:
+    """A pattern whose \\b are ASCII word boundaries."""
+    return pattern.replace("\\b", edge())
+
+
+def any_word(words) -> str:
+    """Alternation of literal words, longest first, quoted for a regular expression."""
+    quoted = ["".join("\\" + c if c in ".^$*+?()[]{}|\\/-" else c for c in w) for w in words]
+    return "|".join(sorted(quoted, key=lambda w: (-len(w), w)))
+
+
+def name_key(c: Column | str) -> Column:
+    """Name reduced for comparison: ASCII letters and digits, filler words dropped; '' for null."""
+    from pagelode.profile import NAME_STOP_WORDS
+
+    c = F.regexp_replace(F.lower(F.coalesce(as_col(c), F.lit(""))), "[^a-z0-9]+", " ")
+    c = F.regexp_replace(c, ascii_words(f"\\b({'|'.join(NAME_STOP_WORDS)})\\b"), " ")
+    return F.trim(F.regexp_replace(c, "\\s+", " "))
+
+
+def title_case(c: Column | str) -> Column:
+    """All-capital or all-small text with capitals after a blank, an apostrophe or a hyphen; mixed case stays; '' for null."""
+
+    def body(t: Column) -> Column:
+        parts = F.split(F.lower(t), "(?<=[\\s'’-])")
+        capital = F.transform(parts, lambda p: F.when(p.rlike("^[a-z]"), F.concat(F.upper(F.substring(p, 1, 1)), F.substring(p, 2, 10_000))).otherwise(p))
+        return F.when((t != F.upper(t)) & (t != F.lower(t)), t).otherwise(F.array_join(capital, ""))
+
+    return let(F.trim(F.coalesce(as_col(c), F.lit(""))), body)
+
+
+def normalize_city(c: Column | str, aliases: dict[str, str]) -> Column:
+    """Trailing marks cut, known short forms spelled out, shouted names in title case; '' for null."""
+
+    def body(t: Column) -> Column:
+        out = F.when(t == F.upper(t), F.array_join(F.transform(F.split(F.lower(t), "(?<![a-z0-9_])(?=[a-z])"), lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.substring(p, 2, 10_000))), "")).otherwise(t)
+        for pattern, name in aliases.items():
+            out = F.when(t.rlike(f"(?i){pattern}"), F.lit(name)).otherwise(out)
+        return out
+
+    return let(F.trim(F.regexp_replace(F.coalesce(as_col(c), F.lit("")), "[.'’-]+$", "")), body)
+
+
+def local_letters(c: Column | str) -> Column:
+    """Letters a-z of a name without marks, as they stand in an address; '' for null."""
+    return F.regexp_replace(fold_accents(F.lower(F.coalesce(as_col(c), F.lit("")))), "[^a-z]", "")
+
+
+def decode_entities(c: Column | str) -> Column:
+    """HTML character references read once, left to right; unknown names stay; white space squashed; '' for null."""
+    from pagelode.profile import ENTITIES
+
+    names = F.create_map(*[F.lit(x) for kv in ENTITIES.items() for x in kv])
+
+    def one(piece: Column) -> Column:
+        key = F.lower(F.regexp_extract(piece, "^&(#x[0-9a-fA-F]+|#\\d+|[a-zA-Z]+);", 1))
+        rest = F.regexp_replace(piece, "^&(?:#x[0-9a-fA-F]+|#\\d+|[a-zA-Z]+);", "")
+        code = F.when(key.startswith("#x"), F.conv(F.substring(key, 3, 8), 16, 10)).when(key.startswith("#"), F.substring(key, 2, 8)).try_cast("int")
+        # char() knows the first 256 code points only; the rest is read from its UTF-16 bytes
+        high = F.decode(F.unhex(F.lpad(F.hex(code), 4, "0")), "utf-16be")
+        astral = F.decode(F.unhex(F.concat(F.hex(55296 + F.floor((code - 65536) / 1024)), F.hex(56320 + (code - 65536) % 1024))), "utf-16be")
+        char = F.when(code.between(1, 65535), high).when(code.between(65536, 1114111), astral)
+        value = F.when(key.startswith("#"), char).otherwise(F.try_element_at(names, key))
+        return F.when((key == "") | value.isNull(), piece).otherwise(F.concat(value, rest))
+
+    pieces = lambda t: F.array_join(F.transform(F.split(t, "(?=&)"), one), "")
+    return let(F.coalesce(as_col(c), F.lit("")), lambda t: squash_spaces(F.when(t.contains("&"), pieces(t)).otherwise(t)))
+
+
+def html_to_text(c: Column | str) -> Column:
+    """Visible text of markup: scripts, styles and comments dropped, blocks to lines, tags cut, references read; '' for null."""
+    c = F.regexp_replace(F.coalesce(as_col(c), F.lit("")), "(?is)<(script|style|noscript|template)\\b.*?</\\1\\s*>|<!--.*?-->", " ")
+    c = F.regexp_replace(c, "(?i)<br\\s*/?>|</?(p|div|li|ul|ol|h[1-6]|tr|table|section|article|header|footer|nav|title|option|address|blockquote|dd|dt|dl|form)\\b[^>]*>", "\n")
+    c = F.regexp_replace(c, "<[^>]*>", "")
+    lines = F.transform(F.split(c, "\n"), decode_entities)
+    return F.array_join(F.filter(lines, lambda x: x != ""), "\n")

@@ -1,10 +1,485 @@
-"""Every query of the core by name, and the SQL that checks it."""
+"""Every query of the core by name, and the SQL that checks it where SQL can say it.
+
+Each query reads its whole tables. The SQL is written from the operators' descriptions and runs on another engine.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from pagelode.functions import extract as X
+from pagelode.functions import text as T
+from pagelode.functions import urls as U
+from pagelode.operators import contacts as C
+from pagelode.operators import facilities as A
+from pagelode.operators import keyed as K
+from pagelode.profile import (
+    FREE_MAIL_FINAL, FREE_MAIL_SEEN, HONORIFICS, INDOOR, LISTING_HOSTS, MASTHEADS, NAME_KINDS, NAME_STOP_WORDS, NOT_A_PERSON, OUTDOOR, PAID, PUBLISHER_DOMAINS, RETAIL_SIGNALS,
+    ROLE_LOCALS, SHARED_LOCALS, SPORTS, TEXT_KINDS, VANITY_LABELS, VENUE_WORDS, WEAK_MASTHEADS,
+)
+from pagelode.sources import csvio
+from pagelode.sources.stages import table
 
+MASTER, CANDIDATES, PLACES, OUTREACH = "new_york_indoor_court_facilities", "ny_indoor_courts_reoon_verification_input", "ny_indoor_courts_locations", "n8n_indoor_courts_5_row_reference"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Registers a query under its function's name, with the SQL that gives the same rows."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def quoted(words) -> str:
+    return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
+
+
+def re2(p: str) -> str:
+    return p.replace("'", "''")
+
+
+HOST_SQL = """regexp_replace(lower(CASE WHEN regexp_matches({c}, '^(?i)https?:') THEN
+ regexp_replace(regexp_extract({c}, '^(?i)https?:[/\\\\]*(?:[^/?#@\\\\]*@)?([^/?#\\\\]*)', 1), CASE WHEN regexp_matches({c}, '^(?i)http:') THEN ':(80)?$' ELSE ':(443)?$' END, '')
+ ELSE {c} END), '^www\\.', '')""".replace("^(?i)", "(?i)^")
+WEBSITE = "trim(coalesce(website, ''))"
+HOST = HOST_SQL.format(c=WEBSITE)
+
+
+def apex_sql(h: str) -> str:
+    lead = f"(len(string_split(regexp_extract({h}, '^((?:(?:{'|'.join(VANITY_LABELS)})\\.)*)', 1), '.')) - 1)"
+    n = f"len(string_split({h}, '.'))"
+    least = f"(CASE WHEN regexp_matches({h}, '(^|\\.)(co\\.uk|org\\.uk|com\\.au|co\\.nz|ny\\.us)$') THEN 3 ELSE 2 END)"
+    return f"array_to_string(list_slice(string_split({h}, '.'), greatest(least({lead}, {n} - {least}), 0) + 1, {n}), '.')"
+
+
+# ---------------------------------------------------------------- hosts and names
+
+
+@query(f"SELECT facility_row_id, {HOST} AS host, regexp_replace(website, '(?i)^http://', 'https://') AS secure_url FROM {MASTER}")
+def host_normalize(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, MASTER).select("facility_row_id", U.registrable_domain("website").alias("host"), U.prefer_https("website").alias("secure_url"))
+
+
+@query(f"""SELECT facility_row_id, {apex_sql('h')} AS apex, array_to_string(list_slice(string_split(h, '.'), greatest(len(string_split(h, '.')) - 1, 1), len(string_split(h, '.'))), '.') AS last_two
+FROM (SELECT facility_row_id, {HOST} AS h FROM {MASTER})""")
+def apex_domain(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, MASTER).select("facility_row_id", U.apex_domain("website").alias("apex"), U.last_two_labels(U.registrable_domain("website")).alias("last_two"))
+
+
+@query(f"""SELECT facility_row_id, h AS host, regexp_matches(h, '{"|".join(w.replace(".", "[.]") for w in sorted(set(LISTING_HOSTS)))}') AS listing, regexp_matches(h, '(?i)\\.(gov|mil|ny\\.us)$') AS government
+FROM (SELECT facility_row_id, {HOST} AS h FROM {MASTER})""")
+def host_filter(spark: SparkSession, d: str) -> DataFrame:
+    host = table(spark, d, MASTER).select("facility_row_id", U.registrable_domain("website").alias("host"))
+    return host.withColumns({"listing": U.is_listing_host("host"), "government": U.is_government_host("host")})
+
+
+@query(f"""SELECT facility_row_id, trim(regexp_replace(regexp_replace(regexp_replace(lower(coalesce(facility_name, '')), '[^a-z0-9]+', ' ', 'g'), '\\b({"|".join(NAME_STOP_WORDS)})\\b', ' ', 'g'), '\\s+', ' ', 'g')) AS name_key FROM {MASTER}""")
+def name_key(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, MASTER).select("facility_row_id", T.name_key("facility_name").alias("name_key"))
+
+
+@query(f"""SELECT n AS typed, CASE WHEN n <> upper(n) AND n <> lower(n) THEN n ELSE array_to_string(list_transform(regexp_extract_all(lower(n), '[^\\s''’-]*[\\s''’-]|[^\\s''’-]+$'),
+ lambda p: CASE WHEN regexp_matches(p, '^[a-z]') THEN upper(p[1]) || p[2:] ELSE p END), '') END AS shown
+FROM (SELECT DISTINCT trim(decision_maker_full_name, ' ') AS n FROM {CANDIDATES} WHERE decision_maker_full_name IS NOT NULL)""")
+def title_case(spark: SparkSession, d: str) -> DataFrame:
+    names = table(spark, d, CANDIDATES).filter("decision_maker_full_name is not null").select(F.trim("decision_maker_full_name").alias("typed")).distinct()
+    return names.select("typed", T.title_case("typed").alias("shown"))
+
+
+@query(f"""SELECT c AS typed, CASE WHEN regexp_matches(t, '^(?i)(nyc|new york city|n\\.?y\\.?c\\.?)$') THEN 'New York' WHEN t = upper(t) THEN
+ array_to_string(list_transform(regexp_extract_all(lower(t), '[a-z0-9_]+|[^a-z0-9_]+'), lambda p: upper(p[1]) || p[2:]), '') ELSE t END AS city
+FROM (SELECT DISTINCT city AS c, trim(regexp_replace(city, '[.''’-]+$', ''), ' ') AS t FROM {MASTER} WHERE city IS NOT NULL AND regexp_full_match(city, '[ -~]*'))""".replace("^(?i)", "(?i)^"))
+def city_normalize(spark: SparkSession, d: str) -> DataFrame:
+    from pagelode.profile import NY
+
+    rows = table(spark, d, MASTER).filter(F.coalesce("city", F.lit("")).rlike("^[ -~]*$")).select(F.col("city").alias("typed")).distinct().filter("typed is not null")
+    return rows.select("typed", T.normalize_city("typed", NY.city_alias).alias("city"))
+
+
+@query()
+def mojibake_repair(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, MASTER).select("facility_row_id", "facility_name", "decision_maker_last_name")
+    return rows.select("facility_row_id", T.normalize_separators("facility_name").alias("name"), T.repair_mojibake("decision_maker_last_name").alias("last"))
+
+
+@query()
+def entity_decode(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", T.decode_entities("text").alias("text"))
+
+
+@query()
+def html_text(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", T.html_to_text("text").alias("text"))
+
+
+@query(f"""WITH p AS (SELECT facility_row_id, regexp_replace(strip_accents(lower(coalesce(decision_maker_first_name, ''))), '[^a-z]', '', 'g') AS f,
+ regexp_replace(strip_accents(lower(coalesce(decision_maker_last_name, ''))), '[^a-z]', '', 'g') AS l, regexp_replace(lower(coalesce(email_domain, '')), '^www\\.', '') AS dom FROM {MASTER}),
+g AS (SELECT facility_row_id, unnest([struct_pack(r := 1, e := f || '@' || dom), struct_pack(r := 2, e := f || '.' || l || '@' || dom), struct_pack(r := 3, e := f || l || '@' || dom),
+ struct_pack(r := 4, e := f[1] || l || '@' || dom), struct_pack(r := 5, e := f[1] || '.' || l || '@' || dom), struct_pack(r := 6, e := f || l[1] || '@' || dom)]) AS x FROM p WHERE f <> '' AND l <> '' AND dom <> '')
+SELECT facility_row_id, x.r AS pattern_rank, x.e AS email FROM g""")
+def guess_patterns(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, MASTER).select("facility_row_id", F.posexplode(X.guess_emails("decision_maker_first_name", "decision_maker_last_name", "email_domain")).alias("pos", "email"))
+    return rows.filter("email <> ''").select("facility_row_id", (F.col("pos") + 1).alias("pattern_rank"), "email")
+
+
+REDIRECTS = (
+    (1, "https://www.bing.com/ck/a?!&&p=1&u=a1aHR0cHM6Ly9ycXVldC50ZXN0L2NvdXJ0cz9hPTE&ntb=1"), (2, "https://duckduckgo.com/l/?uddg=https%3A%2F%2Fclub.test%2Fx&rut=1"),
+    (3, "https://r.search.yahoo.com/_ylt=1/RU=https%3a%2f%2fhall.test%2f/RK=2/RS=3"), (4, "https://www.bing.com/ck/a?u=a1%%%"), (5, "https://plain.test/a?b=c"), (6, "not a url"), (7, ""),
+    (8, "https://duckduckgo.com/l/?uddg=javascript%3Aalert"),
+)
+
+
+@query("""SELECT * FROM (VALUES (1, 'https://rquet.test/courts?a=1'), (2, 'https://club.test/x'), (3, 'https://hall.test/'), (4, ''), (5, 'https://plain.test/a?b=c'), (6, ''), (7, ''), (8, '')) v(id, target)""")
+def redirect_unwrap(spark: SparkSession, d: str) -> DataFrame:
+    return spark.createDataFrame(REDIRECTS, "id int, url string").select("id", U.unwrap_redirect("url").alias("target"))
+
+
+# ---------------------------------------------------------------- facts from text
+
+
+@query(f"""WITH u AS (SELECT facility_row_id, email_domain AS host, unnest(source_urls) AS href, unnest(range(1, len(source_urls) + 1)) AS pos FROM {MASTER} WHERE source_urls IS NOT NULL AND email_domain IS NOT NULL),
+k AS (SELECT facility_row_id, regexp_replace(regexp_extract(href, '(?i)^(https?://[^?#]*)', 1), '/$', '') AS page, min(pos) AS pos FROM u
+ WHERE regexp_replace(lower(regexp_extract(href, '(?i)^https?://([^/?#]*)', 1)), '^www\\.', '') = host AND regexp_matches(regexp_extract(href, '(?i)^https?://[^/?#]*([^?#]*)', 1) || ' ',
+ '(?i)contact|about|staff|our[-\\s]?team|leadership|management|directory|who[-\\s]?we[-\\s]?are|meet[-\\s]?the|administration|membership|facilit|courts?|rentals?|programs?|athletics') GROUP BY 1, 2)
+SELECT facility_row_id, page, row_number() OVER (PARTITION BY facility_row_id ORDER BY pos) AS place FROM k QUALIFY place <= 2""")
+def subpage_pick(spark: SparkSession, d: str) -> DataFrame:
+    links = F.transform("source_urls", lambda u: F.struct(u.alias("href"), F.lit("").alias("text")))
+    rows = table(spark, d, MASTER).filter("source_urls is not null and email_domain is not null")
+    rows = rows.select("facility_row_id", F.posexplode(X.pick_subpages(links, "email_domain", 2)).alias("pos", "page"))
+    return rows.select("facility_row_id", "page", (F.col("pos") + 1).alias("place"))
+
+
+EMAIL_SQL = "list_filter(list_distinct(list_transform(regexp_extract_all({c}, '\\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{{2,}}\\b'), lambda e: lower(e))), lambda e: NOT regexp_matches(e, '\\.(png|jpe?g|gif|svg|webp|css|js)$|^[0-9a-f]{{16,}}@|@(example|domain|yourdomain|email|sentry|sentry\\.io|wixpress|godaddy|squarespace|wix)\\.|^(no-?reply|donotreply|postmaster|abuse|webmaster)@'))"
+
+
+@query(f"SELECT doc_id, unnest({EMAIL_SQL.format(c='text')}) AS email FROM documents WHERE text IS NOT NULL")
+def email_extract(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", F.explode(X.emails("text")).alias("email"))
+
+
+@query(f"""WITH e AS (SELECT facility_row_id, coalesce(email_domain, '') AS dom, lower(coalesce(facility_name, '')) AS nm, unnest(list_distinct(list_filter([lower(public_direct_email), lower(shared_facility_email)], lambda x: x IS NOT NULL))) AS email FROM {MASTER}),
+h AS (SELECT *, CASE WHEN contains(email, '@') THEN split_part(email, '@', 2) ELSE '' END AS host, array_to_string(list_slice(string_split(dom, '.'), greatest(len(string_split(dom, '.')) - 1, 1), len(string_split(dom, '.'))), '.') AS apex,
+ list_filter(list_concat(regexp_split_to_array(lower(regexp_replace(dom, '\\.[a-z.]+$', '')), '[^a-z]+'), regexp_split_to_array(nm, '[^a-z]+')), lambda w: length(w) >= 5 AND w NOT IN ('tennis', 'sports', 'court', 'courts', 'clubs', 'center', 'centre')) AS brands FROM e)
+SELECT facility_row_id, email, replace(replace(replace(split_part(email, '@', 1), '.', ' '), '_', ' '), '-', ' ') IN ({quoted(SHARED_LOCALS)}) AS shared FROM h
+WHERE host <> '' AND (host = dom OR host = apex OR suffix(host, '.' || apex) OR host IN ({quoted(FREE_MAIL_SEEN)}) OR len(list_filter(brands, lambda b: contains(regexp_replace(regexp_replace(host, '\\.[a-z.]+$', ''), '[^a-z]', '', 'g'), b))) > 0)""")
+def email_classify(spark: SparkSession, d: str) -> DataFrame:
+    both = F.array_distinct(F.filter(F.array(F.lower("public_direct_email"), F.lower("shared_facility_email")), lambda e: e.isNotNull()))
+    rows = table(spark, d, MASTER).select("facility_row_id", X.classify_emails(both, "email_domain", "facility_name").alias("c"))
+    tag = lambda arr, s: F.transform(arr, lambda e: F.struct(e.alias("email"), F.lit(s).alias("shared")))
+    return rows.select("facility_row_id", F.explode(F.concat(tag(F.col("c.shared_all"), True), tag(F.col("c.direct"), False))).alias("x")).select("facility_row_id", "x.email", "x.shared")
+
+
+@query(f"SELECT doc_id, unnest(list_filter([{quoted(SPORTS)}], lambda s: contains(lower(text), s))) AS sport FROM documents WHERE text IS NOT NULL")
+def term_detect(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", F.explode(X.sports("text")).alias("sport"))
+
+
+@query(f"""SELECT doc_id, regexp_matches(t, '(?i)\\b({re2(INDOOR)})\\b') AS indoor, regexp_matches(t, '(?i)\\b({re2(OUTDOOR)})\\b') AS outdoor, regexp_matches(t, '(?i)\\b(outdoor[-\\s]only)\\b') AS outdoor_only,
+ regexp_matches(t, '(?i)\\b({re2(PAID)})\\b') AS paid FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)""")
+def indoor_signals(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", X.indoor_signals("text").alias("s"), X.looks_monetized("text").alias("paid")).select("doc_id", "s.*", "paid")
+
+
+@query(f"""SELECT doc_id, {" + ".join(f"CAST(regexp_matches(t, '(?i)\\b({s})\\b') AS INT)" for s in RETAIL_SIGNALS + ("court time", "league", "lessons?", "members", "court"))} AS signals
+FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)""")
+def signal_threshold(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", X.signal_count("text", RETAIL_SIGNALS + ("court time", "league", "lessons?", "members", "court")).alias("signals"))
+
+
+NUM = "(\\d{1,3}|one|two|three|four|five|six|seven|eight|nine|ten|eleven|twelve|fourteen|sixteen|twenty)"
+COUNT_FORMS = (f"{NUM}\\s+(?:indoor\\s+)?(?:{'|'.join(SPORTS)})\\s+courts?\\b", f"{NUM}\\s+indoor\\s+courts?\\b", f"{NUM}\\s+courts?\\b", f"courts?\\s*[:–—-]\\s*{NUM}\\b")
+WORD_VALUES = "MAP {'one': 1, 'two': 2, 'three': 3, 'four': 4, 'five': 5, 'six': 6, 'seven': 7, 'eight': 8, 'nine': 9, 'ten': 10, 'eleven': 11, 'twelve': 12, 'fourteen': 14, 'sixteen': 16, 'twenty': 20}"
+
+
+@query(f"""WITH t AS (SELECT doc_id, regexp_replace(text, '[\\s\\x{{a0}}\\x{{feff}}]+', ' ', 'g') AS t FROM documents WHERE text IS NOT NULL),
+r AS (SELECT doc_id, {", ".join(f"lower(regexp_extract(t, '(?i){f}', 1)) AS r{i}" for i, f in enumerate(COUNT_FORMS))} FROM t),
+n AS (SELECT doc_id, {", ".join(f"coalesce(try_cast(r{i} AS INT), {WORD_VALUES}[r{i}]) AS n{i}" for i in range(4))} FROM r)
+SELECT doc_id, coalesce({", ".join(f"CASE WHEN n{i} BETWEEN 1 AND 200 THEN n{i} END" for i in range(4))}) AS courts FROM n""")
+def count_detect(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").filter("text is not null").select("doc_id", X.court_count("text")["count"].alias("courts"))
+
+
+def first_rule_sql(c: str, rules, otherwise: str) -> str:
+    return "CASE " + " ".join(f"WHEN regexp_matches({c}, '(?i){re2(p)}') THEN '{label}'" for p, label in rules) + f" ELSE '{otherwise}' END"
+
+
+@query(f"""SELECT facility_row_id, CASE WHEN a <> '' THEN a ELSE {first_rule_sql("n || chr(10)", TEXT_KINDS, "Unknown")} END AS kind
+FROM (SELECT facility_row_id, n, {first_rule_sql("n", NAME_KINDS, "")} AS a FROM (SELECT facility_row_id, coalesce(facility_name, '') AS n FROM {MASTER}))""")
+def type_rules(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, MASTER).select("facility_row_id", X.facility_kind("facility_name", F.lit("")).alias("kind"))
+
+
+@query("""SELECT doc_id, CASE WHEN regexp_matches(h, '(?i)\\b(town|city|village|county) of\\b') THEN '\\b(town|city|village|county) of\\b' WHEN regexp_matches(h, '(?i)\\bparks? (and|&) rec(reation)?\\b') THEN '\\bparks? (and|&) rec(reation)?\\b'
+ WHEN regexp_matches(h, '(?i)\\bdepartment of parks\\b') THEN '\\bdepartment of parks\\b' WHEN regexp_matches(h, '(?i)\\bmunicipal\\b') THEN '\\bmunicipal\\b' WHEN regexp_matches(h, '(?i)\\bhomeowners?,? association\\b') THEN '\\bhomeowners?,? association\\b'
+ WHEN regexp_matches(h, '\\bHOA\\b') THEN '\\bHOA\\b' WHEN regexp_matches(h, '(?i)\\bapartment (homes|community|living)\\b') THEN '\\bapartment (homes|community|living)\\b'
+ WHEN regexp_matches(h, '(?i)\\bresidences?\\b[^\\n\\r]*\\bamenit') THEN '\\bresidences?\\b.*\\bamenit' WHEN regexp_matches(h, '(?i)\\bpublic (park|courts?)\\b') THEN '\\bpublic (park|courts?)\\b'
+ WHEN regexp_matches(h, '(?i)\\bfree (to the )?public\\b') THEN '\\bfree (to the )?public\\b' ELSE '' END AS excluded_by FROM (SELECT doc_id, coalesce(source, '') || chr(10) || substr(coalesce(text, ''), 1, 4000) AS h FROM documents)""")
+def exclude_rule(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", X.excluded_by("source", "text").alias("excluded_by"))
+
+
+@query(f"""WITH t AS (SELECT track_row_id, regexp_replace(coalesce(address, '') || ' ' || coalesce(phone, ''), '[\\s\\x{{a0}}\\x{{feff}}]+', ' ', 'g') AS t FROM {OUTREACH})
+SELECT track_row_id, CASE WHEN regexp_matches(t, '(?i),\\s*(?:NY|New York)\\b') THEN 'address' WHEN regexp_matches(t, '\\bNY\\s+1\\d{{4}}\\b') THEN 'zip'
+ WHEN regexp_matches(t, '\\(?(212|315|332|347|516|518|585|607|631|646|680|716|718|838|845|914|917|929|934)\\)?[)\\s.-]{{1,3}}\\d{{3}}[\\s.-]?\\d{{4}}') THEN 'phone' WHEN regexp_matches(t, '(?i)\\bNew York (?:State|City)\\b') THEN 'mention' ELSE '' END AS evidence FROM t""")
+def location_evidence(spark: SparkSession, d: str) -> DataFrame:
+    text = F.concat_ws(" ", F.coalesce("address", F.lit("")), F.coalesce("phone", F.lit("")))
+    return table(spark, d, OUTREACH).select("track_row_id", X.location_evidence(text).alias("evidence"))
+
+
+@query()
+def address_detect(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, OUTREACH).select("track_row_id", F.explode(X.addresses("address")).alias("a"))
+    return rows.select("track_row_id", "a.street", "a.city", "a.zip")
+
+
+@query()
+def city_detect(spark: SparkSession, d: str) -> DataFrame:
+    from pagelode.plans.enrich import known_cities
+
+    sites = table(spark, d, OUTREACH).select(F.col("track_row_id").alias("site"), F.col("address").alias("text"))
+    return known_cities(sites, table(spark, d, "city_list").select(F.col("city_name").alias("place"))).select(F.col("site").alias("track_row_id"), "city")
+
+
+@query()
+def people_extract(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, OUTREACH).select("track_row_id", F.concat_ws("\n", F.concat_ws(" - ", "contact_name", "contact_title"), "contact_name").alias("text"))
+    return rows.select("track_row_id", F.explode(X.people("text")).alias("p")).select("track_row_id", "p.*")
+
+
+@query()
+def page_title(spark: SparkSession, d: str) -> DataFrame:
+    page = F.concat(F.lit("<html><head><title>Home | "), F.replace(F.replace(F.coalesce("facility_name", F.lit("")), F.lit("<"), F.lit("")), F.lit("&amp;"), F.lit("&")), F.lit("</title></head><body/></html>"))
+    return table(spark, d, MASTER).select("facility_row_id", X.page_title(page).alias("title"))
+
+
+@query()
+def link_explode(spark: SparkSession, d: str) -> DataFrame:
+    page = F.array_join(F.transform("source_urls", lambda u: F.concat(F.lit('<a class="x" href="'), F.regexp_replace(u, "^https?://[^/]*", ""), F.lit('">see <b>page</b></a>'))), "\n")
+    rows = table(spark, d, MASTER).filter("source_urls is not null and website rlike '^https?://[^/]'").select("facility_row_id", F.posexplode(X.links(page, "website")).alias("pos", "l"))
+    return rows.select("facility_row_id", "pos", "l.href", "l.text")
+
+
+@query(f"""SELECT DISTINCT decision_maker_first_name AS first, decision_maker_last_name AS last, coalesce(regexp_matches(f, '^[A-Za-z][A-Za-z''’.-]*$') AND length(regexp_replace(f, '[^A-Za-z]', '', 'g')) >= 2 AND NOT regexp_matches(fb, '(?i)^({"|".join(HONORIFICS)})\\.?$')
+ AND lower(fb) NOT IN ({quoted(NOT_A_PERSON)}) AND regexp_matches(l, '^[A-Za-z][A-Za-z''’.-]*$') AND length(regexp_replace(l, '[^A-Za-z]', '', 'g')) >= 2 AND NOT regexp_matches(lb, '(?i)^({"|".join(HONORIFICS)})\\.?$') AND lower(lb) NOT IN ({quoted(NOT_A_PERSON)}), false) AS confirmed
+FROM (SELECT *, regexp_replace(f, '(?i)[''’]s$', '') AS fb, regexp_replace(l, '(?i)[''’]s$', '') AS lb FROM (SELECT decision_maker_first_name, decision_maker_last_name, trim(coalesce(decision_maker_first_name, ''), ' ') AS f, trim(coalesce(decision_maker_last_name, ''), ' ') AS l FROM {CANDIDATES}))""")
+def name_confirmed(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, CANDIDATES).select(F.col("decision_maker_first_name").alias("first"), F.col("decision_maker_last_name").alias("last")).distinct()
+    return rows.withColumn("confirmed", X.name_is_confirmed("first", "last"))
+
+
+# ---------------------------------------------------------------- reductions by key
+
+
+@query("""SELECT user_id, list(event_type ORDER BY rn) AS types FROM (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events WHERE event_type <> '') WHERE rn <= 12 GROUP BY user_id""")
+def capped_collect(spark: SparkSession, d: str) -> DataFrame:
+    return K.capped_collect(table(spark, d, "events"), "user_id", "event_id", ["event_type"]).withColumnRenamed("event_type", "types")
+
+
+@query("""WITH s AS (SELECT list_sort(list(DISTINCT event_type)) AS s FROM events), r AS (SELECT e.*, (list_position(s.s, event_type) - 1 - user_id % len(s.s) + len(s.s)) % len(s.s) AS r FROM events e, s)
+SELECT event_id, user_id, event_type FROM r QUALIFY r = min(r) OVER (PARTITION BY user_id)""")
+def engine_failover(spark: SparkSession, d: str) -> DataFrame:
+    events = table(spark, d, "events")
+    kinds = sorted(r.event_type for r in events.select("event_type").distinct().collect() if r.event_type)
+    return K.first_source(events, "user_id", "event_type", kinds, F.col("user_id")).select("event_id", "user_id", "event_type")
+
+
+@query("""SELECT c.city_id AS market_ord, t.title_id AS template_ord, 'find ' || title_name || ' in ' || city_name AS query FROM city_list c, title_list t""")
+def fanout_cross(spark: SparkSession, d: str) -> DataFrame:
+    markets = table(spark, d, "city_list").select(F.col("city_name").alias("market"), F.col("city_id").alias("market_ord"))
+    templates = table(spark, d, "title_list").select(F.concat(F.lit("find "), "title_name", F.lit(" in {m}")).alias("template"), F.col("title_id").alias("template_ord"))
+    return K.fan_out(markets, templates)
+
+
+@query(f"SELECT DISTINCT facility_id, company_domain FROM {CANDIDATES} c WHERE facility_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {PLACES} p WHERE p.facility_id = c.facility_id)")
+def resume_antijoin(spark: SparkSession, d: str) -> DataFrame:
+    todo = table(spark, d, CANDIDATES).filter("facility_id is not null").select("facility_id", "company_domain").distinct()
+    return K.not_done(todo, table(spark, d, PLACES).filter("facility_id is not null"), "facility_id")
+
+
+@query("""SELECT o_custkey, o_orderkey, o_totalprice, first_order FROM (SELECT *, min(o_orderkey) OVER (PARTITION BY o_custkey) AS first_order, row_number() OVER (PARTITION BY o_custkey ORDER BY CAST(floor(o_totalprice / 10) AS BIGINT) DESC, o_orderkey) AS rn FROM orders) WHERE rn = 1""")
+def richest_row(spark: SparkSession, d: str) -> DataFrame:
+    orders = table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
+    return K.richest_per_key(orders, F.col("o_custkey"), F.floor(F.col("o_totalprice") / 10), "o_orderkey")
+
+
+@query(f"""SELECT candidate_row_id, candidate_email AS email, claimed_by FROM (SELECT candidate_row_id, lower(candidate_email) AS candidate_email, min(candidate_row_id) OVER (PARTITION BY lower(candidate_email)) AS claimed_by FROM {CANDIDATES} WHERE candidate_email IS NOT NULL)""")
+def first_claim(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, CANDIDATES).select("candidate_row_id", F.lower("candidate_email").alias("email"))
+    return K.first_claim(rows, "email", "candidate_row_id")
+
+
+@query("""SELECT user_id, event_type, n FROM (SELECT user_id, event_type, count(*) AS n, min(event_id) AS o FROM events WHERE event_type IS NOT NULL GROUP BY 1, 2) QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY n DESC, o) = 1""")
+def mode_first_seen(spark: SparkSession, d: str) -> DataFrame:
+    return K.first_mode(table(spark, d, "events"), "user_id", "event_type", "event_id")
+
+
+@query(f"SELECT qualification_status, count(*) AS n FROM {MASTER} GROUP BY 1")
+def status_tally(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, MASTER).groupBy("qualification_status").agg(F.count("*").alias("n"))
+
+
+@query(f"""WITH r AS (SELECT company_domain, lower(candidate_email) AS e, min(CASE WHEN regexp_matches(split_part(lower(candidate_email), '@', 1), '^({"|".join(sorted(ROLE_LOCALS, key=lambda w: (-len(w), w)))})\\b') THEN 0 WHEN regexp_matches(split_part(lower(candidate_email), '@', 1), '^[a-z]+[._-][a-z]+$') THEN 1
+ WHEN regexp_matches(split_part(lower(candidate_email), '@', 1), '^[a-z]\\.?[a-z]{{3,}}$') THEN 2 ELSE 3 END) AS rank FROM {CANDIDATES} WHERE candidate_email IS NOT NULL AND company_domain IS NOT NULL GROUP BY 1, 2)
+SELECT company_domain, e AS email, rank, row_number() OVER (PARTITION BY company_domain ORDER BY rank, e) AS place FROM r QUALIFY place <= 3""")
+def candidate_topk(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, CANDIDATES).filter("candidate_email is not null and company_domain is not null").select("company_domain", F.lower("candidate_email").alias("email")).distinct()
+    rows = rows.withColumn("rank", C.unattributed_rank(F.col("email")))
+    place = F.row_number().over(W.partitionBy("company_domain").orderBy("rank", "email"))
+    return rows.withColumn("place", place).filter("place <= 3")
+
+
+@query("""SELECT l_partkey, l_orderkey, l_linenumber, l_extendedprice, place FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS place FROM lineitem) WHERE place <= 3""")
+def topk_per_part(spark: SparkSession, d: str) -> DataFrame:
+    place = F.row_number().over(W.partitionBy("l_partkey").orderBy(F.desc("l_extendedprice"), "l_orderkey", "l_linenumber"))
+    return table(spark, d, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber", "l_extendedprice").withColumn("place", place).filter("place <= 3")
+
+
+# ---------------------------------------------------------------- the master and what goes out
+
+
+def master(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, MASTER).withColumn("ord", F.col("facility_row_id"))
+
+
+STATUSES = ["Confirmed Indoor", "Indoor and Outdoor", "Needs Review"]
+SCORE = "(CASE WHEN coalesce(public_direct_email, '') <> '' THEN 4 ELSE 0 END + CASE WHEN coalesce(shared_facility_email, '') <> '' THEN 2 ELSE 0 END + CASE WHEN coalesce(decision_maker_last_name, '') <> '' THEN 2 ELSE 0 END + CASE WHEN number_of_courts IS NOT NULL THEN 1 ELSE 0 END + CASE WHEN coalesce(city, '') <> '' THEN 1 ELSE 0 END)"
+SITE_OF = HOST_SQL.format(c="trim(CASE WHEN coalesce(email_domain, '') <> '' THEN email_domain ELSE coalesce(website, '') END)")
+NAME_KEY = f"trim(regexp_replace(regexp_replace(regexp_replace(lower(coalesce(facility_name, '')), '[^a-z0-9]+', ' ', 'g'), '\\b({'|'.join(NAME_STOP_WORDS)})\\b', ' ', 'g'), '\\s+', ' ', 'g'))"
+
+
+@query(f"""WITH h AS (SELECT *, {SITE_OF} AS h FROM {MASTER}), a AS (SELECT *, {apex_sql('h')} AS apex, {SCORE} AS score, {NAME_KEY} AS nk FROM h),
+k AS (SELECT *, CASE WHEN apex <> '' THEN 'd:' || apex ELSE 'd:' || coalesce(website, '') END AS k1 FROM a),
+p1 AS (SELECT *, min(facility_row_id) OVER (PARTITION BY k1) AS ord2, row_number() OVER (PARTITION BY k1 ORDER BY score DESC, facility_row_id) AS rn FROM k),
+p2 AS (SELECT *, CASE WHEN nk <> '' THEN 'n:' || nk || '|' || lower(coalesce(city, '')) ELSE 'w:' || coalesce(website, '') END AS k2 FROM p1 WHERE rn = 1),
+p3 AS (SELECT *, min(ord2) OVER (PARTITION BY k2) AS ord3, row_number() OVER (PARTITION BY k2 ORDER BY score DESC, ord2) AS rn2 FROM p2)
+SELECT facility_row_id, score, ord3 FROM p3 WHERE rn2 = 1""")
+def two_key_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return A.collapse(master(spark, d)).select("facility_row_id", F.col("__score").alias("score"), "ord3")
+
+
+@query(f"""WITH r AS (SELECT facility_row_id, lower(coalesce(public_direct_email, '')) AS mail, {NAME_KEY} AS nk, {SCORE} AS score FROM {MASTER}),
+f AS (SELECT *, first_value(CASE WHEN nk <> '' THEN nk END IGNORE NULLS) OVER (PARTITION BY mail ORDER BY score DESC, facility_row_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior FROM r)
+SELECT facility_row_id, coalesce(mail <> '' AND prior = nk, false) AS blanked FROM f""")
+def contact_blank(spark: SparkSession, d: str) -> DataFrame:
+    rows = master(spark, d).withColumns({"__score": A.richness(), "ord3": F.col("ord"), "had": A.full("public_direct_email") != ""})
+    return A.blank_repeated_contacts(rows).select("facility_row_id", (F.col("had") & F.col("public_direct_email").isNull()).alias("blanked"))
+
+
+@query(f"""WITH h AS (SELECT *, {SITE_OF} AS h, CASE WHEN contains(public_direct_email, '@') THEN split_part(public_direct_email, '@', 2) ELSE '' END AS dh, CASE WHEN contains(shared_facility_email, '@') THEN split_part(shared_facility_email, '@', 2) ELSE '' END AS sh FROM {MASTER}), a AS (SELECT *, {apex_sql('h')} AS apex FROM h)
+SELECT facility_row_id, CASE WHEN coalesce(dh, '') <> '' AND dh NOT IN ({quoted(FREE_MAIL_FINAL)}) THEN dh WHEN coalesce(sh, '') <> '' AND sh NOT IN ({quoted(FREE_MAIL_FINAL)}) THEN sh WHEN apex IN ({quoted(FREE_MAIL_FINAL)}) THEN '' ELSE apex END AS mail_domain FROM a""")
+def mail_domain(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, MASTER).select("facility_row_id", A.mail_domain().alias("mail_domain"))
+
+
+@query()
+def normalize_master(spark: SparkSession, d: str) -> DataFrame:
+    cols = ["facility_row_id", "public_direct_email", "shared_facility_email", "email_domain", "research_notes", *[f"guessed_email_{i}" for i in range(1, 7)]]
+    return A.normalize_rows(master(spark, d)).select(*cols)
+
+
+PUBLISHER_SQL = " OR ".join(f"regexp_matches(apex, '(?i){re2(p)}')" for p in PUBLISHER_DOMAINS)
+
+
+@query(f"""WITH h AS (SELECT facility_row_id, coalesce(facility_name, '') AS n, {SITE_OF} AS h FROM {MASTER}), a AS (SELECT *, {apex_sql('h')} AS apex FROM h)
+SELECT facility_row_id, apex <> '' AND ({PUBLISHER_SQL} OR regexp_matches(n, '^\\d{{2,3}}\\.\\d') OR regexp_matches(n, '(?i){MASTHEADS}') OR (regexp_matches(n, '(?i){WEAK_MASTHEADS}') AND NOT regexp_matches(n, '(?i){VENUE_WORDS}'))) AS publisher FROM a""")
+def publisher_filter(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, MASTER).select("facility_row_id", T.let(A.site(), lambda x: X.looks_like_publisher("facility_name", x)).alias("publisher"))
+
+
+@query()
+def finalize_master(spark: SparkSession, d: str) -> DataFrame:
+    cols = ["facility_row_id", "facility_name", "website", "city", "qualification_status", "public_direct_email", "shared_facility_email", "email_domain", "research_notes", *[f"guessed_email_{i}" for i in range(1, 7)]]
+    return A.finalize(master(spark, d), STATUSES).select(*cols)
+
+
+@query("SELECT s_suppkey, row_number() OVER (ORDER BY s_suppkey) AS facility_no, format('SU-{:04d}', row_number() OVER (ORDER BY s_suppkey)) AS facility_id FROM supplier")
+def numbered_ids(spark: SparkSession, d: str) -> DataFrame:
+    return A.numbered(table(spark, d, "supplier").select("s_suppkey"), "s_suppkey", "SU").select("s_suppkey", "facility_no", "facility_id")
+
+
+def extras(spark: SparkSession, d: str) -> DataFrame:
+    """Contact-pass records per website, made of the candidate and location tables; lists are capped by rank, as the pass does."""
+    rows = table(spark, d, CANDIDATES).filter("website is not null")
+    who = rows.filter("decision_maker_first_name is not null and decision_maker_last_name is not null").groupBy("website", "decision_maker_first_name", "decision_maker_last_name").agg(F.min("candidate_row_id").alias("o"), F.max("decision_maker_title").alias("title"))
+    top = who.withColumn("r", F.row_number().over(W.partitionBy("website").orderBy("o"))).filter("r <= 8")
+    person = F.struct("o", F.col("decision_maker_first_name").alias("first"), F.col("decision_maker_last_name").alias("last"), "title", F.lit("").alias("email"))
+    people = top.groupBy("website").agg(F.transform(F.array_sort(F.collect_list(person)), lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last"), s["title"].alias("title"), s["email"].alias("email"))).alias("people"))
+    kinds = rows.withColumns({"direct_emails": F.when(F.col("email_candidate_type") == "Published Direct", F.lower("candidate_email")), "shared_emails": F.when(F.col("email_candidate_type") == "Published Shared", F.lower("candidate_email"))})
+    mails = K.capped_collect(kinds, "website", "candidate_row_id", ["direct_emails", "shared_emails"])
+    seats = table(spark, d, PLACES).filter("website is not null").withColumn("r", F.row_number().over(W.partitionBy("website").orderBy("location_row_id"))).filter("r <= 12")
+    at = F.struct("r", F.coalesce("branch_street", F.lit("")).alias("street"), F.coalesce("branch_city", F.lit("")).alias("city"), F.coalesce("branch_zip", F.lit("")).alias("zip"))
+    places = seats.groupBy("website").agg(F.transform(F.array_sort(F.collect_list(at)), lambda s: F.struct(s["street"].alias("street"), s["city"].alias("city"), s["zip"].alias("zip"))).alias("locations"))
+    first = rows.groupBy("website").agg(F.min("candidate_row_id").alias("ord"))
+    return first.join(people, "website", "left").join(mails, "website", "left").join(places, "website", "left")
+
+
+def facilities_with_extras(spark: SparkSession, d: str) -> DataFrame:
+    return C.with_contacts(A.numbered(master(spark, d), "ord", "NY"), C.contact_index(extras(spark, d)))
+
+
+@query(f"""WITH w AS (SELECT website, min(candidate_row_id) AS o FROM {CANDIDATES} WHERE website IS NOT NULL GROUP BY 1), h AS (SELECT o, {HOST} AS host FROM w),
+m AS (SELECT facility_row_id, {HOST} AS host FROM {MASTER}) SELECT facility_row_id, count(h.host) > 0 AS found FROM m LEFT JOIN h ON m.host = h.host AND h.host <> '' GROUP BY facility_row_id""")
+def contact_join(spark: SparkSession, d: str) -> DataFrame:
+    return facilities_with_extras(spark, d).select("facility_row_id", F.col("direct_emails").isNotNull().alias("found"))
+
+
+@query()
+def candidate_fanout(spark: SparkSession, d: str) -> DataFrame:
+    won, _ = C.fan_out_candidates(facilities_with_extras(spark, d))
+    return won.select("facility_id", "candidate_no", "email", "type", "rank", "published", "decision_maker_full_name", "title")
+
+
+@query()
+def candidate_repeats(spark: SparkSession, d: str) -> DataFrame:
+    _, again = C.fan_out_candidates(facilities_with_extras(spark, d))
+    return again.select("facility_no", "candidate_no", "email", "owner_no")
+
+
+@query()
+def branch_explode(spark: SparkSession, d: str) -> DataFrame:
+    return C.branches(facilities_with_extras(spark, d)).select("facility_id", "location_id", "branch_street", "branch_city", "branch_zip", "is_multi_location", "location_count")
+
+
+@query()
+def review_projection(spark: SparkSession, d: str) -> DataFrame:
+    p = F.get(C.people_for(), F.lit(0))
+    rows = facilities_with_extras(spark, d).filter("qualification_status = 'Needs Review'")
+    names = [T.title_case(p["first"]).alias("decision_maker_first_name"), T.title_case(p["last"]).alias("decision_maker_last_name"), F.coalesce(p["title"], F.lit("")).alias("decision_maker_title")]
+    return rows.select("facility_id", "facility_name", *names, C.emails_found().alias("emails_found"))
+
+
+@query()
+def run_stats(spark: SparkSession, d: str) -> DataFrame:
+    rows = facilities_with_extras(spark, d)
+    won, again = C.fan_out_candidates(rows)
+    return C.run_stats(won, again, rows)
+
+
+@query(f"""SELECT facility_row_id, CASE WHEN regexp_matches(g, '[",\\n\\r]') THEN '"' || replace(g, '"', '""') || '"' ELSE g END AS cell
+FROM (SELECT facility_row_id, CASE WHEN regexp_matches(n, '^[=+@\\t\\r]') THEN '''' || n ELSE n END AS g FROM (SELECT facility_row_id, coalesce(research_notes, '') || coalesce(facility_name, '') AS n FROM {MASTER}))""")
+def csv_guard(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, MASTER).select("facility_row_id", F.concat(F.coalesce("research_notes", F.lit("")), F.coalesce("facility_name", F.lit(""))).alias("n"))
+    c = csvio.guarded("n")
+    return rows.select("facility_row_id", F.when(c.rlike('[",\n\r]'), F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(c).alias("cell"))
+
+
+@query(f"""SELECT facility_row_id, array_to_string(coalesce(sports_offered, []), '; ') AS sports, array_to_string(coalesce(source_urls, []), ' | ') AS sources FROM {MASTER}""")
+def csv_arrays(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, MASTER).select("facility_row_id", csvio.joined("sports_offered", "; ").alias("sports"), csvio.joined("source_urls", " | ").alias("sources"))
+
+
+@query(f"""WITH e AS (SELECT facility_row_id, list_filter(list_distinct([lower(public_direct_email), lower(shared_facility_email), lower(guessed_email_1), lower(guessed_email_2)]), lambda x: x IS NOT NULL AND x <> '') AS l FROM {MASTER}) SELECT facility_row_id, len(l) AS emails FROM e""")
+def emails_found(spark: SparkSession, d: str) -> DataFrame:
+    all_ = F.array_distinct(F.filter(F.array(*[F.lower(c) for c in ("public_direct_email", "shared_facility_email", "guessed_email_1", "guessed_email_2")]), lambda e: F.coalesce(e, F.lit("")) != ""))
+    return table(spark, d, MASTER).select("facility_row_id", F.size(all_).alias("emails"))
