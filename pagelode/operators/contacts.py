@@ -39,8 +39,9 @@ def with_contacts(master: DataFrame, index: DataFrame) -> DataFrame:
 
 def people_for() -> Column:
     """array<PERSON>: the confirmed people of the contact pass, else the master's own if confirmed, else none."""
-    kept = F.filter(F.coalesce(F.col("people"), F.array().cast(f"array<{PERSON}>")), lambda p: name_is_confirmed(p["first"], p["last"]))
+    kept = F.filter("people", lambda p: name_is_confirmed(p["first"], p["last"]))
     found = F.transform(kept, lambda p: F.struct(p["first"].alias("first"), p["last"].alias("last"), F.coalesce(p["title"], F.lit("")).alias("title"), F.lower(F.coalesce(p["email"], F.lit(""))).alias("email")))
+    found = F.coalesce(found, F.array().cast(f"array<{PERSON}>"))
     first, last = F.trim(full("decision_maker_first_name")), F.trim(full("decision_maker_last_name"))
     own = F.array(F.struct(first.alias("first"), last.alias("last"), full("decision_maker_title").alias("title"), F.lower(full("public_direct_email")).alias("email")))
     return F.when(F.size(found) > 0, found).when(name_is_confirmed(first, last), own).otherwise(F.array().cast(f"array<{PERSON}>"))

@@ -8,13 +8,18 @@ is text, missing cells are '', rows of one cell only are dropped.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from pagelode.functions.text import as_col
 
 
+SHORT = "__short_row"
+
+
 def guarded(c: Column | str) -> Column:
     """A cell that begins with = + @ tab or return gets an apostrophe before it; a minus does not."""
     t = F.coalesce(as_col(c).cast("string"), F.lit(""))
@@ -46,11 +51,12 @@ def write_csv(df: DataFrame, path: str, columns: Sequence[str], titles: Sequence
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    df = spark.read.options(header=True, multiLine=True, escape='"', nullValue="\u0000", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
-    if len(df.columns) > 1:
-        rest = [F.col(f"`{c}`").isNull() for c in df.columns[1:]]
-        lone = rest[0]
-        for r in rest[1:]:
-            lone = lone & r
-        df = df.filter(~lone)
-    return df.na.fill("")
+    options = {"header": True, "multiLine": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "enforceSchema": True}
+    names = spark.read.options(**options).csv(path).columns
+    schema = StructType([StructField(c, StringType()) for c in [*names, SHORT]])
+    df = spark.read.options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord=SHORT).schema(schema).csv(path)
+    if len(names) > 1:
+        # a short row keeps its text aside; with nothing but a first cell it is no row
+        empty = reduce(lambda x, y: x & y, [F.col(f"`{c}`").isNull() for c in names[1:]])
+        df = df.filter(~(empty & F.col(SHORT).isNotNull()))
+    return df.drop(SHORT).na.fill("")
