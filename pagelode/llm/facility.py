@@ -117,7 +117,7 @@ def facility_similarity(a: str, b: str) -> Column:
     )
     told = lambda p: F.filter(f(p, "kinds"), lambda k: ~k.isin(*names.GENERIC))
     ka, kb = told(a), told(b)
-    kind = F.when((F.size(ka) == 0) | (F.size(kb) == 0), 0.0).when(F.size(F.array_intersect(ka, kb)) * 2 >= F.least(F.size(ka), F.size(kb)), 0.5).otherwise(-4.5)
+    kind = F.when((F.size(ka) == 0) | (F.size(kb) == 0), 0.0).when(F.size(F.array_intersect(ka, kb)) * 2 >= F.least(F.size(ka), F.size(kb)), 0.5).otherwise(-6.0)
     host = F.when(~have("host"), 0.0).when(f(a, "host") == f(b, "host"), 2.5).otherwise(-4.0)
     place = F.when(both("ncity"), F.when(f(a, "ncity") == f(b, "ncity"), 1.0).otherwise(-6.0)).otherwise(0.0)
     either = (f(a, "ccity") > 0) & ((f(a, "ccity") == f(b, "ccity")) | (f(a, "ccity") == f(b, "ncity"))) | (f(b, "ccity") > 0) & (f(b, "ccity") == f(a, "ncity"))
