@@ -13,6 +13,7 @@ from pagelode.functions.extract import guess_emails, looks_like_publisher, mail_
 from pagelode.functions.text import let, name_key
 from pagelode.functions.urls import apex_domain
 from pagelode.operators.keyed import packed, packed_order, richest_per_key
+from pagelode.operators.lineage import cut
 from pagelode.profile import BRAND_STOP_WORDS, FREE_MAIL_FINAL, GUESS_NOTE
 
 FOREIGN_NOTE = "Third-party email removed (not on facility domain)."
@@ -119,7 +120,9 @@ def numbered(rows: DataFrame, order: str, prefix: Column | str) -> DataFrame:
 
     Numbers are dense and global without sorting everything in one task: rows are range-partitioned and each partition starts
     where the rows before it end."""
-    spread = rows.repartitionByRange(F.col(order)).sortWithinPartitions(order).withColumn("__part", F.spark_partition_id()).withColumn("__id", F.monotonically_increasing_id())
+    # cut, because sampled range bounds may differ from one evaluation to the next
+    spread = cut(rows.repartitionByRange(F.col(order)).sortWithinPartitions(order))
+    spread = spread.withColumn("__part", F.spark_partition_id()).withColumn("__id", F.monotonically_increasing_id())
     spread = spread.withColumn("__in", F.col("__id") - F.shiftleft(F.col("__part").cast("long"), 33))
     sizes = spread.groupBy("__part").count().collect()  # one row a partition
     start, at = [], 0

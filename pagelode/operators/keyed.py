@@ -11,7 +11,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pagelode.functions.text import as_col
+from pagelode.operators.skew import bounded_broadcast
 
+MOST_TEMPLATES = 100_000  # rows up to which a list of templates is broadcast
 ORDERS = 1 << 44  # order numbers are below this; a score up to 2^18 and an order number fit one long
 
 
@@ -68,7 +70,7 @@ def first_source(hits: DataFrame, query: str, source: str, sources: list[str], o
 
 def fan_out(markets: DataFrame, templates: DataFrame, extra: DataFrame | None = None, limit: int = 0) -> DataFrame:
     """market(market, market_ord) by template(template, template_ord): the first {m} of a template replaced, market by market, extra queries last."""
-    made = markets.join(F.broadcast(templates), F.lit(True), "inner")  # the list of templates is a parameter of the query
+    made = markets.join(bounded_broadcast(templates, MOST_TEMPLATES), F.lit(True), "inner")  # every pair is the result here
     at = F.instr("template", "{m}")
     query = F.when(at > 0, F.concat(F.substring(F.col("template"), F.lit(1), at - 1), F.col("market"), F.substring(F.col("template"), at + 3, F.length("template")))).otherwise(F.col("template"))
     out = made.select(F.col("market_ord").cast("long").alias("a"), F.col("template_ord").cast("long").alias("b"), query.alias("query"))

@@ -17,8 +17,10 @@ from pagelode.functions import urls as U
 from pagelode.operators import contacts as C
 from pagelode.operators import facilities as A
 from pagelode.operators import keyed as K
+from pagelode.operators import rules as rules_
+from pagelode.plans.discover import candidate_sites
 from pagelode.profile import (
-    FREE_MAIL_FINAL, FREE_MAIL_SEEN, HONORIFICS, INDOOR, LISTING_HOSTS, MASTHEADS, NAME_KINDS, NAME_STOP_WORDS, NOT_A_PERSON, OUTDOOR, PAID, PUBLISHER_DOMAINS, RETAIL_SIGNALS,
+    BRAND_STOP_WORDS, FREE_MAIL_FINAL, FREE_MAIL_SEEN, GUESS_NOTE, HONORIFICS, INDOOR, LISTING_HOSTS, MASTHEADS, NAME_KINDS, NAME_STOP_WORDS, NOT_A_PERSON, OUTDOOR, PAID, PUBLISHER_DOMAINS, RETAIL_SIGNALS,
     ROLE_LOCALS, SHARED_LOCALS, SPORTS, TEXT_KINDS, VANITY_LABELS, VENUE_WORDS, WEAK_MASTHEADS,
 )
 from pagelode.sources import csvio
@@ -294,6 +296,25 @@ def engine_failover(spark: SparkSession, d: str) -> DataFrame:
     return K.first_source(events, "user_id", "event_type", kinds, F.col("user_id")).select("event_id", "user_id", "event_type")
 
 
+@query(f"""WITH h AS (SELECT track_row_id AS o, {HOST} AS domain, company_name, fit_notes, batch_label FROM {OUTREACH}), k AS (SELECT * FROM h WHERE domain <> '' AND NOT regexp_matches(domain, '{"|".join(w.replace(".", "[.]") for w in sorted(set(LISTING_HOSTS)))}') AND NOT regexp_matches(domain, '(?i)\\.(gov|mil|ny\\.us)$'))
+SELECT domain, 'https://' || domain AS url, list_slice(coalesce(list(company_name ORDER BY o) FILTER (company_name <> ''), []), 1, 12) AS titles, list_slice(coalesce(list(fit_notes ORDER BY o) FILTER (fit_notes <> ''), []), 1, 12) AS snippets,
+ list_slice(coalesce(list(batch_label ORDER BY o) FILTER (batch_label <> ''), []), 1, 12) AS queries FROM k GROUP BY domain""")
+def site_discovery(spark: SparkSession, d: str) -> DataFrame:
+    hits = table(spark, d, OUTREACH).select(F.col("track_row_id").alias("ord"), F.col("website").alias("url"), F.col("company_name").alias("title"), F.col("fit_notes").alias("snippet"), F.col("batch_label").alias("query"))
+    return candidate_sites(hits)
+
+
+@query(f"""SELECT facility_row_id, CASE WHEN NOT own THEN 'no site' WHEN courts IS NULL AND mails = 0 THEN 'bare' WHEN courts >= 10 OR mails >= 2 THEN 'rich' WHEN mails = 1 THEN 'reachable' ELSE 'counted' END AS class
+FROM (SELECT facility_row_id, coalesce(email_domain, '') <> '' AS own, number_of_courts AS courts, CAST(coalesce(public_direct_email, '') <> '' AS INT) + CAST(coalesce(shared_facility_email, '') <> '' AS INT) AS mails FROM {MASTER})""")
+def decision_list(spark: SparkSession, d: str) -> DataFrame:
+    has = [A.full(c) != "" for c in ("public_direct_email", "shared_facility_email")]
+    courts = F.col("number_of_courts")
+    rules = [
+        (A.full("email_domain") == "", F.lit("no site")), (courts.isNull() & ~rules_.at_least(has, 1), F.lit("bare")), ((courts >= 10) | rules_.at_least(has, 2), F.lit("rich")), (rules_.at_least(has, 1), F.lit("reachable")),
+    ]
+    return table(spark, d, MASTER).select("facility_row_id", rules_.decision_list(rules, F.lit("counted")).alias("class"))
+
+
 @query("""SELECT c.city_id AS market_ord, t.title_id AS template_ord, 'find ' || title_name || ' in ' || city_name AS query FROM city_list c, title_list t""")
 def fanout_cross(spark: SparkSession, d: str) -> DataFrame:
     markets = table(spark, d, "city_list").select(F.col("city_name").alias("market"), F.col("city_id").alias("market_ord"))
@@ -397,7 +418,41 @@ def publisher_filter(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, MASTER).select("facility_row_id", T.let(A.site(), lambda x: X.looks_like_publisher("facility_name", x)).alias("publisher"))
 
 
-@query()
+HOST_OF = "CASE WHEN contains({e}, '@') THEN split_part({e}, '@', 2) ELSE '' END"
+FREE = quoted(FREE_MAIL_FINAL)
+
+
+def ours_sql(h: str) -> str:
+    label = f"regexp_replace(regexp_replace({h}, '\\.[a-z.]+$', ''), '[^a-z]', '', 'g')"
+    return f"({h} <> '' AND ({h} = apex OR suffix({h}, '.' || apex) OR suffix(apex, '.' || {h}) OR {h} IN ({FREE}) OR len(list_filter(words, lambda w: contains({label}, w))) > 0))"
+
+
+NORMAL_SQL = f"""h AS (SELECT *, coalesce(facility_name, '') AS n, {SITE_OF} AS h FROM {MASTER}), a AS (SELECT *, {apex_sql('h')} AS apex, coalesce({HOST_OF.format(e="public_direct_email")}, '') AS dh,
+ coalesce({HOST_OF.format(e="shared_facility_email")}, '') AS sh, list_filter(regexp_split_to_array(lower(n), '[^a-z]+'), lambda w: length(w) >= 5 AND w NOT IN ({quoted(BRAND_STOP_WORDS)})) AS words FROM h),
+p AS (SELECT *, apex <> '' AND ({PUBLISHER_SQL} OR regexp_matches(n, '^\\d{{2,3}}\\.\\d') OR regexp_matches(n, '(?i){MASTHEADS}') OR (regexp_matches(n, '(?i){WEAK_MASTHEADS}') AND NOT regexp_matches(n, '(?i){VENUE_WORDS}'))) AS publisher,
+ coalesce(public_direct_email, '') <> '' AND NOT {ours_sql("dh")} AS bad_d, coalesce(shared_facility_email, '') <> '' AND NOT {ours_sql("sh")} AS bad_s FROM a),
+s AS (SELECT facility_row_id, publisher, facility_name, website, city, number_of_courts, qualification_status, decision_maker_first_name AS f0, decision_maker_last_name, apex, CASE WHEN bad_d THEN NULL ELSE public_direct_email END AS public_direct_email,
+ CASE WHEN bad_s THEN NULL ELSE shared_facility_email END AS shared_facility_email, CASE WHEN bad_d THEN '' ELSE dh END AS dh, CASE WHEN bad_s THEN '' ELSE sh END AS sh,
+ CASE WHEN bad_d OR bad_s THEN trim(coalesce(research_notes, '') || ' Third-party email removed (not on facility domain).', ' ') ELSE coalesce(research_notes, '') END AS notes FROM p),
+m AS (SELECT *, CASE WHEN dh <> '' AND dh NOT IN ({FREE}) THEN dh WHEN sh <> '' AND sh NOT IN ({FREE}) THEN sh WHEN apex IN ({FREE}) THEN '' ELSE apex END AS mail,
+ regexp_replace(strip_accents(lower(coalesce(f0, ''))), '[^a-z]', '', 'g') AS f, regexp_replace(strip_accents(lower(coalesce(decision_maker_last_name, ''))), '[^a-z]', '', 'g') AS l, trim(regexp_replace(replace(notes, '{GUESS_NOTE}', ''), '\\s+', ' ', 'g'), ' ') AS bare FROM s),
+g AS (SELECT *, regexp_replace(lower(mail), '^www\\.', '') AS md, coalesce(f0, '') <> '' AND coalesce(decision_maker_last_name, '') <> '' AND mail <> '' AND coalesce(public_direct_email, '') = '' AND f <> '' AND l <> '' AS named FROM m),
+z AS (SELECT facility_row_id, publisher, facility_name, website, city, number_of_courts, qualification_status, decision_maker_last_name, public_direct_email, shared_facility_email, nullif(mail, '') AS email_domain,
+ nullif(CASE WHEN named THEN trim(bare || ' {GUESS_NOTE}', ' ') ELSE bare END, '') AS research_notes, CASE WHEN named THEN f || '@' || md END AS guessed_email_1, CASE WHEN named THEN f || '.' || l || '@' || md END AS guessed_email_2, CASE WHEN named THEN f || l || '@' || md END AS guessed_email_3,
+ CASE WHEN named THEN f[1] || l || '@' || md END AS guessed_email_4, CASE WHEN named THEN f[1] || '.' || l || '@' || md END AS guessed_email_5, CASE WHEN named THEN f || l[1] || '@' || md END AS guessed_email_6 FROM g)"""
+GUESSES = ", ".join(f"guessed_email_{i}" for i in range(1, 7))
+ORACLES["normalize_master"] = f"WITH {NORMAL_SQL} SELECT facility_row_id, public_direct_email, shared_facility_email, email_domain, research_notes, {GUESSES} FROM z"
+
+
+@query(f"""WITH {NORMAL_SQL}, h2 AS (SELECT *, {SITE_OF} AS h, {SCORE} AS score, {NAME_KEY} AS nk FROM z WHERE NOT publisher), a2 AS (SELECT *, {apex_sql('h')} AS apex FROM h2),
+k AS (SELECT *, 'd:' || CASE WHEN apex <> '' THEN apex ELSE coalesce(website, '') END AS k1 FROM a2),
+p1 AS (SELECT *, min(facility_row_id) OVER (PARTITION BY k1) AS ord2, row_number() OVER (PARTITION BY k1 ORDER BY score DESC, facility_row_id) AS rn FROM k),
+p2 AS (SELECT *, CASE WHEN nk <> '' THEN 'n:' || nk || '|' || lower(coalesce(city, '')) ELSE 'w:' || coalesce(website, '') END AS k2 FROM p1 WHERE rn = 1),
+p3 AS (SELECT *, min(ord2) OVER (PARTITION BY k2) AS ord3, row_number() OVER (PARTITION BY k2 ORDER BY score DESC, ord2) AS rn2 FROM p2),
+f AS (SELECT *, first_value(CASE WHEN nk <> '' THEN nk END IGNORE NULLS) OVER (PARTITION BY lower(coalesce(public_direct_email, '')) ORDER BY score DESC, ord3 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior FROM p3 WHERE rn2 = 1),
+b AS (SELECT *, coalesce(public_direct_email, '') <> '' AND coalesce(prior = nk, false) AS again FROM f)
+SELECT facility_row_id, facility_name, website, city, qualification_status, CASE WHEN again THEN NULL ELSE public_direct_email END AS public_direct_email, shared_facility_email, email_domain,
+ CASE WHEN again THEN trim(coalesce(research_notes, '') || ' Duplicate contact removed.', ' ') ELSE research_notes END AS research_notes, {GUESSES} FROM b""")
 def finalize_master(spark: SparkSession, d: str) -> DataFrame:
     cols = ["facility_row_id", "facility_name", "website", "city", "qualification_status", "public_direct_email", "shared_facility_email", "email_domain", "research_notes", *[f"guessed_email_{i}" for i in range(1, 7)]]
     return A.finalize(master(spark, d), STATUSES).select(*cols)
