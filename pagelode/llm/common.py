@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-
 import pagelode.llm
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagelode.functions.text import fold_accents, let, repair_mojibake
+from pagelode.operators.lineage import cut
+
+__all__ = ["cut", "deletions", "letters_for_digits", "plain", "repair_fragments", "table"]
 
 
 # Functions run on workers travel with their code: no node but the driver needs this package.
@@ -20,21 +21,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """The folder the cluster names in spark.checkpoint.dir is used as it is; only a session without one gets its own."""
-    if spark.conf.get("spark.checkpoint.dir", None):
-        return
-    jsc = spark.sparkContext._jsc.sc()
-    if not jsc.getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pagelode-ckpt-"))
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Lineage cut through the shared checkpoint folder; survives lost executors."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 # Letters that a two-byte or three-byte UTF-8 sequence turns into when read as windows-1252, by rule.
 def _fragments() -> list[tuple[str, str]]:
     out = []
