@@ -140,6 +140,7 @@ class Lexicon:
             if ws:
                 self.content.setdefault(min(ws, key=lambda w: (df[w], -len(w))), []).append((i, ws))
         self.side = {w for _, ws in self.entries for w in ws} - set(self.content)
+        self.near_side = Near(w for w in self.side if len(w) >= 4)
         self.near_city = Near(w for w in self.content if len(w) >= 5)
         self.near_kind = Near(KIND_WORDS)
         self.common = {w for w in common if len(w) > 3 and w not in KIND_WORDS and w not in NOT_NAMES}
@@ -178,7 +179,7 @@ class Lexicon:
                 options = self.content[hit[0]]
                 rest = set(words)
                 best = max(options, key=lambda o: (sum(any(x == y or y.startswith(x) or skeleton(x, y) for x in rest) for y in o[1]), -len(o[1]), -o[0]))
-                used = [at] + [k for k in (at - 1, at + 1) if 0 <= k < len(words) and any(words[k] == y or (y in self.side and (y.startswith(words[k]) or skeleton(words[k], y))) for y in best[1] if y != hit[0])]
+                used = [at] + [k for k in (at - 1, at + 1) if 0 <= k < len(words) and any(words[k] == y or (y in self.side and (y.startswith(words[k]) or skeleton(words[k], y) or (self.near_side.find(words[k]) or ("",))[0] == y)) for y in best[1] if y != hit[0])]
                 return best[0], sorted(used)
         return 0, []
 
@@ -218,7 +219,7 @@ def parse_facility(raw: str | None, lex: Lexicon) -> dict:
         return {"core": [], "kinds": [], "unit": "", "city": city, "initials": ws[0], "acro": ws[0], "acro_town": ws[0]}
     core, kinds, acro = [], [], "".join(w[0] for w in ws if w not in ("and", "of", "the"))
     for k, w in enumerate(ws):
-        if w in ("and", "of", "the", "a", "at", "ny"):
+        if w in ("and", "of", "the", "a", "at", "ny") or w in NOT_NAMES:
             continue
         kd = lex.kind(w) if len(w) > 1 else ""
         if kd and not (k == 0 and len(w) > 6 and kd != w and not any(lex.kind(x) for x in ws[1:])):
@@ -228,6 +229,11 @@ def parse_facility(raw: str | None, lex: Lexicon) -> dict:
         else:
             near = lex.near_common.find(w) if len(w) > 3 and w not in lex.common else None
             core.append(near[0] if near else w)
+    # a chain's name is all common words; its short forms stand for the longest of them
+    if len(core) > 1:
+        long = [max((c for c in lex.common if c.startswith(w)), key=lambda c: (len(c), c), default=w) if len(w) >= 3 else w for w in core]
+        if all(w in lex.common for w in long):
+            core = long
     if "sports" in kinds and "plex" in kinds:
         kinds = [x for x in kinds if x not in ("sports", "plex")] + ["sportsplex"]
     if len(core) == 1 and len(core[0]) >= 9 and core[0] not in lex.common:
