@@ -21,7 +21,7 @@ from pagelode.operators import rules as rules_
 from pagelode.plans.discover import candidate_sites
 from pagelode.profile import (
     BRAND_STOP_WORDS, FREE_MAIL_FINAL, FREE_MAIL_SEEN, GUESS_NOTE, HONORIFICS, INDOOR, LISTING_HOSTS, MASTHEADS, NAME_KINDS, NAME_STOP_WORDS, NOT_A_PERSON, OUTDOOR, PAID, PUBLISHER_DOMAINS, RETAIL_SIGNALS,
-    ROLE_LOCALS, SHARED_LOCALS, SPORTS, TEXT_KINDS, VANITY_LABELS, VENUE_WORDS, WEAK_MASTHEADS,
+    ROLE_LOCALS, SHARED_LOCALS, SPORTS, STREET_SUFFIXES, STREET_WORDS, TEXT_KINDS, VANITY_LABELS, VENUE_WORDS, WEAK_MASTHEADS,
 )
 from pagelode.sources import csvio
 from pagelode.sources.stages import table
@@ -239,7 +239,18 @@ def location_evidence(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, OUTREACH).select("track_row_id", X.location_evidence(text).alias("evidence"))
 
 
-@query()
+STREET_FORM = (
+    f"(\\d{{1,6}}[A-Za-z]?\\s+[A-Za-z0-9.''`\\-\\s]{{2,40}}?(?:{'|'.join(STREET_SUFFIXES)})\\.?)(?:\\s*,?\\s*(?:Suite|Ste|Unit|Bldg|Building|Floor|Fl)\\.?\\s*[A-Za-z0-9_-]+)?"
+    "\\s*,\\s*([A-Z][A-Za-z.''\\-]*(?:\\s+[A-Z][A-Za-z.''\\-]*){0,2})\\s*,\\s*(?:NY|New York)\\b\\s*(\\d{5})?"
+)
+
+
+@query(f"""WITH t AS (SELECT track_row_id, regexp_replace(address, '[\\s\\x{{a0}}\\x{{feff}}]+', ' ', 'g') AS t FROM {OUTREACH} WHERE address IS NOT NULL),
+x AS (SELECT track_row_id, unnest(regexp_extract_all(t, '{STREET_FORM}', 1)) AS street, unnest(regexp_extract_all(t, '{STREET_FORM}', 2)) AS c, unnest(list_transform(regexp_extract_all(t, '{STREET_FORM}', 3), lambda z: coalesce(z, ''))) AS zip, unnest(range(1, len(regexp_extract_all(t, '{STREET_FORM}')) + 1)) AS pos FROM t),
+n AS (SELECT track_row_id, pos, trim(regexp_replace(street, '\\s+', ' ', 'g'), ' ') AS street, trim(regexp_replace(trim(c, ' '), '[.''’-]+$', ''), ' ') AS c, zip FROM x),
+k AS (SELECT *, CASE WHEN regexp_matches(c, '(?i)^(nyc|new york city|n\\.?y\\.?c\\.?)$') THEN 'New York' WHEN c = upper(c) THEN array_to_string(list_transform(regexp_extract_all(lower(c), '[a-z0-9_]+|[^a-z0-9_]+'), lambda p: upper(p[1]) || p[2:]), '') ELSE c END AS city FROM n)
+SELECT track_row_id, street, city, zip FROM k WHERE length(city) BETWEEN 3 AND 28 AND NOT regexp_matches(city, '(?i)\\b({"|".join(STREET_WORDS)})\\b') AND length(street) <= 60
+QUALIFY row_number() OVER (PARTITION BY track_row_id, lower(street) || '|' || zip ORDER BY pos) = 1""")
 def address_detect(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, OUTREACH).select("track_row_id", F.explode(X.addresses("address")).alias("a"))
     return rows.select("track_row_id", "a.street", "a.city", "a.zip")
@@ -501,7 +512,15 @@ def candidate_repeats(spark: SparkSession, d: str) -> DataFrame:
     return again.select("facility_no", "candidate_no", "email", "owner_no")
 
 
-@query()
+@query(f"""WITH w AS (SELECT website, min(candidate_row_id) AS o, count(DISTINCT CASE WHEN decision_maker_first_name IS NOT NULL AND decision_maker_last_name IS NOT NULL THEN decision_maker_first_name || chr(1) || decision_maker_last_name END) AS p,
+ count(*) FILTER (email_candidate_type = 'Published Direct' AND candidate_email <> '') AS dm FROM {CANDIDATES} WHERE website IS NOT NULL GROUP BY 1),
+l AS (SELECT website, list_slice(list(struct_pack(street := coalesce(branch_street, ''), city := coalesce(branch_city, ''), zip := coalesce(branch_zip, '')) ORDER BY location_row_id), 1, 12) AS l FROM {PLACES} WHERE website IS NOT NULL GROUP BY 1),
+e AS (SELECT {HOST} AS host, l, o, least(p, 8) + least(dm, 12) + coalesce(len(l), 0) AS weight FROM w LEFT JOIN l USING (website)),
+i AS (SELECT * FROM e WHERE host <> '' QUALIFY row_number() OVER (PARTITION BY host ORDER BY weight DESC, o) = 1),
+m AS (SELECT {HOST} AS host, coalesce(city, '') AS city, format('NY-{{:04d}}', row_number() OVER (ORDER BY facility_row_id)) AS id FROM {MASTER}),
+j AS (SELECT id, coalesce(len(l), 0) AS n, CASE WHEN len(l) > 0 THEN l ELSE [struct_pack(street := '', city := m.city, zip := '')] END AS l FROM m LEFT JOIN i ON m.host = i.host),
+x AS (SELECT id, n, unnest(l) AS b, unnest(range(1, len(l) + 1)) AS pos FROM j)
+SELECT id AS facility_id, id || '-' || chr(CAST(64 + pos AS INT)) AS location_id, b.street AS branch_street, b.city AS branch_city, b.zip AS branch_zip, CASE WHEN n > 1 THEN 'Yes' ELSE 'No' END AS is_multi_location, greatest(n, 1) AS location_count FROM x""")
 def branch_explode(spark: SparkSession, d: str) -> DataFrame:
     return C.branches(facilities_with_extras(spark, d)).select("facility_id", "location_id", "branch_street", "branch_city", "branch_zip", "is_multi_location", "location_count")
 
