@@ -31,7 +31,7 @@ def common_words(texts: DataFrame, col: str, share: float = COMMON_SHARE, least:
     return [r.w for r in words.groupBy("w").count().filter(F.col("count") >= max(least, int(share * n))).select("w").collect()]
 
 
-FACILITY_SCHEMA = "id long, core string, kinds array<string>, unit string, ncity int, ccity int, initials string, acro string, acro_town string, host string, slug string, given string, family string, email string, courts int, generic boolean"
+FACILITY_SCHEMA = "id long, core string, kinds array<string>, unit string, ncity int, ccity int, initials string, acro string, acro_town string, host string, slug string, given string, family string, email string, courts int, generic boolean, common boolean"
 
 
 def facility_records(rows: DataFrame, cities: list[tuple[int, str]], common: list[str]) -> DataFrame:
@@ -59,7 +59,7 @@ def facility_records(rows: DataFrame, cities: list[tuple[int, str]], common: lis
                 generic = bool(p["core"]) and all(w in lex.common for w in p["core"])
                 out.append((
                     r.id, " ".join(p["core"]), p["kinds"], p["unit"], p["city"], town, p["initials"], p["acro"], p["acro_town"], host, slug, given,
-                    family if len(family) > 2 else "", direct if "@" in direct else "", None if pd.isna(r.courts) or not 1 <= r.courts <= 60 else int(r.courts), generic,
+                    family if len(family) > 2 else "", direct if "@" in direct else "", None if pd.isna(r.courts) or not 1 <= r.courts <= 60 else int(r.courts), generic, bool(p["core"]) and p["core"][0] in lex.common,
                 ))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in FACILITY_SCHEMA.split(", ")])
 
