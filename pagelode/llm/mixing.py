@@ -46,11 +46,9 @@ def water_fill(total: float, sizes: dict[str, float], targets: dict[str, float],
 
 
 def measured(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(row, doc_id, source, n_tokens) of every document that can take part."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    sizes = count_tokens(docs)
-    kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source").join(sizes, "doc_id")
-    return kept.filter("source is not null and n_tokens > 0").groupBy("doc_id", "source").agg(F.max("n_tokens").alias("n_tokens"))
+    """(doc_id, source, n_tokens) of every document that can take part."""
+    docs = table(spark, sf_dir, "documents").filter("source is not null")
+    return count_tokens(docs, keep=("source",)).filter("n_tokens > 0")
 
 
 def plan(docs: DataFrame, targets: DataFrame, total: float | None = None) -> list[tuple]:

@@ -247,17 +247,19 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids array<int>")
 
 
-def count_tokens(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """docs(doc_id, text) -> doc_id, n_tokens; 0 for null and empty texts."""
+def count_tokens(docs: DataFrame, path: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """docs(doc_id, text, and text columns to keep) -> doc_id, those columns, n_tokens; 0 for null and empty texts."""
     ranks = Ranks(docs.sparkSession, path or vocabulary_path())
+    heads = ["doc_id", *keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = _tokenizer(ranks)
         for batch in batches:
             n = pa.array([len(tok.encode(t)) for t in batch.column("text").to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), n], names=["doc_id", "n_tokens"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in heads], n], names=[*heads, "n_tokens"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_tokens long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *[F.col(c).cast("string").alias(c) for c in keep], "text")
+    return rows.mapInArrow(run, "doc_id long, " + "".join(f"{c} string, " for c in keep) + "n_tokens long")
 
 
 def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
