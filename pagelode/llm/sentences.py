@@ -130,6 +130,7 @@ def _mark(c: Column) -> Column:
         (f"([.!?…؟।]+{tail})(?={SPACE}+{START})", f"$1{MARK}"),
         # no space after the terminator
         (_after("[\\p{Ll}\\p{N})\\]”»>]", "[.!?]") + "(?=[\"“(]?\\p{Lu}(?:\\p{Ll}|[." + MASKS[0] + "]|\\b))", f"$0{MARK}"),
+        ("([.!?][”»)\\]]{1,2})(?=\\p{Lu}\\p{Ll})", f"$1{MARK}"),
         # line breaks that are left, list items among them
         ("\\n+", f"{MARK}$0"),
     )
@@ -142,6 +143,8 @@ def _mark(c: Column) -> Column:
         # scripts without spaces: speech that goes on after its closing quote does not end there
         ("[。！？｡]", f"([。！？｡]+(?:[）)】》]|{SPACE}{{0,2}}{EMOJI})*)(?![。！？｡」』”’\")）)】》])", f"$1{MARK}"),
         ("[。！？｡]", f"([。！？｡]+[」』”’\"]+)(?={SPACE}|$)", f"$1{MARK}"),
+        # speech after a colon ends its sentence, if nothing goes on from it
+        ("[：，][“「『]", "([：，][“「『][^”」』\\n]{0,400}[。！？｡][”」』])(?=[^と、，。！？\\s" + MARK + "])", f"$1{MARK}"),
         ("[\\u0e00-\\u0e7f]", "[ \\u00a0\\u2009\\u200b\\t](?<=[\\u0e00-\\u0e7f].)(?=[ \\u00a0\\u2009\\u200b\\t]*[\\u0e00-\\u0e7f])", f"{MARK}$0"),
     )
     for there, r, put in rare:

@@ -16,6 +16,7 @@ CASES = {
     "Hours\n• Seniors: 7 a.m. sharp\n1) Fee $3; max. 2\n\nWe are open.": ["Hours", "• Seniors: 7 a.m. sharp", "1) Fee $3; max. 2", "We are open."],
     "This line is wrapped at about seventy characters because the text was a\nmail once. The next one\nis short.": ["This line is wrapped at about seventy characters because the text was a\nmail once.", "The next one\nis short."],
     "料金は2.5ドルです。「床は新しい。」と話しました。「本当？」と聞く！": ["料金は2.5ドルです。", "「床は新しい。」と話しました。", "「本当？」と聞く！"],
+    "教练说：“新的。请换鞋。”前台开门。(No food.)Then we left.": ["教练说：“新的。请换鞋。”", "前台开门。", "(No food.)", "Then we left."],
     "真的吗？！“可以吗？”是问题。（请勿入内。）好": ["真的吗？！", "“可以吗？”是问题。", "（请勿入内。）", "好"],
     "«Новое», — сказала она. Мы в г. Ржев с 1987 г. Вход с ул. Лесной, д. 3.": ["«Новое», — сказала она.", "Мы в г. Ржев с 1987 г.", "Вход с ул. Лесной, д. 3."],
     "Am 3. Mai beginnt die 12. Saison. „Neu. Schnell“, sagt er. Siehe Abs. 7. Gut.": ["Am 3. Mai beginnt die 12. Saison.", "„Neu. Schnell“, sagt er.", "Siehe Abs. 7.", "Gut."],
