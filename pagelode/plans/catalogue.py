@@ -207,9 +207,9 @@ WORD_VALUES = "MAP {'one': 1, 'two': 2, 'three': 3, 'four': 4, 'five': 5, 'six':
 @query(f"""WITH t AS (SELECT doc_id, regexp_replace(text, '[\\s\\x{{a0}}\\x{{feff}}]+', ' ', 'g') AS t FROM documents WHERE text IS NOT NULL),
 r AS (SELECT doc_id, {", ".join(f"lower(regexp_extract(t, '(?i){f}', 1)) AS r{i}" for i, f in enumerate(COUNT_FORMS))} FROM t),
 n AS (SELECT doc_id, {", ".join(f"coalesce(try_cast(r{i} AS INT), {WORD_VALUES}[r{i}]) AS n{i}" for i in range(4))} FROM r)
-SELECT doc_id, coalesce({", ".join(f"CASE WHEN n{i} BETWEEN 1 AND 200 THEN n{i} END" for i in range(4))}) AS courts FROM n""")
+SELECT doc_id, coalesce({", ".join(f"CASE WHEN n{i} BETWEEN 1 AND 200 THEN n{i} END" for i in range(4))}, 0) AS courts FROM n""")
 def count_detect(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").filter("text is not null").select("doc_id", X.court_count("text")["count"].alias("courts"))
+    return table(spark, d, "documents").filter("text is not null").select("doc_id", F.coalesce(X.court_count("text")["count"], F.lit(0)).alias("courts"))
 
 
 def first_rule_sql(c: str, rules, otherwise: str) -> str:
@@ -294,9 +294,9 @@ def name_confirmed(spark: SparkSession, d: str) -> DataFrame:
 # ---------------------------------------------------------------- reductions by key
 
 
-@query("""SELECT user_id, list(event_type ORDER BY rn) AS types FROM (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events WHERE event_type <> '') WHERE rn <= 12 GROUP BY user_id""")
+@query("""SELECT user_id, string_agg(event_type, ',' ORDER BY rn) AS types FROM (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events WHERE event_type <> '') WHERE rn <= 12 GROUP BY user_id""")
 def capped_collect(spark: SparkSession, d: str) -> DataFrame:
-    return K.capped_collect(table(spark, d, "events"), "user_id", "event_id", ["event_type"]).withColumnRenamed("event_type", "types")
+    return K.capped_collect(table(spark, d, "events"), "user_id", "event_id", ["event_type"]).select("user_id", F.array_join("event_type", ",").alias("types"))
 
 
 @query("""WITH s AS (SELECT list_sort(list(DISTINCT event_type)) AS s FROM events), r AS (SELECT e.*, (list_position(s.s, event_type) - 1 - user_id % len(s.s) + len(s.s)) % len(s.s) AS r FROM events e, s)
@@ -308,11 +308,12 @@ def engine_failover(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""WITH h AS (SELECT track_row_id AS o, {HOST} AS domain, company_name, fit_notes, batch_label FROM {OUTREACH}), k AS (SELECT * FROM h WHERE domain <> '' AND NOT regexp_matches(domain, '{"|".join(w.replace(".", "[.]") for w in sorted(set(LISTING_HOSTS)))}') AND NOT regexp_matches(domain, '(?i)\\.(gov|mil|ny\\.us)$'))
-SELECT domain, 'https://' || domain AS url, list_slice(coalesce(list(company_name ORDER BY o) FILTER (company_name <> ''), []), 1, 12) AS titles, list_slice(coalesce(list(fit_notes ORDER BY o) FILTER (fit_notes <> ''), []), 1, 12) AS snippets,
- list_slice(coalesce(list(batch_label ORDER BY o) FILTER (batch_label <> ''), []), 1, 12) AS queries FROM k GROUP BY domain""")
+SELECT domain, 'https://' || domain AS url, array_to_string(list_slice(coalesce(list(company_name ORDER BY o) FILTER (company_name <> ''), []), 1, 12), ' | ') AS titles, array_to_string(list_slice(coalesce(list(fit_notes ORDER BY o) FILTER (fit_notes <> ''), []), 1, 12), ' | ') AS snippets,
+ array_to_string(list_slice(coalesce(list(batch_label ORDER BY o) FILTER (batch_label <> ''), []), 1, 12), ' | ') AS queries FROM k GROUP BY domain""")
 def site_discovery(spark: SparkSession, d: str) -> DataFrame:
     hits = table(spark, d, OUTREACH).select(F.col("track_row_id").alias("ord"), F.col("website").alias("url"), F.col("company_name").alias("title"), F.col("fit_notes").alias("snippet"), F.col("batch_label").alias("query"))
-    return candidate_sites(hits)
+    sites = candidate_sites(hits)
+    return sites.select("domain", "url", *[F.array_join(c, " | ").alias(c) for c in ("titles", "snippets", "queries")])
 
 
 @query(f"""SELECT facility_row_id, CASE WHEN NOT own THEN 'no site' WHEN courts IS NULL AND mails = 0 THEN 'bare' WHEN courts >= 10 OR mails >= 2 THEN 'rich' WHEN mails = 1 THEN 'reachable' ELSE 'counted' END AS class
