@@ -303,6 +303,11 @@ def own_direct_email(found: Column, direct: Column) -> Column:
     return F.coalesce(F.when(p.isNotNull(), echo).when(F.size(direct) == 1, F.get(direct, 0)), F.lit(""))
 
 
+def notes(*sentences: tuple[Column, Column]) -> Column:
+    """The sentences whose condition holds, in order, with a blank between; '' if none."""
+    return F.concat_ws(" ", *[F.when(condition, text) for condition, text in sentences])
+
+
 def name_is_confirmed(first: Column | str, last: Column | str) -> Column:
     """Whether both names are letters, two or more, and neither an honorific nor a squad or department."""
     from pagelode.profile import HONORIFICS, NOT_A_PERSON

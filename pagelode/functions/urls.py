@@ -92,3 +92,9 @@ def brand_tokens(domain: Column | str, name: Column | str) -> Column:
     d = F.regexp_replace(F.coalesce(as_col(domain), F.lit("")), "\\.[a-z.]+$", "")
     words = F.concat(F.split(F.lower(d), "[^a-z]+"), F.split(F.lower(F.coalesce(as_col(name), F.lit(""))), "[^a-z]+"))
     return F.array_distinct(F.filter(words, lambda w: (F.length(w) >= 5) & ~w.isin(*BRAND_STOP_WORDS)))
+
+
+def attempts(url: Column | str, domain: Column | str) -> Column:
+    """The addresses under which a site is tried, in order, each once."""
+    u = F.coalesce(as_col(url), F.lit(""))
+    return F.array_distinct(F.filter(F.array(prefer_https(u), F.concat(F.lit("https://www."), F.coalesce(as_col(domain), F.lit(""))), u), lambda x: ~x.isin("", "https://www.")))

@@ -291,6 +291,29 @@ def name_confirmed(spark: SparkSession, d: str) -> DataFrame:
     return rows.withColumn("confirmed", X.name_is_confirmed("first", "last"))
 
 
+@query(f"""WITH p AS (SELECT facility_row_id, lower(public_direct_email) AS e, regexp_replace(lower(decision_maker_first_name), '[^a-z]', '', 'g') AS f, regexp_replace(lower(decision_maker_last_name), '[^a-z]', '', 'g') AS l
+ FROM {MASTER} WHERE decision_maker_first_name IS NOT NULL AND decision_maker_last_name IS NOT NULL AND public_direct_email IS NOT NULL), q AS (SELECT *, regexp_replace(split_part(e, '@', 1), '[^a-z]', '', 'g') AS lp FROM p)
+SELECT facility_row_id, CASE WHEN lp <> '' AND (lp = f || l OR lp = l || f OR lp = f[1] || l OR lp = f || l[1] OR (length(l) >= 4 AND contains(lp, l)) OR (length(f) >= 4 AND lp = f)) THEN e ELSE '' END AS email FROM q""")
+def email_match(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, MASTER).filter("decision_maker_first_name is not null and decision_maker_last_name is not null and public_direct_email is not null")
+    one = F.array(F.struct(F.col("decision_maker_first_name").alias("first"), F.col("decision_maker_last_name").alias("last"), F.lit("").alias("title"), F.lit(0).alias("rank")))
+    hit = X.match_emails_to_people(one, F.array(F.lower("public_direct_email")))
+    return rows.select("facility_row_id", F.get(hit, F.lit(0))["email"].alias("email"))
+
+
+@query(f"""SELECT facility_row_id, array_to_string(list_filter([secure, CASE WHEN 'https://www.' || dom <> secure AND dom <> '' THEN 'https://www.' || dom END, CASE WHEN w <> secure AND w <> 'https://www.' || dom THEN w END], lambda x: x IS NOT NULL AND x <> ''), ' ') AS attempts
+FROM (SELECT facility_row_id, coalesce(website, '') AS w, regexp_replace(coalesce(website, ''), '(?i)^http://', 'https://') AS secure, coalesce(email_domain, '') AS dom FROM {MASTER})""")
+def url_attempts(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, MASTER).select("facility_row_id", F.array_join(U.attempts("website", "email_domain"), " ").alias("attempts"))
+
+
+@query(f"""SELECT facility_row_id, concat_ws(' ', CASE WHEN coalesce(decision_maker_last_name, '') = '' THEN 'No person found.' END, CASE WHEN number_of_courts IS NULL THEN 'No count stated.' ELSE number_of_courts || ' counted.' END, research_notes) AS notes FROM {MASTER}""")
+def notes_assembly(spark: SparkSession, d: str) -> DataFrame:
+    n = F.col("number_of_courts")
+    told = X.notes((A.full("decision_maker_last_name") == "", F.lit("No person found.")), (n.isNull(), F.lit("No count stated.")), (n.isNotNull(), F.concat(n.cast("string"), F.lit(" counted."))), (F.col("research_notes").isNotNull(), F.col("research_notes")))
+    return table(spark, d, MASTER).select("facility_row_id", told.alias("notes"))
+
+
 # ---------------------------------------------------------------- reductions by key
 
 
