@@ -47,6 +47,7 @@ def facility_records(rows: DataFrame, cities: list[tuple[int, str]], common: lis
             for r in pdf.itertuples(index=False):
                 p = names.parse_facility(r.name, lex)
                 host, slug = names.parse_host(r.website, r.email_domain, (r.shared,))
+                p = names.complete(p, host, lex)
                 place = names.words_of(names.plain(r.city))
                 given, family = names.plain(r.first), "".join(names.parse_person(r.last)[1]) if r.last else ""
                 town = lex.city(place, whole=True)[0]

@@ -228,7 +228,10 @@ def parse_facility(raw: str | None, lex: Lexicon) -> dict:
             initials += w
         else:
             near = lex.near_common.find(w) if len(w) > 3 and w not in lex.common else None
-            core.append(near[0] if near else w)
+            # what tells names apart comes first and is no mistyped common word, unless it is as good as one
+            core.append(near[0] if near and (core or (near[1] <= 1 and len(w) >= 8)) else w)
+    while len(core) > 2 and core[-1] in lex.side:  # what is left of a city that was cut off
+        core.pop()
     # a chain's name is all common words; its short forms stand for the longest of them
     if len(core) > 1:
         long = [max((c for c in lex.common if c.startswith(w)), key=lambda c: (len(c), c), default=w) if len(w) >= 3 else w for w in core]
@@ -244,6 +247,31 @@ def parse_facility(raw: str | None, lex: Lexicon) -> dict:
     return {"core": core, "kinds": sorted(set(kinds)), "unit": unit, "city": city, "initials": initials, "acro": acro, "acro_town": acro + town}
 
 
+HOST_ENDS = (*KIND_WORDS, "cc", "rec", "volley", "indoor", "club", "ny")
+
+
+def core_of_host(host: str, lex: Lexicon) -> list[str]:
+    """First word and common last word of the name that a host was made of; [] if it does not show them."""
+    base = host.split("-")[0]
+    for e in sorted(HOST_ENDS, key=lambda e: (-len(e), e)):
+        if base.endswith(e) and len(base) - len(e) >= 8:
+            base = base[: -len(e)]
+            break
+    for cut in range(5, len(base) - 2):
+        if base[cut:] in lex.common and base[cut:] not in KIND_WORDS:
+            return [base[:cut], base[cut:]]
+    return []
+
+
+def complete(p: dict, host: str, lex: Lexicon) -> dict:
+    """A name in initials, or of one word, filled from the host where that begins with the same word."""
+    if host and (p["initials"] or len(p["core"]) < 2) and not p["unit"]:
+        core = core_of_host(host, lex)
+        if core and (not p["core"] or (len(p["core"][0]) > 3 and Near([core[0]]).find(p["core"][0]))):
+            return p | {"core": core, "initials": ""}
+    return p
+
+
 def parse_host(website: str | None, email_domain: str | None, emails: Iterable[str | None] = ()) -> tuple[str, str]:
     """(host, slug): label of the facility's own host without its ending; page name on a listing host."""
     host, slug = "", ""
