@@ -161,7 +161,7 @@ def map_texts(texts: DataFrame, entries: DataFrame, rules: Rules) -> DataFrame:
 def map_column(rows: DataFrame, id_col: str, col: str, entries: DataFrame, rules: Rules, salts: int = 16) -> DataFrame:
     """(id, ref_id, score) for each row whose text is not blank; one frequent text is spread over salts parts in the join."""
     live = rows.select(F.col(id_col).alias("id"), F.col(col).alias("text")).filter(F.length(F.trim(F.regexp_replace("text", "[\\s\\u00a0\\u200b]+", " "))) > 0)
-    found = map_texts(live.select("text").distinct(), entries, rules)
+    found = cut(map_texts(live.select("text").distinct(), entries, rules))  # a row a distinct text; keeps the last plan small
     found = found.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     live = live.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
     return live.join(found, ["text", "salt"], "left").select("id", F.coalesce("entry", F.lit(0)).cast("long").alias("ref_id"), "score", "text")

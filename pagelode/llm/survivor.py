@@ -52,7 +52,7 @@ def evidence(rows: DataFrame, trust: DataFrame, cities: DataFrame) -> DataFrame:
     base = base.join(trust, "record_source", "left").withColumn("trust", F.coalesce("trust", F.lit(0)))
     base = base.join(own_domain(rows), "dup_group", "left")
     texts = base.select(F.col("city").alias("text")).filter("trim(city) <> ''").distinct()
-    named = map_texts(texts, cities, CITY).join(cities, "entry").select(F.col("text").alias("city"), F.col("name").alias("city_name"))
+    named = cut(map_texts(texts, cities, CITY)).join(cities, "entry").select(F.col("text").alias("city"), F.col("name").alias("city_name"))
     base = base.join(named, "city", "left")
 
     mail = F.replace(F.replace(F.lower(squash_spaces("public_direct_email")), F.lit("[at]"), F.lit("@")), F.lit(","), F.lit("."))
