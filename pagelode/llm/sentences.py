@@ -44,36 +44,33 @@ ITEM = 48  # headings and list items are shorter than this
 WRAP = 60  # a line of so many characters that ends without a terminator runs on in the next line
 
 
-def _after(before: str, point: str = "\\.") -> str:
-    """A point that stands behind a pattern; the point comes first so that the engine skips all other characters fast."""
-    return f"{point}(?<={before}{point})"
+def _after(before: str, then: str = "", point: str = "\\.") -> str:
+    """What must stand behind a point and what must follow; the point itself comes first in the pattern, so the engine skips all other characters fast."""
+    return f"(?<={before}{point}){then}"
 
 
 def _mask_points(c: Column) -> Column:
-    """Points that end nothing become masks."""
-    mask = MASKS[0]
-    word = "(?<![\\p{L}\\p{N}])"
-    rules = (
+    """Points that end nothing become masks, in one pass."""
+    word, gap = "(?<![\\p{L}\\p{N}])", f"{SPACE}{{0,3}}"
+    cases = (
         # hosts, addresses, decimals, a.m.: a small letter or digit follows at once
-        _after("[\\p{L}\\p{N}_/)-]") + "(?=[\\p{Ll}\\p{N}_/])",
-        _after(f"{word}Ph") + "(?=D\\b)",
-        _after(f"{word}Ph{mask}D") + "(?= \\p{L})",
-        _after(f"{word}(?:{BEFORE_NAME})") + f"(?={SPACE}{{0,3}}[\\p{{L}}])",
-        _after(f"{word}(?:{BEFORE_NUMBER})") + f"(?={SPACE}{{0,3}}[(+]?\\p{{N}})",
-        _after(f"{word}(?:Nov|Dec|Jan|Feb|Mar|Apr|Aug|Sept|Sep|Oct){mask}?") + f"(?=\\.{{0,2}}{SPACE}{{0,3}}\\p{{N}})",
-        _after("[a-zß]{3}str") + "(?= \\p{N})",
+        _after("[\\p{L}\\p{N}_/)-]", "(?=[\\p{Ll}\\p{N}_/])"),
+        _after(f"{word}Ph", "(?=D\\b)"),
+        _after(f"{word}Ph\\.D", "(?= \\p{L})"),
+        _after(f"{word}(?:{BEFORE_NAME})", f"(?={gap}[\\p{{L}}])"),
+        _after(f"{word}(?:{BEFORE_NUMBER})", f"(?={gap}[(+]?\\p{{N}})"),
+        _after(f"{word}(?:Nov|Dec|Jan|Feb|Mar|Apr|Aug|Sept|Sep|Oct)\\.?", f"(?=\\.{{0,2}}{gap}\\p{{N}})"),
+        _after("[a-zß]{3}str", "(?= \\p{N})"),
         # initials: one capital, followed by a name or another initial
-        _after(f"{word}\\p{{Lu}}") + f"(?={SPACE}{{0,3}}(?:\\p{{Lu}}|{PARTICLE} \\p{{Lu}}))",
+        _after(f"{word}\\p{{Lu}}", f"(?={gap}(?:\\p{{Lu}}|{PARTICLE} \\p{{Lu}}))"),
         # the Russian г. is a year after a number and a town before a name
-        _after(f"(?<!\\p{{N}}{SPACE})(?<![\\p{{L}}\\p{{N}}])г") + f"(?={SPACE}{{0,3}}\\p{{Lu}})",
-        _after(f"{word}(?:{FIRM})") + f"(?={SPACE}{{0,3}}(?:{FIRM})\\b)",
+        _after(f"(?<!\\p{{N}}{SPACE})(?<![\\p{{L}}\\p{{N}}])г", f"(?={gap}\\p{{Lu}})"),
+        _after(f"{word}(?:{FIRM})", f"(?={gap}(?:{FIRM})\\b)"),
         # ordinals
-        _after("(?<!\\p{N})\\p{N}{1,2}") + f"(?={SPACE}(?:{MONTHS_DE})\\b)",
-        _after("\\b(?:die|der|dem|den|das|Die|Der|Das|am|Am|im|vom|zum) \\p{N}{1,2}") + "(?= \\p{Lu})",
+        _after("(?<!\\p{N})\\p{N}{1,2}", f"(?={SPACE}(?:{MONTHS_DE})\\b)"),
+        _after("\\b(?:die|der|dem|den|das|Die|Der|Das|am|Am|im|vom|zum) \\p{N}{1,2}", "(?= \\p{Lu})"),
     )
-    for r in rules:
-        c = F.regexp_replace(c, r, mask)
-    return c
+    return F.regexp_replace(c, f"\\.(?:{'|'.join(cases)})", MASKS[0])
 
 
 def _mask_breaks(c: Column) -> Column:
@@ -84,16 +81,15 @@ def _mask_breaks(c: Column) -> Column:
     more = f"(?!{INDENT}\\n)(?!{INDENT}$)"
     rules = (
         # a long line without an end goes on, even with a number that looks like an item's
-        f"\\n{open_end}{long}(?!{bullet}){more}",
-        f"\\n{open_end}(?<=[^\\n]{{{ITEM}}}\\n)(?!{bullet}|{number}){more}",
+        f"{open_end}{long}(?!{bullet}){more}",
+        f"{open_end}(?<=[^\\n]{{{ITEM}}}\\n)(?!{bullet}|{number}){more}",
         # after a long line that ends, the next words decide
-        f"\\n{long}(?<![\\u0e00-\\u0e7f]\\n)(?!{bullet}|{number}){more}",
+        f"{long}(?<![\\u0e00-\\u0e7f]\\n)(?!{bullet}|{number}){more}",
         # after an abbreviation, and before a small letter
-        f"\\n(?<={MASKS[0]}\\n){more}",
-        f"\\n{open_end}(?={INDENT}\\p{{Ll}}{{1,30}}[\\s,.;])",
+        f"(?<={MASKS[0]}\\n){more}",
+        f"{open_end}(?={INDENT}\\p{{Ll}}{{1,30}}[\\s,.;])",
     )
-    for r in rules:
-        c = F.regexp_replace(c, r, BREAK)
+    c = F.regexp_replace(c, f"\\n(?:{'|'.join(rules)})", BREAK)
     # the number of a list item
     return F.regexp_replace(c, f"\\.(?<=(?:^|\\n){INDENT[:-1]}{{0,3}}\\p{{N}}{{1,3}}\\.)(?=[ \\t])", MASKS[0])
 
@@ -129,7 +125,7 @@ def _mark(c: Column) -> Column:
         # scripts with spaces
         (f"([.!?…؟।]+{tail})(?={SPACE}+{START})", f"$1{MARK}"),
         # no space after the terminator
-        (_after("[\\p{Ll}\\p{N})\\]”»>]", "[.!?]") + "(?=[\"“(]?\\p{Lu}(?:\\p{Ll}|[." + MASKS[0] + "]|\\b))", f"$0{MARK}"),
+        ("[.!?]" + _after("[\\p{Ll}\\p{N})\\]”»>]", point="[.!?]") + "(?=[\"“(]?\\p{Lu}(?:\\p{Ll}|[." + MASKS[0] + "]|\\b))", f"$0{MARK}"),
         ("([.!?][”»)\\]]{1,2})(?=\\p{Lu}\\p{Ll})", f"$1{MARK}"),
         # line breaks that are left, list items among them
         ("\\n+", f"{MARK}$0"),
