@@ -39,6 +39,12 @@ def test_linkage_equals_one_merge_at_a_time(spark, seed):
     assert got == linkage_model(links, 0.35, 0.2)
 
 
+def test_linkage_of_equally_similar_nodes_runs_to_the_end(spark):
+    side = lambda c: spark.range(150).select(F.col("id").alias(c))
+    clique = side("a").crossJoin(side("b")).filter("a < b").select("a", "b", F.lit(0.95).alias("s"))
+    assert {r.node: r.label for r in average_linkage(clique, 0.5, 0.3).collect()} == dict.fromkeys(range(150), 0)
+
+
 def test_linkage_of_nothing(spark):
     df = spark.createDataFrame([], "a long, b long, s double")
     assert average_linkage(df, 0.5, 0.3).count() == 0
