@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pagelode.llm import canonical, entities, names
 from pagelode.llm.facility import facility_records, facility_similarity, grams
 from pagelode.llm.linkage import average_linkage
-from pagelode.llm.variants import PERSON_COLS, parse_contacts, person_similarity, sparse_cosine
+from pagelode.llm.variants import PERSON_COLS, parse_contacts, person_links, person_similarity, sparse_cosine
 
 CITIES = [(1, "Rellabrook"), (2, "West Sorrervale"), (3, "Pennworth Landing"), (4, "Fennshaw Harbor")]
 
@@ -131,6 +131,13 @@ def test_persons_alike_and_apart(spark):
     assert len(PERSON_COLS) == 6 and {r.contact_id for r in rec.collect()} == set(range(1, 8))
 
 
+def test_short_and_full_given_names_meet_at_different_places(spark):
+    rows = [(1, "Bill Gunninwick", "a"), (2, "William Gunninwick", "b"), (3, "Katherine O'Marrolock", "c"), (4, "Kate O'Marrolock", "d"), (5, "Dan Gunninwick", "e")]
+    df = spark.createDataFrame([(i, n, "x.test", p, None, None) for i, n, p in rows], "contact_id long, name string, company string, place string, title string, email string")
+    _, links = person_links(df, ["Owner"])
+    assert {(r.a, r.b): r.s for r in links.collect() if r.s > 0.5} == {(1, 2): 0.95, (3, 4): 0.95}
+
+
 def test_texts_are_mapped_to_their_entry(spark):
     cities = spark.createDataFrame(CITIES, "entry long, name string")
     typed = {"Relabrook, NY": 1, "W. Sorrervale": 2, "Sorrervale, West": 2, "pennworth lndg": 3, "Town of Fennshaw Hbr": 4, "Main Street": None, "12199": None, "Kumquat City": None, "PennworthLanding": 3}
