@@ -118,15 +118,18 @@ def title_case(c: Column | str) -> Column:
 
 
 def normalize_city(c: Column | str, aliases: dict[str, str]) -> Column:
-    """Trailing marks cut, known short forms spelled out, shouted names in title case; '' for null."""
+    """Trailing marks cut, known short forms spelled out, shouted names in title case; '' for null.
+
+    Capitals are a-z only, after anything but a-z, 0-9 and _: an accented letter stays small and the next one is raised."""
 
     def body(t: Column) -> Column:
-        out = F.when(t == F.upper(t), F.array_join(F.transform(F.split(F.lower(t), "(?<![a-z0-9_])(?=[a-z])"), lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.substring(p, 2, 10_000))), "")).otherwise(t)
+        out = F.when(t == F.upper(t), F.array_join(F.transform(F.split(F.lower(t), "(?<![a-z0-9_])(?=[a-z])"), lambda p: F.concat(F.when(p.rlike("^[a-z]"), F.upper(F.substring(p, 1, 1))).otherwise(F.substring(p, 1, 1)), F.substring(p, 2, 10_000))), "")).otherwise(t)
         for pattern, name in aliases.items():
             out = F.when(t.rlike(f"(?i){pattern}"), F.lit(name)).otherwise(out)
         return out
 
-    return let(F.trim(F.regexp_replace(F.coalesce(as_col(c), F.lit("")), "[.'’-]+$", "")), body)
+    blank = "[\\s\\u000b\\u00a0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000\\ufeff]+"
+    return let(F.regexp_replace(F.regexp_replace(F.coalesce(as_col(c), F.lit("")), "[.'’-]+\\z", ""), f"^{blank}|{blank}\\z", ""), body)
 
 
 def local_letters(c: Column | str) -> Column:

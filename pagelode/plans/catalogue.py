@@ -109,6 +109,15 @@ def city_normalize(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("typed", T.normalize_city("typed", NY.city_alias).alias("city"))
 
 
+@query()
+def city_normalize_all(spark: SparkSession, d: str) -> DataFrame:
+    """Every city, whatever its characters; city_normalize is the part of it that its SQL can say."""
+    from pagelode.profile import NY
+
+    rows = table(spark, d, MASTER).filter("city is not null").select(F.col("city").alias("typed")).distinct()
+    return rows.select("typed", T.normalize_city("typed", NY.city_alias).alias("city"))
+
+
 @query()
 def mojibake_repair(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, MASTER).select("facility_row_id", "facility_name", "decision_maker_last_name")

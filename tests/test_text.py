@@ -57,3 +57,13 @@ def test_hosts(value):
 def test_links_are_made_absolute(value):
     go = lambda h: value(U.absolute_url(F.lit(h), F.lit("https://a.test/x/y?q")))
     assert [go(h) for h in ("https://b.test/", "//c.test/z", "/d", "e", "?f", "mailto:x@y.test")] == ["https://b.test/", "https://c.test/z", "https://a.test/d", "https://a.test/x/e", "https://a.test/x/y?f", "mailto:x@y.test"]
+
+
+def test_cities_beyond_ascii_are_normalized(spark, tmp_path):
+    from pagelode.plans.catalogue import QUERIES
+
+    want = {
+        "Brooklyn’": "Brooklyn", "SAINT‑JEAN": "Saint‑Jean", "L’ORÉAL": "L’OréAl", "ÉVREUX": "éVreux", "Núñez": "Núñez", "NYC’": "New York", "\u00a0Rye\u00a0": "Rye", "Rye": "Rye", "中城": "中城", "": "",
+    }
+    spark.createDataFrame([(c,) for c in [*want, "Rye", None]], "city string").write.parquet(f"{tmp_path}/new_york_indoor_court_facilities.parquet")
+    assert {r.typed: r.city for r in QUERIES["city_normalize_all"](spark, str(tmp_path)).collect()} == want
