@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pagelode.functions.text import let
 from pagelode.llm.common import cut
 from pagelode.llm.facility import city_rows, common_words, facility_records, facility_similarity, grams, master_rows, outreach_rows
+from pagelode.operators.skew import spread_join
 
 # Index vectors count letters (q = 1): a transposition changes no bit, an insertion one, a substitution two.
 LETTERS = "etaoinsrhldcumfpgwybvkxjqz"  # by frequency, dealt to the pieces in turn so that all are equally filled
@@ -28,7 +29,7 @@ FIT_ROWS = 20_000  # labelled records used for the calibration
 BINS = 20
 WEIGHTS = {"core": 4.0, "kinds": 1.5, "host": 3.0, "family": 1.0, "email": 1.0}
 SURE = 0.5
-HOT = 1_000
+HOT = 1_000  # a meeting point with more records is dealt to several tasks; no pair of it is left out
 
 
 def bits(text: Column, q: int = 2) -> Column:
@@ -66,22 +67,20 @@ def encode(rec: DataFrame) -> DataFrame:
     )
 
 
-def meeting_keys(rec: DataFrame, hot: DataFrame) -> DataFrame:
+def meeting_keys(rec: DataFrame) -> DataFrame:
     """(id, k, v, r): the pieces of a record's vectors, by context; r is the radius within which v must agree.
 
-    A chain, whose name is all common words, meets by branch number or city only; so does a host that many records share."""
-    rec = rec.join(hot, "host", "left")
+    A chain, whose name is all common words, meets by branch number or city only."""
     none = F.array().cast("array<string>")
     towns = F.transform(F.array_distinct(F.filter(F.array("ncity", "ccity"), lambda c: c > 0)), lambda c: F.concat(F.lit("c"), c))
     unit = F.when(F.col("unit") != "", F.array(F.concat(F.lit("u"), F.col("unit")))).otherwise(none)
     noun = F.when(F.col("core").contains(" ") & ~F.col("generic"), F.array(F.concat(F.lit("n"), F.substring_index("core", " ", -1)))).otherwise(none)
-    split = F.col("generic") | F.coalesce("hot", F.lit(False))
     at = F.when(F.size(unit) > 0, unit).otherwise(towns)
     by_name = F.when(F.col("v_first") == 0, none).when(F.col("generic"), at).otherwise(F.concat(noun, towns))
     part = lambda i, n: F.concat_ws(":", F.lit(i), F.shiftrightunsigned("v_first", i * n * SLOT).bitwiseAND(F.lit((1 << n * SLOT) - 1)))
     spread = F.flatten(F.transform(by_name, lambda c: F.transform(F.array(*[part(i, PIECES // (NEAR + 1)) for i in range(NEAR + 1)]), lambda p: F.concat(c, F.lit("|"), p))))
     free = F.when((F.col("v_first") == 0) | F.col("common"), none).otherwise(F.array(*[F.concat(F.lit("w|"), part(i, PIECES // (ANYWHERE + 1))) for i in range(ANYWHERE + 1)]))
-    by_host = F.when(F.col("host") == "", none).when(split, F.transform(at, lambda c: F.concat(F.lit("h"), F.col("host"), c))).otherwise(F.array(F.concat(F.lit("h"), F.col("host"))))
+    by_host = F.when(F.col("host") == "", none).when(F.col("generic"), F.transform(at, lambda c: F.concat(F.lit("h"), F.col("host"), c))).otherwise(F.array(F.concat(F.lit("h"), F.col("host"))))
     said = F.filter(F.array_distinct(F.array("acro", "acro_town", F.replace("core", F.lit(" ")))), lambda x: F.length(x).between(3, 8))
     acro = F.when(F.col("generic"), none).otherwise(F.flatten(F.transform(towns, lambda c: F.transform(said, lambda y: F.concat(F.lit("a"), y, c)))))
     one = rec.select("id", F.explode(F.array_distinct(spread)).alias("k"), F.col("v_first").alias("v"), F.lit(NEAR).alias("r"))
@@ -94,7 +93,7 @@ def close_pairs(left: DataFrame, right: DataFrame, within: bool = False) -> Data
     """(a, b) of two sets of meeting keys whose vectors are within the radius; within: both sets are the same, a < b."""
     a = left.select(F.col("id").alias("a"), "k", F.col("v").alias("va"), "r")
     b = right.select(F.col("id").alias("b"), "k", F.col("v").alias("vb"))
-    hit = a.join(b, "k").filter(F.bit_count(F.col("va").bitwiseXOR(F.col("vb"))) <= F.col("r"))
+    hit = spread_join(a, b, "k", "b", HOT).filter(F.bit_count(F.col("va").bitwiseXOR(F.col("vb"))) <= F.col("r"))
     return (hit.filter("a < b") if within else hit).select("a", "b").distinct()
 
 
@@ -131,12 +130,11 @@ def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     common = common_words(master, "name")
     right = cut(encode(facility_records(master, cities, common)).join(master.select("id", "dup_group"), "id"))
     left = cut(encode(facility_records(outreach, cities, common)))
-    hot = right.filter("host <> ''").groupBy("host").count().filter(F.col("count") > HOT).select("host", F.lit(True).alias("hot"))
-    keys = cut(meeting_keys(right, hot))
-    pairs = scored(close_pairs(meeting_keys(left, hot), keys), left, right)
+    keys = cut(meeting_keys(right))
+    pairs = scored(close_pairs(meeting_keys(left), keys), left, right)
 
     sample = right.filter("dup_group is not null").orderBy("dup_group", "id").limit(FIT_ROWS).select("id", "dup_group")
-    known_keys = keys.join(sample.select("id"), "id")
+    known_keys = cut(keys.join(sample.select("id"), "id"))
     known = scored(close_pairs(known_keys, known_keys, within=True), right, right)
     group = lambda p: sample.select(F.col("id").alias(p), F.col("dup_group").alias(f"g_{p}"))
     rates = calibration(known.join(group("a"), "a").join(group("b"), "b").select("score", (F.col("g_a") == F.col("g_b")).alias("same")))

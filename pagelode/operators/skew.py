@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagelode.operators.lineage import cut
+
 
 def salted_join(many: DataFrame, few: DataFrame, key: str, spread: str, how: str = "inner", salts: int = 16) -> DataFrame:
     """many join few where one key may hold a large part of many and few has about one row a key.
@@ -16,6 +18,22 @@ def salted_join(many: DataFrame, few: DataFrame, key: str, spread: str, how: str
     return many.join(few, [key, "__salt"], how).drop("__salt")
 
 
+def spread_join(a: DataFrame, b: DataFrame, key: str, by: str, most: int) -> DataFrame:
+    """a join b on key where both may hold a key many times, and every pair is wanted. b is read twice: cut it first.
+
+    A key that more than most rows of b have is dealt to parts of about most rows by the hash of b's column by; a's rows of the key are repeated once per part.
+    """
+    hot = b.groupBy(key).count().filter(F.col("count") > most).select(key, F.ceil(F.col("count") / most).cast("int").alias("__parts"))
+    hot = cut(hot)
+    if hot.isEmpty():
+        return a.join(b, key)
+    hot = bounded_broadcast(hot, 10_000)
+    parts = F.coalesce("__parts", F.lit(1))
+    many = b.join(hot, key, "left").withColumn("__part", F.pmod(F.xxhash64(by), parts).cast("int")).drop("__parts")
+    few = a.join(hot, key, "left").withColumn("__part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("__parts")
+    return few.join(many, [key, "__part"]).drop("__part")
+
+
 def bounded_broadcast(df: DataFrame, rows: int) -> DataFrame:
     """df marked for broadcast if it has no more than so many rows; unmarked otherwise, for a shuffle join."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from pagelode.llm import canonical, entities, names
+from pagelode.llm import canonical, entities, names, variants
 from pagelode.llm.facility import facility_records, facility_similarity, grams
 from pagelode.llm.linkage import average_linkage
 from pagelode.llm.variants import PERSON_COLS, parse_contacts, person_links, person_similarity, sparse_cosine
@@ -122,6 +122,21 @@ def test_facilities_alike_and_apart(spark):
     assert s[1, 2] > 0.9 and s[1, 3] < 0.2 and s[4, 5] < 0 and s[4, 6] > 0.9 and s[1, 4] < 0.1
 
 
+def test_a_host_of_many_records_keeps_its_pairs(spark, monkeypatch):
+    # at a host over HOT: a record with a number, one with a city, and some with neither
+    rows = [(1, "Caditotem Bramble Squash Club #12", None), (2, "Caditotem Bramble Squash Club", "Rellabrook"), (3, "Brenubbask Rovale", None), (4, "Lumarrojon", None), (5, "Xanedaden Rovale #7", None)]
+    cols = "id long, name string, website string, city string, email_domain string, shared string, direct string, first string, last string, courts int"
+    df = spark.createDataFrame([(i, n, "https://caditotembramble.test", c, *(None,) * 6) for i, n, c in rows], cols)
+    every = set(itertools.combinations(range(1, 6), 2))
+    for most in (1_000, 2):
+        monkeypatch.setattr(variants, "HOT", most, raising=False)
+        monkeypatch.setattr(entities, "HOT", most, raising=False)
+        _, links = variants.facility_links(df, CITIES)
+        assert {(r.a, r.b) for r in links.collect()} == every
+    keys = entities.meeting_keys(entities.encode(facility_records(df, CITIES, []))).localCheckpoint()
+    assert {(r.a, r.b) for r in entities.close_pairs(keys, keys, within=True).collect()} == every
+
+
 def test_persons_alike_and_apart(spark):
     rows = [(1, "Emeka Corvurmere", "Owner", None), (2, "Corvurmere, Eneka", "Ownr", None), (3, "E. Corvurmere", "Owner", None), (4, "Dan Rennurnash", "Owner", None), (5, "Dana Rennurnash", "Fac. Mgr", None), (6, "Liz Ox-Rennurnash", None, "elizabeth.rennurnash@a.test"), (7, None, None, None)]
     rec = parse_contacts(spark.createDataFrame(rows, "contact_id long, name string, title string, email string"), ["emeka", "dan", "dana", "elizabeth"], ["Owner", "Facility Manager"])
