@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +15,7 @@ from pagelode.llm.common import table
 MAX_CITIES = 50_000  # the list of cities goes to every worker; a longer one is refused
 COMMON_SHARE = 0.004  # words in this share of the names are common ones; there can be no more than words per name / share
 COMMON_LEAST = 20
+FREE_SHARE, FREE_LEAST = 0.005, 8  # a mail domain with this share of the different mailboxes is nobody's own; there can be no more than 1 / share of them
 
 
 def city_rows(spark: SparkSession, sf_dir: str) -> list[tuple[int, str]]:
@@ -31,25 +32,39 @@ def common_words(texts: DataFrame, col: str, share: float = COMMON_SHARE, least:
     return [r.w for r in words.groupBy("w").count().filter(F.col("count") >= max(least, int(share * n))).select("w").collect()]
 
 
-FACILITY_SCHEMA = "id long, core string, kinds array<string>, unit string, ncity int, ccity int, initials string, acro string, acro_town string, host string, slug string, given string, family string, email string, courts int, generic boolean, common boolean"
+def free_mail(rows: DataFrame) -> list[str]:
+    """Domains of rows(shared) whose shared mailboxes have many different names: a facility's own has a few (info, office), a mail service one for each customer. The share bounds the list."""
+    mail = F.lower(F.trim("shared"))
+    boxes = rows.select(F.regexp_extract(mail, "^([^@\\s]+)@", 1).alias("box"), F.regexp_extract(mail, "@([a-z0-9.-]+\\.[a-z]+)$", 1).alias("mail")).filter("box <> '' and mail <> ''").distinct()
+    n = boxes.count()
+    return sorted(r.mail for r in boxes.groupBy("mail").count().filter(F.col("count") >= max(FREE_LEAST, int(FREE_SHARE * n))).select("mail").collect())
 
 
-def facility_records(rows: DataFrame, cities: list[tuple[int, str]], common: list[str]) -> DataFrame:
+FACILITY_SCHEMA = "id long, core string, kinds array<string>, unit string, ncity int, ccity int, initials string, acro string, acro_town string, host string, slug string, given string, family string, email string, courts int, generic boolean, common boolean, sq string, head string, short string, told array<string>"
+
+
+def facility_records(rows: DataFrame, cities: list[tuple[int, str]], common: list[str], free: Sequence[str] = ()) -> DataFrame:
     """rows(id, name, website, city, email_domain, shared, direct, first, last, courts) in comparable form, one row each.
 
+    sq is the core without blanks, head its first word, short what an abbreviated name may stand for ('' if it is none), told the kinds that tell something.
+    free: mail domains that are nobody's own, beside the public ones.
+
     Optional columns: address (a postal address that names the city) and person (a full name) where city and last are missing."""
     rows = rows.select("id", "name", "website", "city", "email_domain", "shared", "direct", "first", "last", "courts", *[F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in ("address", "person")])
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lex = names.Lexicon(cities, common)
+        shared_hosts = names.FREE_MAIL | set(free)
+        read = names.memo(lambda s: names.parse_facility(s, lex))
+        family_of = names.memo(lambda s: "".join(names.parse_person(s)[1]))
         for pdf in batches:
             out = []
             for r in pdf.itertuples(index=False):
-                p = names.parse_facility(r.name, lex)
-                host, slug = names.parse_host(r.website, r.email_domain, (r.shared,))
+                p = read(r.name or "")
+                host, slug = names.parse_host(r.website, r.email_domain, (r.shared,), shared_hosts)
                 p = names.complete(p, host, lex)
                 place = names.words_of(names.plain(r.city))
-                given, family = names.plain(r.first), "".join(names.parse_person(r.last)[1]) if r.last else ""
+                given, family = names.plain(r.first), family_of(r.last) if r.last else ""
                 town = lex.city(place, whole=True)[0]
                 if r.address:
                     town = lex.city(names.words_of(re.sub(r"\bnew york\b|\busa\b|\bn\.?y\b\.?", " ", names.plain(r.address))))[0]
@@ -58,9 +73,12 @@ def facility_records(rows: DataFrame, cities: list[tuple[int, str]], common: lis
                     given, family = "".join(g), "".join(f)
                 direct = names.plain(r.direct)
                 generic = bool(p["core"]) and all(w in lex.common for w in p["core"])
+                sq = "".join(p["core"])
+                short = p["acro"] if not sq else sq if not p["kinds"] and len(p["core"]) == 1 and len(sq) <= 8 else ""
                 out.append((
                     r.id, " ".join(p["core"]), p["kinds"], p["unit"], p["city"], town, p["initials"], p["acro"], p["acro_town"], host, slug, given,
                     family if len(family) > 2 else "", direct if "@" in direct else "", None if pd.isna(r.courts) or not 1 <= r.courts <= 60 else int(r.courts), generic, bool(p["core"]) and p["core"][0] in lex.common,
+                    sq, p["core"][0] if p["core"] else "", short, [k for k in p["kinds"] if k not in names.GENERIC],
                 ))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in FACILITY_SCHEMA.split(", ")])
 
@@ -97,28 +115,27 @@ def ratio(a: Column, b: Column) -> Column:
 
 
 def facility_similarity(a: str, b: str) -> Column:
-    """Similarity in 0..1 of two facility records under the prefixes a and b; 0 where a rule forbids the pair."""
+    """Similarity in 0..1 of two facility records under the prefixes a and b; 0 and less where a rule forbids the pair."""
     f = lambda p, c: F.col(f"{p}_{c}")
     have = lambda c: (f(a, c) != "") & (f(b, c) != "")
     same = lambda c: have(c) & (f(a, c) == f(b, c))
     both = lambda c: (f(a, c) > 0) & (f(b, c) > 0)
-    sa, sb = F.replace(f(a, "core"), F.lit(" ")), F.replace(f(b, "core"), F.lit(" "))
+    sa, sb = f(a, "sq"), f(b, "sq")
     shorter = F.least(F.length(sa), F.length(sb))
     head = (shorter >= 5) & (F.startswith(sa, sb) | F.startswith(sb, sa)) & (f(a, "initials") == "") & (f(b, "initials") == "")
-    wa, wb = F.substring_index(f(a, "core"), " ", 1), F.substring_index(f(b, "core"), " ", 1)
     # a name partly in initials: its first word and the first letter of the next word of the other
-    part = lambda p, q, w, v: (f(p, "initials") != "") & (f(q, "initials") == "") & (ratio(w, v) >= 0.7) & ((f(p, "initials") == F.substring(f(q, "acro"), 2, 99)) | (f(p, "initials") == F.substring(f(q, "acro_town"), 2, 99))) & (f(p, "core") != "")
-    short = lambda p: F.when(f(p, "core") == "", f(p, "acro")).when((F.size(f(p, "kinds")) == 0) & ~f(p, "core").contains(" ") & (F.length(f(p, "core")) <= 8), f(p, "core"))
-    whole = lambda p, q: F.coalesce((F.length(short(p)) >= 2) & ((short(p) == f(q, "acro")) | (short(p) == f(q, "acro_town"))), F.lit(False))
+    part = lambda p, q: (f(p, "initials") != "") & (f(q, "initials") == "") & (ratio(f(p, "head"), f(q, "head")) >= 0.7) & ((f(p, "initials") == F.substring(f(q, "acro"), 2, 99)) | (f(p, "initials") == F.substring(f(q, "acro_town"), 2, 99))) & (f(p, "core") != "")
+    whole = lambda p, q: (F.length(f(p, "short")) >= 2) & ((f(p, "short") == f(q, "acro")) | (f(p, "short") == f(q, "acro_town")))
     slug = lambda p, s: (F.length(f(p, "slug")) >= 6) & (F.startswith(s, f(p, "slug")) | F.startswith(f(p, "slug"), s)) & (F.length(s) >= 6)
     core = F.greatest(
-        ratio(sa, sb), F.when(head, 0.9).otherwise(0.0), F.when(part(a, b, wa, wb) | part(b, a, wb, wa), 0.9).otherwise(0.0), F.when(whole(a, b) | whole(b, a), 0.8).otherwise(0.0),
-        F.when(same("host") & (short(a).isNotNull() | short(b).isNotNull()), 0.85).otherwise(0.0),
+        ratio(sa, sb), F.when(head, 0.9).otherwise(0.0), F.when(part(a, b) | part(b, a), 0.9).otherwise(0.0), F.when(whole(a, b) | whole(b, a), 0.8).otherwise(0.0),
+        F.when(same("host") & ((f(a, "short") != "") | (f(b, "short") != "")), 0.85).otherwise(0.0),
         F.when(((f(a, "core") == "") & slug(a, sb)) | ((f(b, "core") == "") & slug(b, sa)), 0.9).otherwise(0.0),
     )
-    told = lambda p: F.filter(f(p, "kinds"), lambda k: ~k.isin(*names.GENERIC))
-    ka, kb = told(a), told(b)
-    kind = F.when((F.size(ka) == 0) | (F.size(kb) == 0), 0.0).when(F.size(F.array_intersect(ka, kb)) * 2 >= F.least(F.size(ka), F.size(kb)), 0.5).otherwise(-6.0)
+    half = lambda x, y: F.size(F.array_intersect(x, y)) * 2 >= F.least(F.size(x), F.size(y))
+    ka, kb, ta, tb = f(a, "kinds"), f(b, "kinds"), f(a, "told"), f(b, "told")
+    # kinds are what is left of a name that two facilities of one brand differ in; common ones say so too, they only agree for less
+    kind = F.when((F.size(ka) == 0) | (F.size(kb) == 0), 0.0).when((F.size(ta) > 0) & (F.size(tb) > 0), F.when(half(ta, tb), 0.5).otherwise(-6.0)).when(half(ka, kb), 0.0).otherwise(-6.0)
     host = F.when(~have("host"), 0.0).when(f(a, "host") == f(b, "host"), 2.5).otherwise(-4.0)
     place = F.when(both("ncity"), F.when(f(a, "ncity") == f(b, "ncity"), 1.0).otherwise(-6.0)).otherwise(0.0)
     either = (f(a, "ccity") > 0) & ((f(a, "ccity") == f(b, "ccity")) | (f(a, "ccity") == f(b, "ncity"))) | (f(b, "ccity") > 0) & (f(b, "ccity") == f(a, "ncity"))

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 # Words of the trade that name a kind of facility and not the facility.
 KIND_WORDS = (
@@ -23,7 +23,9 @@ DECOR = (
 )
 NOT_NAMES = {"welcome", "official", "home", "site", "courts", "court", "corp", "unit", "number", "ball"}
 UNIT = re.compile(r"(?:#|\bno\.?|\bnr\.?|\bunit|\bsite|\bnumber|\bnum\.?) *0*([0-9]+)\b|\(0*([0-9]+)\)|\b0*([0-9]{1,4})\b")
-FREE_MAIL = {"mailnest.example", "quickpost.example", "gmail.com", "yahoo.com", "hotmail.com", "outlook.com", "aol.com", "icloud.com"}
+# Public mail services; what else nobody owns is found in the data.
+FREE_MAIL = {"gmail.com", "yahoo.com", "hotmail.com", "outlook.com", "aol.com", "icloud.com"}
+MEMO = 200_000  # texts a worker remembers the reading of; then it starts anew, so its memory is bounded and its output the same
 PAGES = {"", "contact", "courts", "index.html", "about", "staff", "home", "index.htm", "index.php"}
 # Given names and their short forms, public knowledge of English usage.
 NICKNAMES = {
@@ -42,6 +44,20 @@ AFTER = {"jr", "sr", "ii", "iii", "iv", "ccp", "mba", "phd", "pga", "uspta", "pp
 PARTICLES = {"de", "la", "vander", "dela", "van", "der", "el", "saint", "von", "del", "di", "du", "st"}
 
 
+def memo(f: Callable) -> Callable:
+    """f of one text, remembering up to MEMO results."""
+    seen: dict = {}
+
+    def run(x):
+        if x not in seen:
+            if len(seen) >= MEMO:
+                seen.clear()
+            seen[x] = f(x)
+        return seen[x]
+
+    return run
+
+
 def _accents() -> dict[int, str]:
     out = {}
     for cp in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]:
@@ -105,8 +121,9 @@ class Near:
         for w in sorted(self.words):
             for v, n in cuts(w, depth_of(w)):
                 self.at.setdefault(v, []).append((w, n))
+        self.find = memo(self._find)
 
-    def find(self, t: str) -> tuple[str, int] | None:
+    def _find(self, t: str) -> tuple[str, int] | None:
         if t in self.words:
             return t, 0
         best = None
@@ -145,12 +162,7 @@ class Lexicon:
         self.near_kind = Near(KIND_WORDS)
         self.common = {w for w in common if len(w) > 3 and w not in KIND_WORDS and w not in NOT_NAMES}
         self.near_common = Near(w for w in self.common if w not in self.content and w not in self.side)
-        self._kind: dict[str, str] = {}
-
-    def kind(self, t: str) -> str:
-        if t not in self._kind:
-            self._kind[t] = self._kind_of(t)
-        return self._kind[t]
+        self.kind = memo(self._kind_of)
 
     def _kind_of(self, t: str) -> str:
         if t in KIND_SHORT:
@@ -272,7 +284,7 @@ def complete(p: dict, host: str, lex: Lexicon) -> dict:
     return p
 
 
-def parse_host(website: str | None, email_domain: str | None, emails: Iterable[str | None] = ()) -> tuple[str, str]:
+def parse_host(website: str | None, email_domain: str | None, emails: Iterable[str | None] = (), free: Iterable[str] = FREE_MAIL) -> tuple[str, str]:
     """(host, slug): label of the facility's own host without its ending; page name on a listing host."""
     host, slug = "", ""
     m = re.match(r"^(?:https?:/{1,2})?(?:[^/@]*@)?([a-z0-9.-]+\.[a-z]+)(?::\d+)?(?:/([^?#]*))?", plain(website))
@@ -283,11 +295,11 @@ def parse_host(website: str | None, email_domain: str | None, emails: Iterable[s
         else:
             slug = re.sub("[^a-z0-9]", "", p)
     d = plain(email_domain)
-    if not host and "." in d and d not in FREE_MAIL:
+    if not host and "." in d and d not in free:
         host = d
     for e in emails:
         local, _, dom = plain(e).partition("@")
-        if dom in FREE_MAIL:
+        if dom in free:
             slug = slug or re.sub("(?:courts|ny)$", "", re.sub("[^a-z0-9]", "", local))
     return re.sub(r"\.[a-z]+$", "", host), slug
 

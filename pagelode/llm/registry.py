@@ -17,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_found": canonical.p4_found,
     "p5_found": entities.p5_found,
     "p5_matches": entities.p5_matches,
+    "p5_reliability": entities.p5_reliability,
     "p6_ids": tokens.p6_ids,
     "p6_round_trip": tokens.p6_round_trip,
     "p7_mix": mixing.p7_mix,
