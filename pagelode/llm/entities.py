@@ -34,7 +34,7 @@ from pagelode.operators.skew import salted_join, spread_join
 LETTERS = "etaoinsrhldcumfpgwybvkxjqz"  # by frequency, dealt to the pieces in turn so that all are equally filled
 PIECES, SLOT = 4, 14  # pieces of 14 bits: 7 letters, each counted up to 2
 NEAR, ANYWHERE = 3, 1  # radius within a context, and without one
-FIT_ROWS = 20_000  # labelled records used for the calibration: one half of their groups fits it, the other is held out
+FIT_ROWS = 10_000  # labelled records used for the calibration: one half of their groups fits it, the other is held out
 BINS = 20
 WEIGHTS = {"core": 4.0, "kinds": 1.5, "host": 3.0, "family": 1.0, "email": 1.0}
 DICE_SHARE = 0.4  # of the final score; the rest is the exact comparison of the fields
@@ -45,18 +45,19 @@ HOT = 1_000  # a meeting point with more records is dealt to several tasks; no p
 def bits(text: Column, q: int = 2) -> Column:
     """64-bit vector of the padded q-grams of a text: one bit per gram."""
     g = grams(F.concat(F.lit("_"), F.replace(text, F.lit(" "), F.lit("_")), F.lit("_")), q)
-    one = F.array(*[F.lit(1 << i if i < 63 else -(1 << 63)).cast("long") for i in range(64)])
-    return F.aggregate(g, F.lit(0).cast("long"), lambda acc, x: acc.bitwiseOR(F.get(one, F.pmod(F.xxhash64(x), F.lit(64)).cast("int"))))
+    one = F.lit(1).cast("long")
+    return F.aggregate(g, F.lit(0).cast("long"), lambda acc, x: acc.bitwiseOR(F.call_function("shiftleft", one, F.pmod(F.xxhash64(x), F.lit(64)).cast("int"))))
 
 
 def letter_bits(text: Column) -> Column:
     """56-bit vector of the letters of a text, each counted up to two, in PIECES pieces of SLOT bits."""
-    v = F.lit(0).cast("long")
-    for k, ch in enumerate(LETTERS):
-        n = F.length(text) - F.length(F.replace(text, F.lit(ch)))
-        at = (k % PIECES) * SLOT + (k // PIECES) * 2
-        v = v + F.when(n >= 2, F.lit(3 << at).cast("long")).when(n == 1, F.lit(1 << at).cast("long")).otherwise(F.lit(0).cast("long"))
-    return v
+
+    def add(acc: Column, k: Column) -> Column:
+        n = F.length(text) - F.length(F.replace(text, F.substring(F.lit(LETTERS), k + 1, F.lit(1))))
+        two = F.when(n >= 2, 3).when(n == 1, 1).otherwise(0).cast("long")
+        return acc.bitwiseOR(F.call_function("shiftleft", two, (k % PIECES) * SLOT + F.floor(k / PIECES).cast("int") * 2))
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(len(LETTERS) - 1)), F.lit(0).cast("long"), add)
 
 
 def dice(a: Column, b: Column) -> Column:
@@ -102,7 +103,7 @@ def meeting_keys(rec: DataFrame) -> DataFrame:
 
 
 def close_pairs(left: DataFrame, right: DataFrame, within: bool = False) -> DataFrame:
-    """(a, b) of two sets of meeting keys whose vectors are within the radius; within: both sets are the same, a < b."""
+    """(a, b) of two sets of meeting keys whose vectors are within the radius, right's read from a table; within: both sets are the same, a < b."""
     a = left.select(F.col("id").alias("a"), "k", F.col("v").alias("va"), "r")
     b = right.select(F.col("id").alias("b"), "k", F.col("v").alias("vb"))
     hit = spread_join(a, b, "k", "b", HOT).filter(F.bit_count(F.col("va").bitwiseXOR(F.col("vb"))) <= F.col("r"))
@@ -168,23 +169,32 @@ def prepared(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     cities = city_rows(spark, sf_dir)
     master, outreach = master_rows(spark, sf_dir), outreach_rows(spark, sf_dir)
     common, free = common_words(master, "name"), free_mail(master)
-    right = cut(encode(facility_records(master, cities, common, free)).join(master.select("id", "dup_group"), "id"))
+    right = cut(facility_records(master, cities, common, free).join(master.select("id", "dup_group"), "id"))
     right = salted_join(right, group_towns(right), "dup_group", "id", "left").fillna(0, ["named", "stood"])
     right = right.withColumn("ncity", F.when(F.col("ncity") > 0, F.col("ncity")).otherwise(F.col("named")))
-    return cut(encode(facility_records(outreach, cities, common, free))), cut(right)
+    return encode(facility_records(outreach, cities, common, free)), cut(encode(right))
 
 
-def labelled(right: DataFrame, keys: DataFrame) -> DataFrame:
-    """(score, same, half) of pairs of grouped rows that the search finds and the fields allow, one side stripped as an outreach record is."""
-    grouped = right.filter("dup_group is not null")
-    sample = cut(grouped.orderBy(F.xxhash64("dup_group"), "dup_group", "id").limit(FIT_ROWS))
+def stripped(right: DataFrame) -> DataFrame:
+    """Records of a sample of whole groups as an outreach record would show them, under negative ids."""
+    sample = right.filter("dup_group is not null").orderBy(F.xxhash64("dup_group"), "dup_group", "id").limit(FIT_ROWS)
     town = F.when(F.col("named") > 0, F.col("named")).otherwise(F.col("stood"))
-    masked = sample.withColumns({"courts": F.lit(None).cast("int"), "ccity": town})
-    known_keys = cut(keys.join(sample.select("id"), "id"))
-    pairs = close_pairs(meeting_keys(masked), known_keys).filter("a <> b")
-    known = at_home(scored(pairs, masked, sample))
-    group = lambda p: sample.select(F.col("id").alias(p), F.col("dup_group").alias(f"g_{p}"))
-    known = known.join(group("a"), "a").join(group("b"), "b")
+    return sample.withColumns({"id": -F.col("id") - 1, "courts": F.lit(None).cast("int"), "ccity": town})
+
+
+def scored_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(a, b, score) of all records of left, and of the stripped sample (a < 0), with the records of right; both go through one search."""
+    cols = [c for c in left.columns if c in right.columns]
+    both = cut(left.select(cols).unionByName(stripped(right).select(cols)))
+    pairs = close_pairs(meeting_keys(both), cut(meeting_keys(right)))
+    return cut(at_home(cut(scored(pairs, both, right))).select("a", "b", "score"))
+
+
+def labelled(pairs: DataFrame, right: DataFrame) -> DataFrame:
+    """(score, same, half) of the sample's pairs with grouped records."""
+    groups = right.filter("dup_group is not null").select("id", "dup_group")
+    known = pairs.filter("a < 0").withColumn("a", -F.col("a") - 1).filter("a <> b")
+    known = known.join(groups.select(F.col("id").alias("a"), F.col("dup_group").alias("g_a")), "a").join(groups.select(F.col("id").alias("b"), F.col("dup_group").alias("g_b")), "b")
     return known.select("score", (F.col("g_a") == F.col("g_b")).alias("same"), F.pmod(F.xxhash64(F.lit("half"), "g_a"), F.lit(2)).alias("half"))
 
 
@@ -195,10 +205,9 @@ def confidence(score: Column, rates: list[float]) -> Column:
 def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """track_row_id, facility_row_id, confidence of every pair over the threshold."""
     left, right = prepared(spark, sf_dir)
-    keys = cut(meeting_keys(right))
-    rates = calibration(labelled(right, keys).filter("half = 0"))
-    pairs = cut(scored(close_pairs(meeting_keys(left), keys), left, right))
-    sure = at_home(pairs).withColumn("confidence", confidence(F.col("score"), rates)).filter(F.col("confidence") >= SURE).select("a", "b", "confidence")
+    pairs = scored_pairs(left, right)
+    rates = calibration(labelled(pairs, right).filter("half = 0"))
+    sure = pairs.filter("a >= 0").withColumn("confidence", confidence(F.col("score"), rates)).filter(F.col("confidence") >= SURE).select("a", "b", "confidence")
     # rows known to be one facility are matched together
     members = right.filter("dup_group is not null").select("id", "dup_group")
     told = cut(sure.join(members.withColumnRenamed("id", "b"), "b", "left"))
@@ -221,8 +230,8 @@ def p5_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p5_reliability(spark: SparkSession, sf_dir: str) -> DataFrame:
     """confidence, pairs, match_rate: how often pairs of held-out groups are true, by the confidence that the fitted half gives them."""
-    _, right = prepared(spark, sf_dir)
-    known = cut(labelled(right, cut(meeting_keys(right))))
+    left, right = prepared(spark, sf_dir)
+    known = cut(labelled(scored_pairs(left.limit(0), right), right))
     rates = calibration(known.filter("half = 0"))
     held = known.filter("half = 1").withColumn("confidence", confidence(F.col("score"), rates))
     return held.groupBy("confidence").agg(F.count("*").alias("pairs"), F.round(F.avg(F.col("same").cast("double")), 4).alias("match_rate"))
