@@ -1,5 +1,8 @@
+import random
 from datetime import datetime as D
 
+import pytest
+
 from pagelode.llm import addresses as A
 from pagelode.llm import names, survivor
 
@@ -28,6 +31,45 @@ def test_the_surviving_values(spark):
     assert survivor.winners(df.limit(0), trust, cities).count() == 0
 
 
+def brute_layers(points):
+    """Layer of every point by peeling what nothing left dominates."""
+    over = lambda p, q: p != q and all(x >= y for x, y in zip(p, q, strict=True))
+    rest, out, turn = dict(points), {}, 0
+    while rest:
+        turn += 1
+        top = [i for i, p in rest.items() if not any(over(q, p) for q in rest.values())]
+        out |= dict.fromkeys(top, turn)
+        rest = {i: p for i, p in rest.items() if i not in top}
+    return out
+
+
+@pytest.mark.parametrize("small", [64, 3])
+def test_layers_equal_brute_force(spark, monkeypatch, small):
+    monkeypatch.setattr(survivor, "SMALL", small)
+    rnd, rows, i = random.Random(4), [], 0
+    for g in range(25):
+        for _ in range(rnd.randrange(1, 14)):
+            i += 1
+            fields = [f for f in "abcd" if rnd.random() < 0.4]
+            rows.append((g, i, len(fields), D(2025, 1, rnd.randrange(1, 8)), rnd.choice([15, 30, 80, 90]), [(f, 1, f"{f}{i}") for f in fields]))
+    df = spark.createDataFrame(rows, "dup_group long, row_id long, full int, at timestamp, trust int, vals array<struct<field:string,n:long,key:string>>")
+    got = {r.row_id: r for r in survivor.layered(df).collect()}
+    for g in range(25):
+        mine = {r[1]: (r[2], r[3], r[4]) for r in rows if r[0] == g}
+        want = brute_layers(mine)
+        assert {k: got[k].layer for k in want if k in got} == {k: v for k, v in want.items() if k in got}
+        # what a peeled group leaves out is below the first layer of every field
+        for f in "abcd":
+            holds = [r[1] for r in rows if r[0] == g and any(v[0] == f for v in r[5])]
+            least = min((want[k] for k in holds), default=0)
+            assert all(k in got for k in holds if want[k] == least)
+
+
+def test_layers_of_nothing(spark):
+    df = spark.createDataFrame([], "dup_group long, row_id long, full int, at timestamp, trust int, vals array<struct<field:string,n:long,key:string>>")
+    assert survivor.layered(df).count() == 0
+
+
 def test_addresses_are_read_in_any_order():
     lex = names.Lexicon(CITIES)
     read = lambda *x: A.parse_address(*x, lex)
