@@ -2,10 +2,10 @@
 
 Method: addresses that agree in house number and in city or ZIP are compared word by word. What stands on one side for
 what stands on the other is counted over all such pairs; pairs of words (or of two words) that occur together far more
-often than their own frequency explains become rewrites. The addresses are normalised with them and compared again,
-until no new rewrite appears. Two addresses are then one building if their street words agree but for a typing error in
-a rare word or a missing street ending; words that are common in streets (endings, directions) must agree, and so must
-the number.
+often than their own frequency explains become rewrites. The addresses are
+normalised with them and compared again, until no new rewrite appears. Two addresses are then one building if their street
+words agree but for a typing error in a rare word or a missing street ending; words that are common in streets (endings,
+directions) must agree, and so must the number. Two words that both stand in many places are two streets, however alike.
 
 Suites, units and PO boxes do not count. Addresses without a house number match nothing. A missing city is taken from
 the ZIP's usual city. Equal addresses are one node, so copies make no pairs before the last step. Null or blank fields
@@ -14,6 +14,7 @@ are unknown, empty tables give an empty result, repeated rows are paired.
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 from collections.abc import Iterator
@@ -25,11 +26,13 @@ from pyspark.sql import functions as F
 from pagelode.llm import names
 from pagelode.llm.common import cut, table
 from pagelode.llm.facility import city_rows
+from pagelode.operators.skew import spread_join
 
-MAX_ROUNDS = 8
+HOT = 1_000  # a meeting point with more addresses is dealt to several tasks; no pair of it is left out
 SUPPORT, SUPPORT_SHARE = 3, 1e-4  # pairs of places that must show a rewrite; the share bounds the number of rewrites
 CONFIDENCE = 0.25  # part of a word's differences that a rewrite must explain, for the rarer of its two sides
 Z_LEAST = 4.0  # standard deviations above chance
+KNOWN, KNOWN_SHARE = 4, 0.1  # places from which a word is a street's own name, and the least part of the commoner word's places
 COMMON = 0.002  # words in this share of the addresses are common street words; there can be no more than words / share
 
 UNIT = re.compile(r"\b(?:suite|ste|unit|bldg|building|floor|fl|apt|room|rm)\b\.?\s*#?\s*[0-9]+[a-z]?\b|\bp\.?\s?o\.?\s*box\s*[0-9]+|\bc/o front desk\b|\brear entrance\b|\b[a-z]+ plaza\b")
@@ -109,73 +112,85 @@ def differences(a: list[str], b: list[str]) -> tuple[list[str], list[str]]:
     return x, y
 
 
-def mine(pairs: DataFrame, rules: dict, mass: dict[str, int]) -> dict[tuple[str, ...], tuple[str, ...]]:
-    """New rewrites shown by pairs(number, city, wa, wb) after the rules so far; phrases of one or two words.
+def classes(rows: list[tuple[str, str, int]], mass: dict[str, int], total: int) -> dict[str, str]:
+    """What each phrase of rows(p, q, n) stands for: classes of phrases merged by how often they stand for each other, named by their longest word.
+
+    Two classes merge if their differences are a good part of all the differences of the rarer one and lie far above chance. Whole classes are held against each other, so that a word that stands for
+    many things (a town left in the street) can't chain them together."""
+    between: dict[str, dict[str, int]] = {}
+    for p, q, n in rows:
+        between.setdefault(p, {})[q] = between.setdefault(q, {})[p] = n
+    size, members = {w: mass[w] for w in between}, {w: [w] for w in between}
+
+    def fits(a: str, b: str) -> bool:
+        n = between[a][b]
+        rare = min((a, b), key=lambda w: (size[w], w))
+        chance = size[a] * size[b] / (2 * total)
+        return n / size[rare] >= CONFIDENCE and (n - chance) / math.sqrt(chance + 1) >= Z_LEAST
+
+    heap = [(-n, p, q) for p, q, n in rows]
+    heapq.heapify(heap)
+    while heap:
+        n, a, b = heapq.heappop(heap)
+        if a not in between or b not in between or between[a].get(b) != -n or not fits(a, b):
+            continue
+        keep, drop = sorted((a, b), key=lambda w: (" " in w, -len(w), w))
+        for w, m in between.pop(drop).items():
+            del between[w][drop]
+            if w != keep:
+                between[keep][w] = between[w][keep] = between[keep].get(w, 0) + m
+        size[keep] += size.pop(drop)
+        members[keep] += members.pop(drop)
+        # what was refused before may fit now that the two are one
+        for w, m in between[keep].items():
+            heapq.heappush(heap, (-m, *sorted((keep, w))))
+    return {w: keep for keep, ws in members.items() for w in ws if w != keep}
+
+
+def mine(diffs: DataFrame, mass: dict[str, int]) -> dict[tuple[str, ...], tuple[str, ...]]:
+    """New rewrites shown by diffs(p, q, at), distinct: phrases of one or two words that stand for each other at a place.
 
     mass: how often a word differed before; once its own spellings are rewritten, what is left is no evidence by itself."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for r in pdf.itertuples(index=False):
-                x, y = differences(rewrite(list(r.wa), rules), rewrite(list(r.wb), rules))
-                # the pair must agree elsewhere, in a word of its own
-                if x and y and len(x) <= 2 and len(y) <= 2 and len(x) + len(y) <= 3 and (len(x) < len(r.wa) or len(y) < len(r.wb)):
-                    p, q = sorted((" ".join(x), " ".join(y)))
-                    out.append((p, q, f"{r.number}|{r.city}"))
-            yield pd.DataFrame(out, columns=["p", "q", "at"])
-
-    shown = pairs.select("number", "city", "wa", "wb").mapInPandas(run, "p string, q string, at string").distinct()
-    seen = cut(shown.groupBy("p", "q").agg(F.count("*").alias("n")))
+    seen = cut(diffs.groupBy("p", "q").agg(F.count("*").alias("n")))
     total = seen.agg(F.sum("n")).collect()[0][0] or 0
     least = max(SUPPORT, math.ceil(SUPPORT_SHARE * total))
     side = seen.select(F.explode(F.array("p", "q")).alias("w"), "n").groupBy("w").agg(F.sum("n").alias("nw"))
-    big = seen.filter(F.col("n") >= least)  # at most total / least rows
+    big = seen.filter((F.col("n") >= least) & ~F.concat("p", "q").rlike("[0-9]"))  # at most total / least rows
     big = big.join(side.select(F.col("w").alias("p"), F.col("nw").alias("np")), "p").join(side.select(F.col("w").alias("q"), F.col("nw").alias("nq")), "q")
-    new: dict[tuple[str, ...], tuple[str, ...]] = {}
-    group: dict[str, str] = {}
-
-    def root(w: str) -> str:
-        while group.get(w, w) != w:
-            w = group[w]
-        return w
-
     rows = big.collect()
     for r in rows:
         mass[r.p], mass[r.q] = max(mass.get(r.p, 0), r.np), max(mass.get(r.q, 0), r.nq)
-    for r in sorted(rows, key=lambda r: (-r.n, r.p, r.q)):
-        chance = r.np * r.nq / (2 * total)
-        if r.n / min(mass[r.p], mass[r.q]) >= CONFIDENCE and (r.n - chance) / math.sqrt(chance + 1) >= Z_LEAST and not re.search("[0-9]", r.p + r.q):
-            a, b = root(r.p), root(r.q)
-            if a != b:
-                keep, drop = sorted((a, b), key=lambda w: (" " in w, -len(w), w))
-                group[drop] = keep
-    for w in group:
-        if root(w) != w:
-            new[tuple(w.split(" "))] = tuple(root(w).split(" "))
-            mass[root(w)] = mass.get(root(w), 0) + mass.get(w, 0)
-    return new
+    found = classes(sorted((r.p, r.q, r.n) for r in rows), mass, total)
+    for w, keep in found.items():
+        mass[keep] += mass[w]
+    return {tuple(w.split(" ")): tuple(keep.split(" ")) for w, keep in found.items()}
 
 
-def same_street(a: list[str], b: list[str], common: set[str], ends: set[str]) -> bool:
-    """Whether normalised street words differ in nothing but typing errors in rare words and a missing ending."""
+def street_typos(a: list[str], b: list[str], common: set[str], ends: set[str]) -> list[tuple[str, str]] | None:
+    """The word pairs in which two normalised streets differ by typing errors, but for a missing ending; None if they differ in more."""
     x, y = differences(a, b)
-    if not x and not y:
-        return bool(a)
+    if not (a and b):
+        return None
     for p, q in ((x, y), (y, x)):
         if len(p) == len(q) + 1 and (lost := [w for w in p if w in ends]) and not any(w in ends for w in q):
             p.remove(lost[-1])
             break
-    if len(x) != len(y) or not (a and b):
-        return False
-    left = list(y)
+    if len(x) != len(y):
+        return None
+    left, typos = list(y), []
     for w in x:
         best = min(left, key=lambda v: (distance(w, v), v))
         d, size = distance(w, best), max(len(w), len(best))
         if (w in common and best in common) or re.search("[0-9]", w + best) or not (d <= 1 and size >= 4 or d <= 2 and size >= 6 or d <= 3 and size >= 10):
-            return False
+            return None
         left.remove(best)
-    return True
+        typos.append((w, best))
+    return typos
+
+
+def same_street(a: list[str], b: list[str], common: set[str], ends: set[str]) -> bool:
+    """Whether normalised street words differ in nothing but typing errors in rare words and a missing ending."""
+    return street_typos(a, b, common, ends) is not None
 
 
 def distance(a: str, b: str) -> int:
@@ -210,36 +225,76 @@ def buildings(rows: DataFrame, cities: list[tuple[int, str]]) -> tuple[DataFrame
     heads = keyed.groupBy("k").agg(F.min("id").alias("node"))
     members = cut(keyed.select("id", "k").join(heads, "k").select("id", "node"))
     node = cut(heads.select("node", "k.*"))
-    at = F.filter(F.array(F.when(F.col("city") > 0, F.concat_ws("|", F.lit("c"), "city")), F.when(F.col("zip") != "", F.concat_ws("|", F.lit("z"), "zip"))), lambda x: x.isNotNull())
-    spread = node.select("node", "number", "words", "city", F.explode(at).alias("at"))
-    a = spread.select(F.col("node").alias("a"), "number", "at", F.col("words").alias("wa"), "city")
-    b = spread.select(F.col("node").alias("b"), "number", "at", F.col("words").alias("wb"))
-    pairs = cut(a.join(b, ["number", "at"]).filter("a < b").select("a", "b", "number", "city", "wa", "wb").distinct())
-
     rules: dict[tuple[str, ...], tuple[str, ...]] = {}
     mass: dict[str, int] = {}
-    for _ in range(MAX_ROUNDS):
-        new = {k: v for k, v in mine(pairs, rules, mass).items() if k not in rules}
+    while True:  # every round but the last finds a phrase that has no rewrite yet, and there are only so many
+        streets = cut(normalised(node, rules))
+        new = {k: v for k, v in mine(differing(streets), mass).items() if k not in rules}
         if not new:
             break
         rules = {k: tuple(rewrite(list(v), new)) for k, v in rules.items()} | new
+    return members, one_building(streets), rules
+
+
+def normalised(node: DataFrame, rules: dict) -> DataFrame:
+    """node(node, number, words, city, zip) with its words rewritten."""
 
-    def normal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            done = [rewrite(list(w), rules) for w in pdf["words"]]
-            yield pd.DataFrame({"words": done, "last": [w[-1] for w in done]})
+            yield pdf.assign(words=[rewrite(list(w), rules) for w in pdf["words"]])
+
+    return node.select("node", "number", "words", "city", "zip").mapInPandas(run, "node long, number string, words array<string>, city int, zip string")
 
-    said = cut(node.select("words").mapInPandas(normal, "words array<string>, last string"))
-    n = said.count()
-    common = {r.w for r in said.select(F.explode(F.array_distinct("words")).alias("w")).groupBy("w").count().filter(F.col("count") >= max(5, COMMON * n)).collect()}
-    ends = {r["last"] for r in said.groupBy("last").count().filter(F.col("count") >= max(5, 5 * COMMON * n)).collect()} - {w for w in common if len(w) == 1} - {"north", "south", "east", "west"}
+
+def meetings(streets: DataFrame) -> DataFrame:
+    """(a, b, number, city, wa, wb, x, y): addresses that agree in number and in city or ZIP; x and y are the words that only one of them has."""
+    at = F.filter(F.array(F.when(F.col("city") > 0, F.concat_ws("|", F.lit("c"), "city", "number")), F.when(F.col("zip") != "", F.concat_ws("|", F.lit("z"), "zip", "number"))), lambda x: x.isNotNull())
+    spread = streets.select("node", "number", "words", "city", F.explode(at).alias("at"))
+    a = spread.select(F.col("node").alias("a"), "number", "at", F.col("words").alias("wa"), "city")
+    b = spread.select(F.col("node").alias("b"), "at", F.col("words").alias("wb"))
+    pairs = spread_join(a, b, "at", "b", HOT).filter("a < b")
+    return pairs.withColumns({"x": F.array_except("wa", "wb"), "y": F.array_except("wb", "wa")})
+
+
+def differing(streets: DataFrame) -> DataFrame:
+    """(p, q, at), distinct: what stands on one side for what stands on the other, where addresses agree in a word of their own; phrases as typed."""
+    nx, ny = F.size("x"), F.size("y")
+    pairs = meetings(streets).filter((nx > 0) & (ny > 0) & (nx <= 2) & (ny <= 2) & (nx + ny <= 3) & ((nx < F.size("wa")) | (ny < F.size("wb"))))
+    p, q = F.array_join("x", " "), F.array_join("y", " ")
+    spaced = lambda c: F.concat(F.lit(" "), c, F.lit(" "))
+    inside = lambda words, phrase: F.contains(spaced(F.array_join(words, " ")), spaced(phrase))
+    pairs = pairs.filter(inside("wa", p) & inside("wb", q))  # two words count as a phrase where they stand together
+    return pairs.select(F.least(p, q).alias("p"), F.greatest(p, q).alias("q"), F.concat_ws("|", "number", "city").alias("at")).distinct()
+
+
+def one_building(streets: DataFrame) -> DataFrame:
+    """(a, b) of normalised addresses that are one building, distinct."""
+    n = streets.count()
+    word = streets.select("number", "city", F.explode(F.array_distinct("words")).alias("w"))
+    common = {r.w for r in word.groupBy("w").count().filter(F.col("count") >= max(5, COMMON * n)).select("w").collect()}
+    last = streets.select(F.element_at("words", -1).alias("last"))
+    ends = {r["last"] for r in last.groupBy("last").count().filter(F.col("count") >= max(5, 5 * COMMON * n)).collect()} - {w for w in common if len(w) == 1} - {"north", "south", "east", "west"}
+    pairs = cut(meetings(streets).filter((F.size("x") <= 4) & (F.abs(F.size("x") - F.size("y")) <= 1)).select("a", "b", "wa", "wb", "x", "y"))
+    alike = pairs.filter((F.size("x") == 0) & (F.size("y") == 0)).filter(F.sort_array("wa") == F.sort_array("wb")).select("a", "b")
+    # one word against one of another length class needs no second look
+    near = (F.size("x") != 1) | (F.size("y") != 1) | (F.levenshtein(F.get("x", F.lit(0)), F.get("y", F.lit(0))) <= 6)
+    rest = pairs.filter(near & ((F.size("x") > 0) | (F.size("y") > 0) | (F.sort_array("wa") != F.sort_array("wb")))).select("a", "b", "wa", "wb").distinct()
 
     def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            hit = [same_street(rewrite(list(x), rules), rewrite(list(y), rules), common, ends) for x, y in zip(pdf["wa"], pdf["wb"], strict=True)]
-            yield pdf.loc[hit, ["a", "b"]]
-
-    return members, pairs.select("a", "b", "wa", "wb").mapInPandas(match, "a long, b long"), rules
+            typos = [street_typos(list(x), list(y), common, ends) for x, y in zip(pdf["wa"], pdf["wb"], strict=True)]
+            hit = [t is not None for t in typos]
+            said = pd.Series([[w for pq in t for w in pq] for t in typos if t is not None], dtype=object)
+            yield pdf.loc[hit, ["a", "b"]].reset_index(drop=True).assign(typos=said)
+
+    found = cut(rest.mapInPandas(match, "a long, b long, typos array<string>"))  # the words of each pair one after the other
+    sure = found.filter("size(typos) = 0").select("a", "b")
+    typed = found.filter("size(typos) > 0").select("a", "b", "typos", F.explode(F.sequence(F.lit(0), F.size("typos") - 2, F.lit(2))).alias("k")).select("a", "b", F.get("typos", F.col("k")).alias("p"), F.get("typos", F.col("k") + 1).alias("q"))
+    place = word.distinct().groupBy("w").agg(F.count("*").alias("n"))
+    both = typed.join(place.select(F.col("w").alias("p"), F.col("n").alias("np")), "p").join(place.select(F.col("w").alias("q"), F.col("n").alias("nq")), "q")
+    two = (F.least("np", "nq") >= KNOWN) & (F.least("np", "nq") >= KNOWN_SHARE * F.greatest("np", "nq"))
+    typed = both.groupBy("a", "b").agg(F.max(two).alias("two")).filter("not two").select("a", "b")
+    return alike.unionByName(sure).unionByName(typed).distinct()
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:

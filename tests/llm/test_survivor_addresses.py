@@ -104,3 +104,29 @@ def test_rewrites_are_mined_and_end(spark):
     linked = {(r.a, r.b) for r in pairs.collect()}
     ends = {tuple(sorted((node[a], node[b]))) in linked for n in range(60) for a, b in ((3 * n + 1, 3 * n + 2), (3 * n + 2, 3 * n + 3))}
     assert ends == {True} and not any(900 in p or 902 in p for p in linked) and 901 not in node
+
+
+def test_a_word_that_stands_for_many_chains_nothing():
+    rows = [("ave", "avenue", 900), ("st", "street", 800), ("avenue", "town", 9), ("ave", "town", 8), ("street", "town", 9), ("st", "town", 8), ("lane", "town", 16), ("ln", "town", 8), ("lane", "ln", 700)]
+    mass = {}
+    for p, q, n in rows:
+        mass[p], mass[q] = mass.get(p, 0) + n, mass.get(q, 0) + n
+    found = A.classes(rows, mass, sum(n for *_, n in rows))
+    kept = {w: found.get(w, w) for w in mass}
+    assert (kept["ave"], kept["st"], kept["ln"]) == ("avenue", "street", "lane") and len({kept["avenue"], kept["street"], kept["lane"]}) == 3
+
+
+def test_mining_runs_until_no_rewrite_is_new(spark, monkeypatch):
+    # each round finds one phrase: more rounds than any fixed number of eight
+    left = iter([{(f"w{k}",): ("word",)} for k in range(12)])
+    monkeypatch.setattr(A, "mine", lambda diffs, mass: next(left, {}))
+    df = spark.createDataFrame([(1, "7 Oak w3 w11", "Rellabrook", "10038"), (2, "7 Oak word word", "Rellabrook", "10038")], "id long, street string, city string, zip string")
+    members, pairs, rules = A.buildings(df, CITIES)
+    assert len(rules) == 12 and [(r.a, r.b) for r in pairs.collect()] == [(1, 2)]
+
+
+def test_two_streets_of_like_names_stay_apart(spark):
+    said = [(n, "Finchgate") for n in range(30)] + [(n, "Birchgate") for n in range(28, 58)] + [(7, "Finchgat")]
+    rows = [(i, f"{n} {name} Street", "Rellabrook", "10038") for i, (n, name) in enumerate(said)]
+    _, pairs, _ = A.buildings(spark.createDataFrame(rows, "id long, street string, city string, zip string"), CITIES)
+    assert [tuple(sorted(said[x] for x in p)) for p in pairs.collect()] == [((7, "Finchgat"), (7, "Finchgate"))]
