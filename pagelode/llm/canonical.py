@@ -27,6 +27,7 @@ class Rules:
     rewrites: tuple[tuple[str, str], ...] = ()  # patterns of a typed text and what stands for them, in order
     stop: tuple[str, ...] = ("of", "and", "the")  # words that count neither in texts nor in entries
     synonyms: dict[str, str] = field(default_factory=dict)  # typed word: word of the list
+    fillers: tuple[str, ...] = ()  # words around an entry that say nothing about it, for comparisons of two typed texts
     initials: bool = False  # entries of several words are known by their initials
     short_content: bool = False  # the word that tells entries apart may be abbreviated, not just mistyped or cut
     unknown: float = 0.8  # weight of a typed word without a reading, as a part of the highest
@@ -54,6 +55,7 @@ TITLE = Rules(
         "proprietor": "owner", "ops": "operations", "oper": "operations", "programme": "program", "supv": "supervisor", "finance": "financial",
         "athletics": "athletic", "member": "membership", "facilities": "facility", "mgt": "manager",
     },
+    fillers=("our", "interim", "acting", "title", "since", "full", "time", "main", "building", "ny", "see", "staff", "page", "whole"),
     initials=True, short_content=True, unknown=1.0, cover=0.55,
 )
 
@@ -92,6 +94,14 @@ def _vocabulary(entries: DataFrame, n: int, rules: Rules) -> tuple[DataFrame, Da
     return parts, words
 
 
+def leads(word: Column) -> Column:
+    """What an abbreviation of a word may begin with: its first letter and one or two later ones in order, each combination once."""
+    at = lambda i: F.substring(word, i, F.lit(1))
+    rest = F.when(F.length(word) >= 2, F.sequence(F.lit(2), F.length(word))).otherwise(F.array().cast("array<int>"))
+    three = F.flatten(F.transform(rest, lambda i: F.transform(F.filter(rest, lambda j: j > i), lambda j: F.concat(at(F.lit(1)), at(i), at(j)))))
+    return F.array_distinct(F.concat(F.transform(rest, lambda i: F.concat(at(F.lit(1)), at(i))), three))
+
+
 def _repairs(typed: DataFrame, words: DataFrame, rules: Rules, small: bool) -> DataFrame:
     """(token, tok, sim): what each distinct typed token may stand for in the list."""
     hint = F.broadcast if small else (lambda x: x)
@@ -109,14 +119,17 @@ def _repairs(typed: DataFrame, words: DataFrame, rules: Rules, small: bool) -> D
     near = a.join(hint(b), "v").groupBy("token", "word", "tok", "part").agg(F.min(F.greatest("n", "m")).alias("d"))
     size = F.greatest(F.length("token"), F.length("word"))
     near = near.filter((F.col("d") <= 1) | (F.least(F.length("token"), F.length("word")) >= 5)).select("token", "tok", (1 - F.col("d") / size).alias("sim"), "part")
-    # truncations and abbreviations: same first letter, the typed letters in order within the word
-    w = words.filter("part is null").select("word", "tok", F.substring("word", 1, 1).alias("k")).filter(F.length("word") > 2)
-    f = free.filter(F.length("token") <= 9).select("token", F.substring("token", 1, 1).alias("k"))
-    cut = f.join(hint(w), "k").filter(F.length("token") < F.length("word"))
-    within = F.rlike(F.col("word"), F.concat(F.lit("^"), F.regexp_replace("token", "(.)", "$1.*")))
-    head = F.startswith(F.col("word"), F.col("token"))
+    # truncations: the token is a beginning of the word; abbreviations: its letters in order within the word, the first one first
+    w = words.filter("part is null").select("word", "tok").filter(F.length("word") > 2)
+    heads = w.select("word", "tok", F.explode(F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda n: F.substring(F.col("word"), F.lit(1), n))).alias("token"))
+    cut = free.join(hint(heads), "token").select("token", "word", "tok", F.lit(True).alias("head"))
+    k = w.select("word", "tok", F.explode(leads(F.col("word"))).alias("k"))
+    f = free.filter(F.length("token") >= 2).select("token", F.substring("token", 1, 3).alias("k"))
     share = F.length("token") / F.length("word")
-    cut = cut.filter(within & (head | ((F.length("token") >= 2) & (share >= 0.25))))
+    within = F.rlike(F.col("word"), F.concat(F.lit("^"), F.regexp_replace("token", "(.)", "$1.*")))
+    thin = f.join(hint(k), "k").filter((F.length("token") < F.length("word")) & (share >= 0.25) & ~F.startswith(F.col("word"), F.col("token")) & within)
+    cut = cut.unionByName(thin.select("token", "word", "tok", F.lit(False).alias("head")))
+    head = F.col("head")
     long = F.length("token") >= 3
     cut = cut.select(
         "token", "tok", F.when(head & long, 0.95).when(head, 0.8).otherwise(0.8 + 0.15 * share).alias("sim"), F.lit(None).cast("double").alias("part"),

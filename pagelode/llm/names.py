@@ -336,7 +336,7 @@ def _family(ws: list[str]) -> list[str]:
 class Titles:
     """Job titles by the entry of a list they come nearest to; '' where none fits."""
 
-    def __init__(self, entries: Iterable[str], synonyms: dict[str, str]):
+    def __init__(self, entries: Iterable[str], synonyms: dict[str, str], fillers: Iterable[str] = ()):
         self.entries = [(n, [w for w in re.split("[^a-z]+", plain(n)) if w and w not in ("of", "and", "the")]) for n in entries]
         self.df: dict[str, int] = {}
         for _, ws in self.entries:
@@ -346,8 +346,8 @@ class Titles:
         for _, ws in self.entries:
             if len(ws) > 1:
                 self.short.setdefault("".join(w[0] for w in ws), []).append(" ".join(ws))
-        self.near, self.syn = Near(self.df), synonyms
-        self.seen: dict[str, str] = {}
+        self.near, self.syn, self.fillers = Near(self.df), synonyms, {"of", "the", *fillers}
+        self._best = memo(self._best_of)
 
     def _read(self, t: str) -> set[str]:
         if t in self.df:
@@ -361,15 +361,15 @@ class Titles:
         return {w for w in self.df if (w.startswith(t) and len(t) >= 3) or (len(t) <= 8 and skeleton(t, w))}
 
     def key(self, raw: str | None) -> str:
-        s = re.sub(r"(?<=\b[a-z])\.(?=[a-z]\b)", "", plain(raw))
-        if s not in self.seen:
-            said = [self._read(w) for w in re.split("[^a-z]+", s.replace("'", "").replace("co-ord", "coord")) if w and w not in ("of", "the", "our", "interim", "acting", "title", "since", "full", "time", "main", "building", "ny", "see", "staff", "page", "whole")]
-            best = ("", 0.0)
-            for n, ws in self.entries:
-                got = sum(1 / self.df[w] for w in ws if any(w in x for x in said))
-                all_ = sum(1 / self.df[w] for w in ws)
-                lost = sum(0.5 for x in said if not x & set(ws))
-                if got / (all_ + lost) > best[1]:
-                    best = (n, got / (all_ + lost))
-            self.seen[s] = best[0] if best[1] >= 0.5 else ""
-        return self.seen[s]
+        return self._best(re.sub(r"(?<=\b[a-z])\.(?=[a-z]\b)", "", plain(raw)))
+
+    def _best_of(self, s: str) -> str:
+        said = [self._read(w) for w in re.split("[^a-z]+", s.replace("'", "").replace("co-ord", "coord")) if w and w not in self.fillers]
+        best = ("", 0.0)
+        for n, ws in self.entries:
+            got = sum(1 / self.df[w] for w in ws if any(w in x for x in said))
+            all_ = sum(1 / self.df[w] for w in ws)
+            lost = sum(0.5 for x in said if not x & set(ws))
+            if got / (all_ + lost) > best[1]:
+                best = (n, got / (all_ + lost))
+        return best[0] if best[1] >= 0.5 else ""

@@ -153,6 +153,20 @@ def test_short_and_full_given_names_meet_at_different_places(spark):
     assert {(r.a, r.b): r.s for r in links.collect() if r.s > 0.5} == {(1, 2): 0.95, (3, 4): 0.95}
 
 
+def test_short_forms_of_any_length_are_read(spark):
+    entries = spark.createDataFrame([(1, "Representative of Superintendents"), (2, "Club Owner"), (3, "Administratrix")], "entry long, name string")
+    typed = {"repr. of superintendts": 1, "Administratr": 3, "superintenden representativ": 1, "adminstrtrx": 3, "clb ownr": 2}
+    got = {r.text: r.entry for r in canonical.map_texts(spark.createDataFrame([(t,) for t in typed], "text string"), entries, canonical.TITLE).collect()}
+    assert got == typed
+
+
+def test_leads_hold_every_abbreviation(spark):
+    word = "operations"
+    got = set(spark.range(1).select(canonical.leads(F.lit(word)).alias("k")).first().k)
+    want = {word[0] + "".join(x) for n in (1, 2) for x in itertools.combinations(word[1:], n)}
+    assert got == want
+
+
 def test_texts_are_mapped_to_their_entry(spark):
     cities = spark.createDataFrame(CITIES, "entry long, name string")
     typed = {"Relabrook, NY": 1, "W. Sorrervale": 2, "Sorrervale, West": 2, "pennworth lndg": 3, "Town of Fennshaw Hbr": 4, "Main Street": None, "12199": None, "Kumquat City": None, "PennworthLanding": 3}
