@@ -23,6 +23,8 @@ ENDS = ".!?…。！？｡؟।;"
 MASKS = "".join(chr(0xE000 + k) for k in range(len(ENDS)))
 BREAK = "\ue010"  # a line break within a sentence
 FILL = "\ue012"  # the second character of a two-character line end
+PRIVATE = "[\\ue000-\\uf8ff]"
+BLANKS = " \t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\u00a0\u1680\u2028\u2029\u202f\u205f\u3000\ufeff" + "".join(map(chr, range(0x2000, 0x200C))) + BREAK + FILL  # no unit begins or ends with one
 SPACE = "[\\s\\u00a0\\u1680\\u2000-\\u200b\\u202f\\u205f\\u3000\\ufeff\\x85" + BREAK + FILL + "]"
 INDENT = "[ \\t" + FILL + "]*"
 EMOJI = "[\\x{1F000}-\\x{1FAFF}\\x{2600}-\\x{27BF}\\x{2B00}-\\x{2BFF}\\x{FE0F}\\x{200D}\\x{20E3}]"
@@ -39,7 +41,6 @@ BEFORE_NUMBER = (
 )
 FIRM = "Bros|Inc|Co|Ltd|Corp|Cie"
 MONTHS_DE = "Januar|Februar|März|April|Mai|Juni|Juli|August|September|Oktober|November|Dezember"
-SPEECH = 2_000  # longer than this nothing is taken for one piece of speech
 ITEM = 48  # headings and list items are shorter than this
 WRAP = 60  # a line of so many characters that ends without a terminator runs on in the next line
 
@@ -105,7 +106,7 @@ def _mask_speech(c: Column) -> Column:
     """Terminators within speech become masks, but for those right before the closing quote."""
 
     def paired(x: Column, opening: str, closing: str) -> Column:
-        whole = lambda p: p.rlike(f"^[{opening}]") & p.rlike(f"[{closing}]$") & ~p.contains("\n\n") & (F.length(p) <= SPEECH)
+        whole = lambda p: p.rlike(f"^[{opening}]") & p.rlike(f"[{closing}]$") & ~p.contains("\n\n")
         cut = F.split(x, f"(?=[{opening}])|(?<=[{closing}])")
         return F.when(x.rlike(f"[{opening}]"), F.array_join(F.transform(cut, lambda p: F.when(whole(p), _inside(p)).otherwise(p)), "")).otherwise(x)
 
@@ -140,12 +141,18 @@ def _mark(c: Column) -> Column:
         ("[。！？｡]", f"([。！？｡]+(?:[）)】》]|{SPACE}{{0,2}}{EMOJI})*)(?![。！？｡」』”’\")）)】》])", f"$1{MARK}"),
         ("[。！？｡]", f"([。！？｡]+[」』”’\"]+)(?={SPACE}|$)", f"$1{MARK}"),
         # speech after a colon ends its sentence, if nothing goes on from it
-        ("[：，][“「『]", "([：，][“「『][^”」』\\n]{0,400}[。！？｡][”」』])(?=[^と、，。！？\\s" + MARK + "])", f"$1{MARK}"),
+        ("[：，][“「『]", "([：，][“「『][^”」』\\n]*[。！？｡][”」』])(?=[^と、，。！？\\s" + MARK + "])", f"$1{MARK}"),
         ("[\\u0e00-\\u0e7f]", "[ \\u00a0\\u2009\\u200b\\t](?<=[\\u0e00-\\u0e7f].)(?=[ \\u00a0\\u2009\\u200b\\t]*[\\u0e00-\\u0e7f])", f"{MARK}$0"),
     )
-    for there, r, put in rare:
-        c = let(c, _where(there, r, put))
-    return c
+
+    def all_rare(x: Column) -> Column:
+        for there, r, put in rare:
+            x = let(x, _where(there, r, put))
+        return x
+
+    # most texts have none of these scripts and signs
+    any_ = "|".join(there for there, _, _ in rare)
+    return let(c, lambda x: F.when(x.rlike(any_), all_rare(x)).otherwise(x))
 
 
 def _where(there: str, pattern: str, put: str):
@@ -154,6 +161,7 @@ def _where(there: str, pattern: str, put: str):
 
 def units(text: Column) -> Column:
     """Array of (start_pos, end_pos) of a text's units, in code points, end exclusive."""
+    text = let(text, _where(PRIVATE, PRIVATE, "x"))  # so that no mark comes from the text
     flat = F.translate(F.replace(text, F.lit("\r\n"), F.lit("\n" + FILL)), "\r\u2028\u2029", "\n\n\n")
     marked = let(flat, lambda w: let(_mask_points(w), lambda p: let(_mask_breaks(p), lambda q: let(_mask_speech(q), _mark))))
 
@@ -163,8 +171,8 @@ def units(text: Column) -> Column:
             lens, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts")),
             lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.concat(acc["starts"], F.array(acc["at"])).alias("starts")),
         )
-        lead = lambda x: F.length(x) - F.length(F.regexp_replace(x, f"^{SPACE}+", ""))
-        body = lambda x: F.length(F.regexp_replace(x, f"^{SPACE}+|{SPACE}+$", ""))
+        lead = lambda x: F.length(x) - F.length(F.ltrim(x, F.lit(BLANKS)))
+        body = lambda x: F.length(F.trim(x, F.lit(BLANKS)))
         one = lambda x, s: F.struct((s + lead(x)).alias("start_pos"), (s + lead(x) + body(x)).alias("end_pos"))
         return F.filter(F.zip_with(pieces, state["starts"], one), lambda u: u["end_pos"] > u["start_pos"])
 

@@ -4,6 +4,7 @@ import random
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from pagelode.llm import mixing, sentences, tokens
@@ -45,6 +46,24 @@ def test_a_very_long_text_is_cut_whole(spark):
     assert sentences.split_sentences(df).count() == n
 
 
+def test_long_speech_is_one_sentence(spark):
+    said = "It went on. " * 300
+    rows = sentences.split_sentences(spark.createDataFrame([(1, f"She said, “{said.strip()}” Then he left."), (2, f"教练说：“{'新的。' * 300}”前台开门。")], "doc_id long, text string")).orderBy("doc_id", "start_pos").collect()
+    assert len(said) > 3000 and [(len(r.sentence) > 800, r.sentence[-4:]) for r in rows] == [(True, "on.”"), (False, "eft."), (True, "新的。”"), (False, "台开门。")]
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.text(alphabet="ab A.!?\n\ue000\ue005\ue00a\ue010\ue012\ue0fe\ue0ff\uf8ff", max_size=40), min_size=1, max_size=20))
+def test_private_use_characters_are_letters(texts):
+    spark = SparkSession.getActiveSession()
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    plain = str.maketrans({chr(c): "x" for c in [*range(0xE000, 0xF900)]})
+    cuts = lambda d: sorted((r.doc_id, r.start_pos, r.end_pos) for r in sentences.split_sentences(d).collect())
+    rows = sentences.split_sentences(df).collect()
+    assert all(texts[r.doc_id][r.start_pos : r.end_pos] == r.sentence for r in rows)
+    assert sorted((r.doc_id, r.start_pos, r.end_pos) for r in rows) == cuts(spark.createDataFrame([(i, t.translate(plain)) for i, t in enumerate(texts)], "doc_id long, text string"))
+
+
 RANKS = None
 
 
