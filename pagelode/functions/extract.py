@@ -30,8 +30,9 @@ def one_line(c: Column | str) -> Column:
 
 def links(html: Column | str, base: Column | str) -> Column:
     """array<struct<href,text>> of a page's links in order, absolute, their text trimmed and cut to 120 characters."""
-    found = F.regexp_extract_all(text_of(html), F.lit("(?is)<a\\b[^>]*?\\bhref\\s*=\\s*[\"'][^\"']*[\"'][^>]*>.*?</a\\s*>"), F.lit(0))
-    href = lambda a: F.regexp_extract(a, "(?is)\\bhref\\s*=\\s*[\"']([^\"']*)[\"']", 1)
+    value = "(?:\"[^\"]*\"|'[^']*'|[^\\s\"'>]+)"
+    found = F.regexp_extract_all(text_of(html), F.lit(f"(?is)<a\\b[^>]*?\\bhref\\s*=\\s*{value}[^>]*>.*?</a\\s*>"), F.lit(0))
+    href = lambda a: F.regexp_replace(F.regexp_extract(a, f"(?is)\\bhref\\s*=\\s*({value})", 1), "^[\"']|[\"']$", "")
     label = lambda a: F.substring(decode_entities(F.regexp_replace(a, "(?s)<[^>]*>", " ")), 1, 120)
     return F.transform(found, lambda a: F.struct(absolute_url(decode_entities(href(a)), base).alias("href"), label(a).alias("text")))
 

@@ -111,7 +111,7 @@ def title_case(c: Column | str) -> Column:
 
     def body(t: Column) -> Column:
         parts = F.split(F.lower(t), "(?<=[\\s'’-])")
-        capital = F.transform(parts, lambda p: F.when(p.rlike("^[a-z]"), F.concat(F.upper(F.substring(p, 1, 1)), F.substring(p, 2, 10_000))).otherwise(p))
+        capital = F.transform(parts, lambda p: F.when(p.rlike("^[a-z]"), F.concat(F.upper(F.substring(p, 1, 1)), F.substr(p, F.lit(2)))).otherwise(p))
         return F.when((t != F.upper(t)) & (t != F.lower(t)), t).otherwise(F.array_join(capital, ""))
 
     return let(F.trim(F.coalesce(as_col(c), F.lit(""))), body)
@@ -123,7 +123,7 @@ def normalize_city(c: Column | str, aliases: dict[str, str]) -> Column:
     Capitals are a-z only, after anything but a-z, 0-9 and _: an accented letter stays small and the next one is raised."""
 
     def body(t: Column) -> Column:
-        out = F.when(t == F.upper(t), F.array_join(F.transform(F.split(F.lower(t), "(?<![a-z0-9_])(?=[a-z])"), lambda p: F.concat(F.when(p.rlike("^[a-z]"), F.upper(F.substring(p, 1, 1))).otherwise(F.substring(p, 1, 1)), F.substring(p, 2, 10_000))), "")).otherwise(t)
+        out = F.when(t == F.upper(t), F.array_join(F.transform(F.split(F.lower(t), "(?<![a-z0-9_])(?=[a-z])"), lambda p: F.concat(F.when(p.rlike("^[a-z]"), F.upper(F.substring(p, 1, 1))).otherwise(F.substring(p, 1, 1)), F.substr(p, F.lit(2)))), "")).otherwise(t)
         for pattern, name in aliases.items():
             out = F.when(t.rlike(f"(?i){pattern}"), F.lit(name)).otherwise(out)
         return out

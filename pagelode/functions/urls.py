@@ -79,12 +79,30 @@ def unwrap_redirect(c: Column | str) -> Column:
     return let(F.coalesce(as_col(c), F.lit("")), body)
 
 
+def without_dots(path: Column) -> Column:
+    """A path whose '.' and '..' segments are worked off; what would climb over the root stays there."""
+
+    def step(done: Column, s: Column) -> Column:
+        up = F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))
+        return F.when(s == "..", up).when(s == ".", done).otherwise(F.concat(done, F.array(s)))
+
+    def body(parts: Column) -> Column:
+        tail = F.when(F.element_at(parts, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+        kept = F.concat(F.aggregate(F.slice(parts, 2, F.size(parts)), F.array().cast("array<string>"), step), tail)
+        return F.concat(F.lit("/"), F.array_join(kept, "/"))
+
+    return F.when(path.rlike("(?:^|/)\\.{1,2}(?:/|$)"), let(F.split(path, "/"), body)).otherwise(path)
+
+
 def absolute_url(href: Column | str, base: Column | str) -> Column:
-    """A link made absolute against its page: full, scheme-relative, rooted and plain relative forms."""
+    """A link made absolute against its page: full, scheme-relative, rooted and plain relative forms, dot segments worked off."""
     h, b = as_col(href), as_col(base)
     scheme, root = F.regexp_extract(b, "^(https?:)", 1), F.regexp_extract(b, "^(https?://[^/?#]*)", 1)
-    folder = F.regexp_replace(F.regexp_replace(b, "[?#].*$", ""), "(?<=[^/:])/[^/]*$", "")
-    return F.when(h.rlike("^(?i)[a-z][a-z0-9+.-]*:"), h).when(h.startswith("//"), F.concat(scheme, h)).when(h.startswith("/"), F.concat(root, h)).when(h.rlike("^[?#]"), F.concat(F.regexp_replace(b, "[?#].*$", ""), h)).otherwise(F.concat(folder, F.lit("/"), h))
+    page = F.regexp_replace(b, "[?#].*$", "")
+    folder = F.regexp_replace(F.regexp_replace(page, "^(https?://[^/]*)", ""), "[^/]*$", "")
+    path, query = F.regexp_replace(h, "[?#].*$", ""), F.regexp_extract(h, "([?#].*)$", 1)
+    rooted = F.when(h.startswith("/"), path).otherwise(F.concat(F.when(folder == "", "/").otherwise(folder), path))
+    return F.when(h.rlike("^(?i)[a-z][a-z0-9+.-]*:"), h).when(h.startswith("//"), F.concat(scheme, h)).when(h.rlike("^[?#]"), F.concat(page, h)).otherwise(F.concat(root, without_dots(rooted), query))
 
 
 def brand_tokens(domain: Column | str, name: Column | str) -> Column:

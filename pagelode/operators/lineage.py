@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
-import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """The folder the cluster names in spark.checkpoint.dir is used as it is; only a session without one gets its own."""
-    if spark.conf.get("spark.checkpoint.dir", None):
+def ensure_checkpoint_dir(spark: SparkSession, folder: str | None = None) -> None:
+    """Uses the folder that spark.checkpoint.dir names, or that was set before, or the one given here.
+
+    A session of one machine without any gets a folder beside its tables (spark.sql.warehouse.dir), removed when it ends; on a
+    cluster that is an error, as no folder can be guessed that all executors share."""
+    sc = spark.sparkContext
+    if spark.conf.get("spark.checkpoint.dir", None) or sc._jsc.sc().getCheckpointDir().isDefined():
         return
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pagelode-ckpt-"))
+    if folder is None:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints-{uuid4().hex}"
+        path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(path)
+    sc.setCheckpointDir(folder)
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -5,8 +5,6 @@ Each stage is a Parquet table; a run reads what is new by an anti-join against w
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,9 +48,26 @@ def append_stage(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, on whatever file system it names."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def read_stage(spark: SparkSession, path: str, schema) -> DataFrame:
     """A stage's rows; none yet is an empty table of the schema."""
-    local = path.removeprefix("file://")
-    if "://" not in local and not os.path.exists(local):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
+
+
+def page_faults(pages: DataFrame) -> DataFrame:
+    """url, fault of pages(url, status, html) that can't be used: a failed fetch, no address that names a host, no markup. The others go on without them."""
+    fault = (
+        F.when(F.coalesce(F.col("status"), F.lit(200)) >= 400, F.concat(F.lit("status "), F.col("status").cast("string"))).when(registrable_domain("url") == "", "no host")
+        .when(F.trim(F.coalesce("html", F.lit(""))) == "", "no markup")
+    )
+    return pages.select("url", fault.alias("fault")).filter("fault is not null")
+
+
+def answered_queries(hits: DataFrame) -> DataFrame:
+    """Queries that gave any hit: one that came back empty is not done and is asked again."""
+    return usable_hits(hits).filter(F.trim(F.coalesce("query", F.lit(""))) != "").select("query").distinct()

@@ -8,7 +8,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from pagelode.operators.keyed import not_done
@@ -22,8 +21,10 @@ def enrich_new(pages: DataFrame, done: DataFrame, key: str, enrich: Callable[[Da
 
 
 def refresh(spark: SparkSession, pages: DataFrame, state: str, key: str, enrich: Callable[[DataFrame], DataFrame], row_schema: str, key_schema: str) -> DataFrame:
-    """One incremental run over the stage tables under state; gives all enriched rows so far."""
-    done = read_stage(spark, f"{state}/attempted", key_schema)
+    """One incremental run over the stage tables under state; gives all enriched rows so far.
+
+    Keys that have rows count as done too, so a run that died between its two writes doubles nothing when it is repeated."""
+    done = read_stage(spark, f"{state}/attempted", key_schema).select(key).unionByName(read_stage(spark, f"{state}/rows", row_schema).select(key))
     rows, tried = enrich_new(pages, done, key, enrich)
     append_stage(rows, f"{state}/rows")
     append_stage(tried, f"{state}/attempted")
@@ -33,16 +34,13 @@ def refresh(spark: SparkSession, pages: DataFrame, state: str, key: str, enrich:
 def stream_rows(spark: SparkSession, source: str, schema: StructType | str, state: str, enrich: Callable[[DataFrame], DataFrame], key: str):
     """Starts a stream from a folder of Parquet files: every file's new keys are enriched and appended to state/rows.
 
-    A replayed batch adds nothing twice: keys written before are left out, and the stream's own checkpoint keeps the files apart.
+    All rows of a key that arrive in one batch are worked together. A replayed batch adds nothing twice: keys written before are left
+    out, and the stream's own checkpoint keeps the files apart.
     Call processAllAvailable() or awaitTermination() on the query that is returned."""
 
     def each(batch: DataFrame, epoch: int) -> None:
-        rows = enrich(batch.dropDuplicates([key]))
+        rows = enrich(batch)
         seen = read_stage(batch.sparkSession, f"{state}/rows", rows.schema)
         append_stage(not_done(rows, seen, key), f"{state}/rows")
 
     return spark.readStream.schema(schema).parquet(source).writeStream.foreachBatch(each).option("checkpointLocation", f"{state}/checkpoint").trigger(availableNow=True).start()
-
-
-def tally(rows: DataFrame, column: str) -> DataFrame:
-    return rows.groupBy(F.col(column)).agg(F.count("*").alias("n"))
