@@ -24,16 +24,17 @@ def size_of(c: str) -> Column:
     return F.greatest(F.size(F.coalesce(F.col(c), F.array())), F.lit(0))
 
 
-def contact_index(contacts: DataFrame) -> DataFrame:
-    """The fullest record per host of contacts(ord, website, people, direct_emails, shared_emails, locations)."""
+def contact_index(contacts: DataFrame, weight: Column | None = None) -> DataFrame:
+    """The fullest record per host of contacts(ord, website, people, direct_emails, shared_emails, locations); weight says how full a record is, if not the size of its lists."""
     rows = contacts.withColumn("host", registrable_domain("website")).filter("host <> ''")
-    weight = size_of("people") + size_of("locations") + size_of("direct_emails")
+    if weight is None:
+        weight = size_of("people") + size_of("locations") + size_of("direct_emails")
     return richest_per_key(rows, F.col("host"), weight, "ord").drop("first_order")
 
 
 def with_contacts(master: DataFrame, index: DataFrame) -> DataFrame:
     """Master rows with their host's extras; null where there are none. The index has one row a host, so rows do not multiply."""
-    extras = index.select("host", "people", "direct_emails", "shared_emails", "locations")
+    extras = index.drop(*[c for c in index.columns if c in master.columns and c != "host"], "ord")
     return master.withColumn("host", registrable_domain("website")).join(extras, "host", "left")
 
 
@@ -82,43 +83,72 @@ def candidates(most_direct: int = 3, most_shared: int = 3) -> Column:
     return let(people_for(), body)
 
 
-def fan_out_candidates(facilities: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows, repeats): one row per address of facilities(facility_no, ...), and those that an earlier facility already claimed."""
+def claimed_candidates(facilities: DataFrame) -> DataFrame:
+    """One row per address of facilities(facility_no, ...) with claim and claimed_by: the earlier facility that has the address owns it."""
     rows = facilities.select("*", F.posexplode(candidates()).alias("candidate_no", "c"))
     rows = rows.select("*", "c.*").drop("c").withColumn("claim", F.col("facility_no").cast("long") * 1_000_000 + F.col("candidate_no"))
-    rows = first_claim(rows, "email", "claim")
+    return first_claim(rows, "email", "claim")
+
+
+def fan_out_candidates(facilities: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows, repeats): one row per address of facilities(facility_no, ...), and those that an earlier facility already claimed."""
+    rows = claimed_candidates(facilities)
     names = {"decision_maker_first_name": title_case("first"), "decision_maker_last_name": title_case("last")}
     won = rows.filter("claim = claimed_by").withColumns(names).withColumn("decision_maker_full_name", F.trim(F.concat_ws(" ", "decision_maker_first_name", "decision_maker_last_name")))
     return won, rows.filter("claim <> claimed_by").withColumn("owner_no", F.floor(F.col("claimed_by") / 1_000_000))
 
 
+def branch_letter(no: Column) -> Column:
+    """Letter of a facility's branch by its place from 0: A, B, .. in code point order, the place itself past the Latin letters."""
+    return F.when(no < 191, F.char(65 + no)).otherwise(no.cast("string"))
+
+
 def branches(facilities: DataFrame) -> DataFrame:
     """One row per location of a facility, or one with the facility's city if there is none; the location id's letter goes by place."""
     one = F.array(F.struct(F.lit("").alias("street"), full("city").alias("city"), F.lit("").alias("zip")))
     rows = facilities.select("*", F.posexplode(F.when(size_of("locations") > 0, F.col("locations")).otherwise(one)).alias("branch_no", "branch"))
-    letter = F.when(F.col("branch_no") < 191, F.char(65 + F.col("branch_no"))).otherwise(F.col("branch_no").cast("string"))
     return rows.withColumns({
-        "location_id": F.concat(F.col("facility_id"), F.lit("-"), letter), "branch_street": F.col("branch.street"), "branch_city": F.col("branch.city"), "branch_zip": F.col("branch.zip"),
+        "location_id": F.concat(F.col("facility_id"), F.lit("-"), branch_letter(F.col("branch_no"))), "branch_street": F.col("branch.street"), "branch_city": F.col("branch.city"), "branch_zip": F.col("branch.zip"),
         "is_multi_location": F.when(size_of("locations") > 1, "Yes").otherwise("No"), "location_count": F.greatest(size_of("locations"), F.lit(1)),
     }).drop("branch")
 
 
-def emails_found() -> Column:
-    """Distinct addresses of a facility; the master's own count only where the contact pass gave no list at all."""
+def branches_of(facilities: DataFrame, places: DataFrame) -> DataFrame:
+    """branches for locations that stand in a table of their own: places(extras_website, place_no from 1, street, city, zip), facilities with extras_website and n_locations.
+
+    A website's places are never gathered in one row, so one with a large part of all places is no burden."""
+    n = F.coalesce("n_locations", F.lit(0))
+    seats = places.select("extras_website", "place_no", *[F.coalesce(c, F.lit("")).alias(f"branch_{c}") for c in ("street", "city", "zip")])
+    rows = facilities.join(seats, "extras_website", "left")
+    letter = branch_letter(F.coalesce(F.col("place_no") - 1, F.lit(0)).cast("int"))
+    return rows.withColumns({
+        "location_id": F.concat(F.col("facility_id"), F.lit("-"), letter), "branch_street": F.coalesce("branch_street", F.lit("")), "branch_city": F.when(F.col("place_no").isNull(), full("city")).otherwise(F.col("branch_city")),
+        "branch_zip": F.coalesce("branch_zip", F.lit("")), "is_multi_location": F.when(n > 1, "Yes").otherwise("No"), "location_count": F.greatest(n, F.lit(1)).cast("int"),
+    })
+
+
+def emails_found(known: Column | None = None) -> Column:
+    """Distinct addresses of a facility; the master's own count only where the contact pass gave no list at all. known: their number where it was counted elsewhere."""
     both = F.concat(F.coalesce(F.col("direct_emails"), F.array(full("public_direct_email"))), F.coalesce(F.col("shared_emails"), F.array(full("shared_facility_email"))))
-    return F.size(F.array_distinct(F.filter(both, lambda e: F.coalesce(e, F.lit("")) != "")))
+    size = F.size(F.array_distinct(F.filter(both, lambda e: F.coalesce(e, F.lit("")) != "")))
+    return size if known is None else F.coalesce(known.cast("int"), size)
 
 
 def run_stats(won: DataFrame, repeats: DataFrame, facilities: DataFrame) -> DataFrame:
-    """One row of counts over a run: addresses by kind, facilities with none, people, branches, repeats."""
-    kinds = won.agg(
-        F.count_if(F.col("type") == "Published Direct").alias("direct"), F.count_if(F.col("type") == "Published Shared").alias("shared"),
-        F.count_if(F.col("type").startswith("Guessed")).alias("guessed"), F.count_distinct("facility_no").alias("facilities_with_rows"),
+    cols = ["facility_no", "type", "claim", "claimed_by"]
+    return claim_stats(won.select(cols).unionByName(repeats.select(cols)), facilities)
+
+
+def claim_stats(claims: DataFrame, facilities: DataFrame, n_locations: Column | None = None) -> DataFrame:
+    """One row of counts over a run: addresses by kind, facilities with none, people, branches, repeats. claims: all of claimed_candidates."""
+    won = F.col("claim") == F.col("claimed_by")
+    kinds = claims.agg(
+        F.count_if(won & (F.col("type") == "Published Direct")).alias("direct"), F.count_if(won & (F.col("type") == "Published Shared")).alias("shared"),
+        F.count_if(won & F.col("type").startswith("Guessed")).alias("guessed"), F.count_distinct(F.when(won, F.col("facility_no"))).alias("facilities_with_rows"), F.count_if(~won).alias("repeats"),
     )
-    n = F.size(people_for())
+    n, seats = F.size(people_for()), size_of("locations") if n_locations is None else F.coalesce(n_locations, F.lit(0))
     each = facilities.agg(
-        F.count("*").alias("facilities"), F.coalesce(F.sum(n), F.lit(0)).alias("people"), F.count_if(n > 1).alias("multi_person"), F.count_if(size_of("locations") > 1).alias("multi_site"),
-        F.coalesce(F.sum(F.greatest(size_of("locations"), F.lit(1))), F.lit(0)).alias("branches"), F.count_if(F.size(candidates()) == 0).alias("no_email"),
+        F.count("*").alias("facilities"), F.coalesce(F.sum(n), F.lit(0)).alias("people"), F.count_if(n > 1).alias("multi_person"), F.count_if(seats > 1).alias("multi_site"),
+        F.coalesce(F.sum(F.greatest(seats, F.lit(1))), F.lit(0)).alias("branches"), F.count_if(F.size(candidates()) == 0).alias("no_email"),
     )
-    again = repeats.agg(F.count("*").alias("repeats"))
-    return kinds.join(each, F.lit(True)).join(again, F.lit(True))
+    return kinds.join(each, F.lit(True))

@@ -41,8 +41,13 @@ def richness(prefix: str = "") -> Column:
     return has("public_direct_email", 4) + has("shared_facility_email", 2) + has("decision_maker_last_name", 2) + has("number_of_courts", 1) + has("city", 1)
 
 
+def with_site(rows: DataFrame) -> DataFrame:
+    """__site: the row's own host, worked out once for all the steps that ask for it."""
+    return rows if "__site" in rows.columns else rows.withColumn("__site", site())
+
+
 def without_publishers(rows: DataFrame) -> DataFrame:
-    return rows.filter(~let(site(), lambda d: looks_like_publisher("facility_name", d)))
+    return with_site(rows).filter(~looks_like_publisher("facility_name", F.col("__site")))
 
 
 def strip_foreign_emails(rows: DataFrame) -> DataFrame:
@@ -56,8 +61,9 @@ def strip_foreign_emails(rows: DataFrame) -> DataFrame:
             kin = (host == apex) | F.endswith(host, F.concat(F.lit("."), apex)) | F.endswith(apex, F.concat(F.lit("."), host)) | host.isin(*FREE_MAIL_FINAL)
             return (host != "") & (kin | F.exists(words, lambda w: F.contains(label, w)))
 
-        return let(F.struct(mail_host(e).alias("host"), site().alias("apex")), body)
+        return let(F.struct(mail_host(e).alias("host"), F.col("__site").alias("apex")), body)
 
+    rows = with_site(rows)
     bad = {c: (full(c) != "") & ~ours(full(c)) for c in ("public_direct_email", "shared_facility_email")}
     rows = rows.withColumns({f"__bad_{c}": x for c, x in bad.items()})
     gone = F.col("__bad_public_direct_email") | F.col("__bad_shared_facility_email")
@@ -68,16 +74,16 @@ def strip_foreign_emails(rows: DataFrame) -> DataFrame:
     }).drop("__bad_public_direct_email", "__bad_shared_facility_email")
 
 
-def mail_domain() -> Column:
-    """Host of the first published address that is not free mail, else the site's apex unless that is; '' if neither."""
+def mail_domain(own: Column | None = None) -> Column:
+    """own: the site's apex, where it is known already. Host of the first published address that is not free mail, else the site's apex unless that is; '' if neither."""
     good = lambda h: (h != "") & ~h.isin(*FREE_MAIL_FINAL)
-    d, s, a = mail_host(full("public_direct_email")), mail_host(full("shared_facility_email")), site()
+    d, s, a = mail_host(full("public_direct_email")), mail_host(full("shared_facility_email")), site() if own is None else own
     return F.when(good(d), d).when(good(s), s).otherwise(let(a, lambda x: F.when(x.isin(*FREE_MAIL_FINAL), "").otherwise(x)))
 
 
 def normalize_rows(rows: DataFrame) -> DataFrame:
     """Foreign addresses out, mail domain set, six guesses made anew where a person has no address, and the note about them kept true."""
-    rows = strip_foreign_emails(rows).withColumn("email_domain", mail_domain())
+    rows = strip_foreign_emails(rows).withColumn("email_domain", mail_domain(F.col("__site"))).drop("__site")
     named = (full("decision_maker_first_name") != "") & (full("decision_maker_last_name") != "") & (full("email_domain") != "") & (full("public_direct_email") == "")
     rows = rows.withColumn("__g", F.when(named, guess_emails("decision_maker_first_name", "decision_maker_last_name", "email_domain")).otherwise(F.array_repeat(F.lit(""), 6)))
     bare = F.trim(F.regexp_replace(F.replace(full("research_notes"), F.lit(GUESS_NOTE), F.lit("")), "\\s+", " "))
@@ -118,10 +124,10 @@ def finalize(rows: DataFrame, statuses: list[str]) -> DataFrame:
 def numbered(rows: DataFrame, order: str, prefix: Column | str) -> DataFrame:
     """facility_no 1, 2, .. by order and facility_id made of it, at least four digits wide.
 
-    Numbers are dense and global without sorting everything in one task: rows are range-partitioned and each partition starts
-    where the rows before it end."""
+    Numbers are dense and global without sorting everything in one task: the order keys are range-partitioned and each partition
+    starts where the keys before it end. Only the keys, which must be unique, are written; the rows join their number."""
     # cut, because sampled range bounds may differ from one evaluation to the next
-    spread = cut(rows.repartitionByRange(F.col(order)).sortWithinPartitions(order))
+    spread = cut(rows.select(order).repartitionByRange(F.col(order)).sortWithinPartitions(order))
     spread = spread.withColumn("__part", F.spark_partition_id()).withColumn("__id", F.monotonically_increasing_id())
     spread = spread.withColumn("__in", F.col("__id") - F.shiftleft(F.col("__part").cast("long"), 33))
     sizes = spread.groupBy("__part").count().collect()  # one row a partition
@@ -132,4 +138,4 @@ def numbered(rows: DataFrame, order: str, prefix: Column | str) -> DataFrame:
     offsets = F.create_map(*[F.lit(x) for kv in start for x in kv]) if start else F.create_map(F.lit(0), F.lit(0))
     no = (F.try_element_at(offsets, F.col("__part")) + F.col("__in") + 1).cast("long")
     p = F.lit(prefix) if isinstance(prefix, str) else prefix
-    return spread.withColumn("facility_no", no).withColumn("facility_id", F.format_string("%s-%04d", p, "facility_no")).drop("__part", "__id", "__in")
+    return rows.join(spread.select(order, no.alias("facility_no")), order).withColumn("facility_id", F.format_string("%s-%04d", p, "facility_no"))

@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pagelode.functions.text import as_col
+from pagelode.operators.lineage import cut
 from pagelode.operators.skew import bounded_broadcast
 
 MOST_TEMPLATES = 100_000  # rows up to which a list of templates is broadcast
@@ -85,6 +86,26 @@ def not_done(todo: DataFrame, done: DataFrame, key: str | list[str]) -> DataFram
     return todo.join(done.select(key).distinct(), key, "left_anti")
 
 
+def ranked_per_key(df: DataFrame, key: str, order: str, rank: str) -> DataFrame:
+    """Rows with their place 1, 2, .. within their key by order (unique), whatever part of the rows one key has; null keys are left out.
+
+    The rows are range-partitioned by key and order, so a hot key lies in many partitions; each starts where those before it end."""
+    spread = cut(df.filter(F.col(key).isNotNull()).repartitionByRange(key, order).sortWithinPartitions(key, order))
+    spread = spread.withColumns({"__part": F.spark_partition_id(), "__id": F.monotonically_increasing_id()})
+    part = spread.groupBy(key, "__part").agg(F.min("__id").alias("__first"), F.count("*").alias("__n"))  # a key has no more of them than there are partitions
+    before = F.coalesce(F.sum("__n").over(W.partitionBy(key).orderBy("__part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    part = part.select(key, "__part", "__first", before.alias("__before"))
+    return spread.join(part, [key, "__part"]).withColumn(rank, (F.col("__id") - F.col("__first") + F.col("__before") + 1).cast("long")).drop("__part", "__id", "__first", "__before")
+
+
+def bounded_values(df: DataFrame, column: str, most: int = 1_000) -> list:
+    """Distinct values of a column that is known to have few, in order; more than most is an error."""
+    rows = df.select(column).distinct().filter(F.col(column).isNotNull()).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"{column} has more than {most} values")
+    return sorted(r[0] for r in rows)
+
+
 def last_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
     """The row of every key with the largest order number: later entries of a list overwrite earlier ones."""
     best = df.groupBy(key).agg(F.max(order).alias("__o"))

@@ -18,17 +18,18 @@ from pagelode.operators import contacts as C
 from pagelode.operators import facilities as A
 from pagelode.operators import keyed as K
 from pagelode.operators import rules as rules_
+from pagelode.plans import cases, deliver
 from pagelode.plans.discover import candidate_sites
 from pagelode.profile import (
-    BRAND_STOP_WORDS, FREE_MAIL_FINAL, FREE_MAIL_SEEN, GUESS_NOTE, HONORIFICS, INDOOR, LISTING_HOSTS, MASTHEADS, NAME_KINDS, NAME_STOP_WORDS, NOT_A_PERSON, OUTDOOR, PAID, PUBLISHER_DOMAINS, RETAIL_SIGNALS,
+    BRAND_STOP_WORDS, ENTITIES, FREE_MAIL_FINAL, FREE_MAIL_SEEN, GUESS_NOTE, HONORIFICS, INDOOR, LISTING_HOSTS, MASTHEADS, NAME_KINDS, NAME_STOP_WORDS, NOT_A_PERSON, OUTDOOR, PAID, PUBLISHER_DOMAINS, RETAIL_SIGNALS,
     ROLE_LOCALS, SHARED_LOCALS, SPORTS, STREET_SUFFIXES, STREET_WORDS, TEXT_KINDS, VANITY_LABELS, VENUE_WORDS, WEAK_MASTHEADS,
 )
 from pagelode.sources import csvio
 from pagelode.sources.stages import table
 
 MASTER, CANDIDATES, PLACES, OUTREACH = "new_york_indoor_court_facilities", "ny_indoor_courts_reoon_verification_input", "ny_indoor_courts_locations", "n8n_indoor_courts_5_row_reference"
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = dict(cases.QUERIES)
+ORACLES: dict[str, str] = dict(cases.ORACLES)
 
 
 def query(sql: str | None = None):
@@ -109,7 +110,12 @@ def city_normalize(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("typed", T.normalize_city("typed", NY.city_alias).alias("city"))
 
 
-@query()
+CITY_BLANK = "[\\s\\x0b\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}\\x{feff}]+"
+
+
+@query(f"""SELECT c AS typed, CASE WHEN regexp_matches(t, '(?i)^(nyc|new york city|n\\.?y\\.?c\\.?)$') THEN 'New York' WHEN t = upper(t) THEN
+ array_to_string(list_transform(regexp_extract_all(lower(t), '[a-z0-9_]+|[^a-z0-9_]+'), lambda p: CASE WHEN regexp_matches(p, '^[a-z]') THEN upper(p[1]) || p[2:] ELSE p END), '') ELSE t END AS city
+FROM (SELECT DISTINCT city AS c, regexp_replace(regexp_replace(city, '[.''’-]+$', ''), '^{CITY_BLANK}|{CITY_BLANK}$', '', 'g') AS t FROM {MASTER} WHERE city IS NOT NULL)""")
 def city_normalize_all(spark: SparkSession, d: str) -> DataFrame:
     """Every city, whatever its characters; city_normalize is the part of it that its SQL can say."""
     from pagelode.profile import NY
@@ -118,18 +124,49 @@ def city_normalize_all(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("typed", T.normalize_city("typed", NY.city_alias).alias("city"))
 
 
-@query()
+CP1252_SQL = "MAP {" + ", ".join(f"{cp}: '{b:02X}'" for cp, b in T.CP1252_HIGH.items()) + "}"
+
+
+def repair_sql(c: str) -> str:
+    """Text read as windows-1252 by mistake, turned back into its bytes; whatever does not decode stays."""
+    data = f"array_to_string(list_transform(string_split({c}, ''), lambda ch: CASE WHEN unicode(ch) < 256 THEN format('{{:02X}}', unicode(ch)) ELSE coalesce({CP1252_SQL}[unicode(ch)], 'ZZ') END), '')"
+    return f"(CASE WHEN regexp_matches({c}, '[ÂÃâ]') THEN coalesce(TRY(decode(unhex({data}))), {c}) ELSE {c} END)"
+
+
+DASHES = "‐‑‒–—―−•·"
+
+
+PLAINER = dict(zip(DASHES + "‘’“”\u00a0\u2007\u202f\u200b", "-" * len(DASHES) + "\x01\x01" + '""' + "    ", strict=True))
+SEPARATORS_SQL = "translate({c}, '" + "".join(PLAINER) + "', '" + "".join(PLAINER.values()) + "')"
+
+
+@query(f"SELECT facility_row_id, replace({SEPARATORS_SQL.format(c=repair_sql('facility_name'))}, chr(1), chr(39)) AS name, {repair_sql('decision_maker_last_name')} AS last FROM {MASTER}")
 def mojibake_repair(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, MASTER).select("facility_row_id", "facility_name", "decision_maker_last_name")
     return rows.select("facility_row_id", T.normalize_separators("facility_name").alias("name"), T.repair_mojibake("decision_maker_last_name").alias("last"))
 
 
-@query()
+ENTITY_SQL = "MAP {" + ", ".join(f"'{k}': '" + v.replace("'", "''") + "'" for k, v in ENTITIES.items()) + "}"
+
+
+def decode_sql(c: str) -> str:
+    code = "CASE WHEN starts_with(lower(p), '&#x') THEN CAST(TRY_CAST('0x' || p[4:-2] AS INT) AS INT) ELSE TRY_CAST(p[3:-2] AS INT) END"
+    one = f"CASE WHEN starts_with(p, '&#') THEN coalesce(CASE WHEN {code} BETWEEN 1 AND 1114111 THEN chr({code}) END, p) WHEN starts_with(p, '&') AND length(p) > 1 THEN coalesce({ENTITY_SQL}[lower(p[2:-2])], p) ELSE p END"
+    pieces = f"regexp_extract_all(coalesce({c}, ''), '&(?:#x[0-9a-fA-F]+|#[0-9]+|[a-zA-Z]+);|[^&]+|&')"
+    return f"trim(regexp_replace(array_to_string(list_transform({pieces}, lambda p: {one}), ''), '[\\s\\x0B\\x{{a0}}\\x{{2007}}\\x{{202f}}\\x{{200b}}\\x{{3000}}\\x{{feff}}]+', ' ', 'g'), ' ')"
+
+
+@query(f"SELECT doc_id, {decode_sql('text')} AS text FROM documents")
 def entity_decode(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", T.decode_entities("text").alias("text"))
 
 
-@query()
+BLOCKS_SQL = "(?i)<br\\s*/?>|</?(p|div|li|ul|ol|h[1-6]|tr|table|section|article|header|footer|nav|title|option|address|blockquote|dd|dt|dl|form)\\b[^>]*>"
+HIDDEN_SQL = "(?is)" + "|".join(f"<{w}\\b.*?</{w}\\s*>" for w in ("script", "style", "noscript", "template")) + "|<!--.*?-->"
+
+
+@query(f"""WITH c AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), '{HIDDEN_SQL}', ' ', 'g'), '{BLOCKS_SQL}', chr(10), 'g'), '<[^>]*>', '', 'g') AS t FROM documents)
+SELECT doc_id, array_to_string(list_filter(list_transform(string_split(t, chr(10)), lambda x: {decode_sql("x")}), lambda x: x <> ''), chr(10)) AS text FROM c""")
 def html_text(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", T.html_to_text("text").alias("text"))
 
@@ -156,6 +193,13 @@ def redirect_unwrap(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame(REDIRECTS, "id int, url string").select("id", U.unwrap_redirect("url").alias("target"))
 
 
+@query(f"SELECT facility_row_id, CASE WHEN regexp_matches(website, '(?i)^https?://') THEN website ELSE '' END AS target FROM {MASTER}")
+def redirect_unwrap_all(spark: SparkSession, d: str) -> DataFrame:
+    """Every website of the master, wrapped as a search engine wraps its hits."""
+    rows = table(spark, d, MASTER).select("facility_row_id", F.concat(F.lit("https://duckduckgo.com/l/?uddg="), F.url_encode(F.coalesce("website", F.lit(""))), F.lit("&rut=1")).alias("url"))
+    return rows.select("facility_row_id", U.unwrap_redirect("url").alias("target"))
+
+
 # ---------------------------------------------------------------- facts from text
 
 
@@ -231,6 +275,13 @@ def type_rules(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, MASTER).select("facility_row_id", X.facility_kind("facility_name", F.lit("")).alias("kind"))
 
 
+@query(f"""SELECT track_row_id, CASE WHEN a <> '' THEN a ELSE {first_rule_sql("n || chr(10) || substr(b, 1, 3000)", TEXT_KINDS, "Unknown")} END AS kind
+FROM (SELECT track_row_id, n, b, {first_rule_sql("n", NAME_KINDS, "")} AS a FROM (SELECT track_row_id, coalesce(company_name, '') AS n, concat_ws(' ', primary_type, fit_notes) AS b FROM {OUTREACH}))""")
+def type_rules_text(spark: SparkSession, d: str) -> DataFrame:
+    """Kinds where the name gives none and the text around it has to."""
+    return table(spark, d, OUTREACH).select("track_row_id", X.facility_kind("company_name", F.concat_ws(" ", "primary_type", "fit_notes")).alias("kind"))
+
+
 @query("""SELECT doc_id, CASE WHEN regexp_matches(h, '(?i)\\b(town|city|village|county) of\\b') THEN '\\b(town|city|village|county) of\\b' WHEN regexp_matches(h, '(?i)\\bparks? (and|&) rec(reation)?\\b') THEN '\\bparks? (and|&) rec(reation)?\\b'
  WHEN regexp_matches(h, '(?i)\\bdepartment of parks\\b') THEN '\\bdepartment of parks\\b' WHEN regexp_matches(h, '(?i)\\bmunicipal\\b') THEN '\\bmunicipal\\b' WHEN regexp_matches(h, '(?i)\\bhomeowners?,? association\\b') THEN '\\bhomeowners?,? association\\b'
  WHEN regexp_matches(h, '\\bHOA\\b') THEN '\\bHOA\\b' WHEN regexp_matches(h, '(?i)\\bapartment (homes|community|living)\\b') THEN '\\bapartment (homes|community|living)\\b'
@@ -335,7 +386,7 @@ def capped_collect(spark: SparkSession, d: str) -> DataFrame:
 SELECT event_id, user_id, event_type FROM r QUALIFY r = min(r) OVER (PARTITION BY user_id)""")
 def engine_failover(spark: SparkSession, d: str) -> DataFrame:
     events = table(spark, d, "events")
-    kinds = sorted(r.event_type for r in events.select("event_type").distinct().collect() if r.event_type)
+    kinds = K.bounded_values(events, "event_type")
     return K.first_source(events, "user_id", "event_type", kinds, F.col("user_id")).select("event_id", "user_id", "event_type")
 
 
@@ -507,78 +558,202 @@ def numbered_ids(spark: SparkSession, d: str) -> DataFrame:
     return A.numbered(table(spark, d, "supplier").select("s_suppkey"), "s_suppkey", "SU").select("s_suppkey", "facility_no", "facility_id")
 
 
+MOST_PEOPLE = 8  # people of a site that the contact pass works on, as the program it follows does
+
+
+def places_of(spark: SparkSession, d: str) -> DataFrame:
+    """Places of a website, numbered from 1; each stays a row of its own."""
+    rows = table(spark, d, PLACES).select(F.col("website").alias("extras_website"), "location_row_id", F.col("branch_street").alias("street"), F.col("branch_city").alias("city"), F.col("branch_zip").alias("zip"))
+    return K.ranked_per_key(rows, "extras_website", "location_row_id", "place_no").drop("location_row_id")
+
+
 def extras(spark: SparkSession, d: str) -> DataFrame:
-    """Contact-pass records per website, made of the candidate and location tables; lists are capped by rank, as the pass does."""
+    """Contact-pass records per website, made of the candidate and location tables, with the numbers of their addresses and places.
+
+    A facility sends out its best three unclaimed direct addresses and its first three shared ones, and no more than MOST_PEOPLE people
+    can claim one each: so the lists need no more than the best MOST_PEOPLE + 3 and the first 3, however many a website has."""
     rows = table(spark, d, CANDIDATES).filter("website is not null")
     who = rows.filter("decision_maker_first_name is not null and decision_maker_last_name is not null").groupBy("website", "decision_maker_first_name", "decision_maker_last_name").agg(F.min("candidate_row_id").alias("o"), F.max("decision_maker_title").alias("title"))
-    top = who.withColumn("r", F.row_number().over(W.partitionBy("website").orderBy("o"))).filter("r <= 8")
+    top = who.withColumn("r", F.row_number().over(W.partitionBy("website").orderBy("o"))).filter(F.col("r") <= MOST_PEOPLE)
     person = F.struct("o", F.col("decision_maker_first_name").alias("first"), F.col("decision_maker_last_name").alias("last"), "title", F.lit("").alias("email"))
     people = top.groupBy("website").agg(F.transform(F.array_sort(F.collect_list(person)), lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last"), s["title"].alias("title"), s["email"].alias("email"))).alias("people"))
-    kinds = rows.withColumns({"direct_emails": F.when(F.col("email_candidate_type") == "Published Direct", F.lower("candidate_email")), "shared_emails": F.when(F.col("email_candidate_type") == "Published Shared", F.lower("candidate_email"))})
-    mails = K.capped_collect(kinds, "website", "candidate_row_id", ["direct_emails", "shared_emails"])
-    seats = table(spark, d, PLACES).filter("website is not null").withColumn("r", F.row_number().over(W.partitionBy("website").orderBy("location_row_id"))).filter("r <= 12")
-    at = F.struct("r", F.coalesce("branch_street", F.lit("")).alias("street"), F.coalesce("branch_city", F.lit("")).alias("city"), F.coalesce("branch_zip", F.lit("")).alias("zip"))
-    places = seats.groupBy("website").agg(F.transform(F.array_sort(F.collect_list(at)), lambda s: F.struct(s["street"].alias("street"), s["city"].alias("city"), s["zip"].alias("zip"))).alias("locations"))
+    mail = rows.filter("candidate_email <> '' and email_candidate_type in ('Published Direct', 'Published Shared')")
+    mail = mail.groupBy("website", "email_candidate_type", F.lower("candidate_email").alias("email")).agg(F.min("candidate_row_id").alias("o"))
+    direct = F.col("email_candidate_type") == "Published Direct"
+    place = F.struct(F.when(direct, C.unattributed_rank(F.col("email"))).otherwise(0).alias("r"), F.when(direct, 0).otherwise(F.col("o")).alias("o"), "email")
+    best = mail.withColumn("p", place).withColumn("n", F.row_number().over(W.partitionBy("website", "email_candidate_type").orderBy("p"))).filter(F.col("n") <= F.when(direct, MOST_PEOPLE + 3).otherwise(3))
+    listed = lambda which: F.transform(F.array_sort(F.collect_list(F.when(which, F.col("p")))), lambda s: s["email"])
+    mails = best.groupBy("website").agg(listed(direct).alias("direct_emails"), listed(~direct).alias("shared_emails"))
+    counted = mail.groupBy("website").agg(F.count_if(direct).alias("n_direct"), F.count_distinct("email").alias("n_mails"))
+    seats = table(spark, d, PLACES).filter("website is not null").groupBy("website").agg(F.count("*").alias("n_locations"))
     first = rows.groupBy("website").agg(F.min("candidate_row_id").alias("ord"))
-    return first.join(people, "website", "left").join(mails, "website", "left").join(places, "website", "left")
+    out = first.join(people, "website", "left").join(mails, "website", "left").join(counted, "website", "left").join(seats, "website", "left")
+    return out.withColumn("extras_website", F.col("website"))
 
 
 def facilities_with_extras(spark: SparkSession, d: str) -> DataFrame:
-    return C.with_contacts(A.numbered(master(spark, d), "ord", "NY"), C.contact_index(extras(spark, d)))
-
-
-@query(f"""WITH w AS (SELECT website, min(candidate_row_id) AS o FROM {CANDIDATES} WHERE website IS NOT NULL GROUP BY 1), h AS (SELECT o, {HOST} AS host FROM w),
-m AS (SELECT facility_row_id, {HOST} AS host FROM {MASTER}) SELECT facility_row_id, count(h.host) > 0 AS found FROM m LEFT JOIN h ON m.host = h.host AND h.host <> '' GROUP BY facility_row_id""")
+    n = lambda c: F.coalesce(F.col(c), F.lit(0))
+    index = C.contact_index(extras(spark, d), C.size_of("people") + n("n_locations") + n("n_direct"))
+    return C.with_contacts(A.numbered(master(spark, d), "ord", "NY"), index)
+
+
+KEPT = ["Confirmed Indoor", "Indoor and Outdoor"]
+
+
+def kept_facilities(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """(facilities that go out, facilities to review)."""
+    return rules_.split_by(facilities_with_extras(spark, d), "qualification_status", KEPT, ["Needs Review"])
+
+
+def confirmed_sql(first: str, last: str) -> str:
+    t = lambda c: f"trim(coalesce({c}, ''), ' ')"
+    bare = lambda c: f"regexp_replace({t(c)}, '(?i)[''’]s$', '')"
+    ok = lambda c: f"regexp_matches({t(c)}, '^[A-Za-z][A-Za-z''’.-]*$') AND length(regexp_replace({t(c)}, '[^A-Za-z]', '', 'g')) >= 2 AND NOT regexp_matches({bare(c)}, '(?i)^({'|'.join(HONORIFICS)})\\.?$') AND lower({bare(c)}) NOT IN ({quoted(NOT_A_PERSON)})"
+    return f"({ok(first)} AND {ok(last)})"
+
+
+def shown_sql(n: str) -> str:
+    n = f"trim(coalesce({n}, ''), ' ')"
+    return f"""(CASE WHEN {n} <> upper({n}) AND {n} <> lower({n}) THEN {n} ELSE array_to_string(list_transform(regexp_extract_all(lower({n}), '[^\\s''’-]*[\\s''’-]|[^\\s''’-]+$'),
+ lambda p: CASE WHEN regexp_matches(p, '^[a-z]') THEN upper(p[1]) || p[2:] ELSE p END), '') END)"""
+
+
+LOCAL = "split_part({e}, '@', 1)"
+RANK_SQL = f"""(CASE WHEN regexp_matches({LOCAL}, '^({"|".join(sorted(ROLE_LOCALS, key=lambda w: (-len(w), w)))})\\b') THEN 0 WHEN regexp_matches({LOCAL}, '^[a-z]+[._-][a-z]+$') THEN 1 WHEN regexp_matches({LOCAL}, '^[a-z]\\.?[a-z]{{{{3,}}}}$') THEN 2 ELSE 3 END)"""
+PLAIN_SQL = "regexp_replace(strip_accents(lower(coalesce({c}, ''))), '[^a-z]', '', 'g')"
+# the contact index, the people and the candidate addresses of every facility
+INDEX_SQL = f"""pw AS (SELECT website, decision_maker_first_name AS f, decision_maker_last_name AS l, min(candidate_row_id) AS o, max(decision_maker_title) AS title FROM {CANDIDATES} WHERE website IS NOT NULL AND decision_maker_first_name IS NOT NULL AND decision_maker_last_name IS NOT NULL GROUP BY 1, 2, 3),
+pk AS (SELECT * FROM pw QUALIFY row_number() OVER (PARTITION BY website ORDER BY o) <= 8),
+mw AS (SELECT website, email_candidate_type AS kind, lower(candidate_email) AS e, min(candidate_row_id) AS o FROM {CANDIDATES} WHERE website IS NOT NULL AND candidate_email <> '' AND email_candidate_type IN ('Published Direct', 'Published Shared') GROUP BY 1, 2, 3),
+lw AS (SELECT website, count(*) AS n FROM {PLACES} WHERE website IS NOT NULL GROUP BY 1),
+ew AS (SELECT {HOST} AS host, website, min(candidate_row_id) AS o, coalesce((SELECT count(*) FROM pk WHERE pk.website = c.website), 0) + coalesce((SELECT count(*) FROM mw WHERE mw.website = c.website AND kind = 'Published Direct'), 0) + coalesce((SELECT max(n) FROM lw WHERE lw.website = c.website), 0) AS weight
+ FROM {CANDIDATES} c WHERE website IS NOT NULL GROUP BY website),
+ix AS (SELECT host, website AS w FROM ew WHERE host <> '' QUALIFY row_number() OVER (PARTITION BY host ORDER BY weight DESC, o) = 1),
+mm AS (SELECT *, {HOST} AS host, row_number() OVER (ORDER BY facility_row_id) AS no FROM {MASTER}),
+fa AS (SELECT mm.*, w, format('NY-{{:04d}}', no) AS facility_id, coalesce((SELECT max(n) FROM lw WHERE lw.website = w), 0) AS n_loc FROM mm LEFT JOIN ix ON mm.host = ix.host)"""
+
+
+def candidate_sql(which: str) -> str:
+    """The common table expressions of the candidates of the facilities that hold which: all of them as ca, with their owners as cl."""
+    six = ["f || '@' || d", "f || '.' || l || '@' || d", "f || l || '@' || d", "f[1] || l || '@' || d", "f[1] || '.' || l || '@' || d", "f || l[1] || '@' || d"]
+    return f"""{INDEX_SQL}, fq AS (SELECT * FROM fa WHERE {which}),
+pf AS (SELECT no, pk.f, pk.l, coalesce(pk.title, '') AS title, '' AS email, row_number() OVER (PARTITION BY no ORDER BY o) AS pos FROM fq JOIN pk ON pk.website = fq.w WHERE {confirmed_sql("pk.f", "pk.l")}),
+po AS (SELECT no, trim(decision_maker_first_name, ' ') AS f, trim(decision_maker_last_name, ' ') AS l, coalesce(decision_maker_title, '') AS title, lower(coalesce(public_direct_email, '')) AS email, 1 AS pos FROM fq WHERE no NOT IN (SELECT no FROM pf) AND {confirmed_sql("decision_maker_first_name", "decision_maker_last_name")}),
+pp AS (SELECT * FROM pf UNION ALL SELECT * FROM po),
+pg AS (SELECT no, pos, pp.f AS first, pp.l AS last, pp.title, {PLAIN_SQL.format(c="pp.f")} AS f, {PLAIN_SQL.format(c="pp.l")} AS l, regexp_replace(lower(trim(coalesce(email_domain, ''), ' ')), '^www\\.', '') AS d FROM pp JOIN fq USING (no) WHERE pp.email = ''),
+pc AS (SELECT no, 1 AS a, pos AS b, 0 AS k, email, 'Published Direct' AS type, CAST(NULL AS INT) AS rank, true AS published, f AS first, l AS last, title FROM pp WHERE email <> ''
+ UNION ALL SELECT no, 1, pos, r, lower(e), 'Guessed Pattern ' || r, r, false, first, last, title FROM ({" UNION ALL ".join(f"SELECT no, pos, {i + 1} AS r, {e} AS e, first, last, title FROM pg WHERE f <> '' AND l <> '' AND d <> ''" for i, e in enumerate(six))})),
+d0 AS (SELECT no, e FROM fq JOIN mw ON mw.website = fq.w AND kind = 'Published Direct' UNION ALL SELECT no, lower(public_direct_email) FROM fq WHERE coalesce(public_direct_email, '') <> '' AND (w IS NULL OR w NOT IN (SELECT website FROM mw WHERE kind = 'Published Direct'))),
+d1 AS (SELECT no, e, row_number() OVER (PARTITION BY no ORDER BY {RANK_SQL.format(e="e")}, e) AS n FROM d0 WHERE NOT EXISTS (SELECT 1 FROM pp WHERE pp.no = d0.no AND pp.email = e)),
+s0 AS (SELECT no, e, o FROM fq JOIN mw ON mw.website = fq.w AND kind = 'Published Shared' UNION ALL SELECT no, lower(shared_facility_email), 0 FROM fq WHERE coalesce(shared_facility_email, '') <> '' AND (w IS NULL OR w NOT IN (SELECT website FROM mw WHERE kind = 'Published Shared'))),
+s1 AS (SELECT no, e, row_number() OVER (PARTITION BY no ORDER BY o) AS n FROM s0),
+ca AS (SELECT *, row_number() OVER (PARTITION BY no ORDER BY a, b, k) - 1 AS candidate_no FROM (SELECT * FROM pc UNION ALL SELECT no, 2, n, 0, e, 'Published Direct', NULL, true, NULL, NULL, NULL FROM d1 WHERE n <= 3 UNION ALL SELECT no, 3, n, 0, e, 'Published Shared', NULL, true, NULL, NULL, NULL FROM s1 WHERE n <= 3)),
+cl AS (SELECT *, first_value(no) OVER (PARTITION BY email ORDER BY no, candidate_no) AS owner_no, row_number() OVER (PARTITION BY email ORDER BY no, candidate_no) = 1 AS won FROM ca)"""
+
+
+@query(f"WITH {INDEX_SQL} SELECT facility_row_id, w IS NOT NULL AND w IN (SELECT website FROM mw) AS found FROM fa")
 def contact_join(spark: SparkSession, d: str) -> DataFrame:
     return facilities_with_extras(spark, d).select("facility_row_id", F.col("direct_emails").isNotNull().alias("found"))
 
 
-@query()
+@query(f"""WITH {candidate_sql("true")} SELECT facility_id, candidate_no, email, type, rank, published, trim(concat_ws(' ', {shown_sql("first")}, {shown_sql("last")}), ' ') AS decision_maker_full_name, title FROM cl JOIN fa USING (no) WHERE won""")
 def candidate_fanout(spark: SparkSession, d: str) -> DataFrame:
     won, _ = C.fan_out_candidates(facilities_with_extras(spark, d))
     return won.select("facility_id", "candidate_no", "email", "type", "rank", "published", "decision_maker_full_name", "title")
 
 
-@query()
+@query(f"""WITH {candidate_sql("true")} SELECT no AS facility_no, candidate_no, email, owner_no FROM cl WHERE NOT won""")
 def candidate_repeats(spark: SparkSession, d: str) -> DataFrame:
     _, again = C.fan_out_candidates(facilities_with_extras(spark, d))
     return again.select("facility_no", "candidate_no", "email", "owner_no")
 
 
-@query(f"""WITH w AS (SELECT website, min(candidate_row_id) AS o, count(DISTINCT CASE WHEN decision_maker_first_name IS NOT NULL AND decision_maker_last_name IS NOT NULL THEN decision_maker_first_name || chr(1) || decision_maker_last_name END) AS p,
- count(*) FILTER (email_candidate_type = 'Published Direct' AND candidate_email <> '') AS dm FROM {CANDIDATES} WHERE website IS NOT NULL GROUP BY 1),
-l AS (SELECT website, list_slice(list(struct_pack(street := coalesce(branch_street, ''), city := coalesce(branch_city, ''), zip := coalesce(branch_zip, '')) ORDER BY location_row_id), 1, 12) AS l FROM {PLACES} WHERE website IS NOT NULL GROUP BY 1),
-e AS (SELECT {HOST} AS host, l, o, least(p, 8) + least(dm, 12) + coalesce(len(l), 0) AS weight FROM w LEFT JOIN l USING (website)),
-i AS (SELECT * FROM e WHERE host <> '' QUALIFY row_number() OVER (PARTITION BY host ORDER BY weight DESC, o) = 1),
-m AS (SELECT {HOST} AS host, coalesce(city, '') AS city, format('NY-{{:04d}}', row_number() OVER (ORDER BY facility_row_id)) AS id FROM {MASTER}),
-j AS (SELECT id, coalesce(len(l), 0) AS n, CASE WHEN len(l) > 0 THEN l ELSE [struct_pack(street := '', city := m.city, zip := '')] END AS l FROM m LEFT JOIN i ON m.host = i.host),
-x AS (SELECT id, n, unnest(l) AS b, unnest(range(1, len(l) + 1)) AS pos FROM j)
-SELECT id AS facility_id, id || '-' || chr(CAST(64 + pos AS INT)) AS location_id, b.street AS branch_street, b.city AS branch_city, b.zip AS branch_zip, CASE WHEN n > 1 THEN 'Yes' ELSE 'No' END AS is_multi_location, greatest(n, 1) AS location_count FROM x""")
+SEATS_SQL = f"""se AS (SELECT website, coalesce(branch_street, '') AS street, coalesce(branch_city, '') AS bcity, coalesce(branch_zip, '') AS zip, row_number() OVER (PARTITION BY website ORDER BY location_row_id) AS pos FROM {PLACES} WHERE website IS NOT NULL),
+br AS (SELECT fa.*, coalesce(pos, 1) AS pos, coalesce(street, '') AS branch_street, CASE WHEN pos IS NULL THEN coalesce(city, '') ELSE bcity END AS branch_city, coalesce(zip, '') AS branch_zip,
+ facility_id || '-' || CASE WHEN coalesce(pos, 1) <= 191 THEN chr(CAST(64 + coalesce(pos, 1) AS INT)) ELSE CAST(pos - 1 AS VARCHAR) END AS location_id, CASE WHEN n_loc > 1 THEN 'Yes' ELSE 'No' END AS is_multi_location, greatest(n_loc, 1) AS location_count FROM fa LEFT JOIN se ON se.website = fa.w)"""
+
+
+@query(f"""WITH {INDEX_SQL}, {SEATS_SQL} SELECT facility_id, location_id, branch_street, branch_city, branch_zip, is_multi_location, location_count FROM br""")
 def branch_explode(spark: SparkSession, d: str) -> DataFrame:
-    return C.branches(facilities_with_extras(spark, d)).select("facility_id", "location_id", "branch_street", "branch_city", "branch_zip", "is_multi_location", "location_count")
+    """Every place of a website, however many: no list of them is capped."""
+    return C.branches_of(facilities_with_extras(spark, d), places_of(spark, d)).select("facility_id", "location_id", "branch_street", "branch_city", "branch_zip", "is_multi_location", "location_count")
 
 
-@query()
+OWN_SQL = "len(list_distinct(list_filter([coalesce(public_direct_email, ''), coalesce(shared_facility_email, '')], lambda x: x <> '')))"
+FOUND_SQL = f"(CASE WHEN w IN (SELECT website FROM mw) THEN (SELECT count(DISTINCT e) FROM mw WHERE mw.website = w) ELSE {OWN_SQL} END)"
+FIRST_SQL = "(SELECT min_by({c}, pos) FROM pp WHERE pp.no = fq.no)"
+
+
+@query(f"""WITH {candidate_sql("qualification_status = 'Needs Review'")} SELECT facility_id, facility_name, {shown_sql(FIRST_SQL.format(c="f"))} AS decision_maker_first_name, {shown_sql(FIRST_SQL.format(c="l"))} AS decision_maker_last_name, coalesce({FIRST_SQL.format(c="title")}, '') AS decision_maker_title, {FOUND_SQL} AS emails_found FROM fq""")
 def review_projection(spark: SparkSession, d: str) -> DataFrame:
     p = F.get(C.people_for(), F.lit(0))
-    rows = facilities_with_extras(spark, d).filter("qualification_status = 'Needs Review'")
+    _, rows = kept_facilities(spark, d)
     names = [T.title_case(p["first"]).alias("decision_maker_first_name"), T.title_case(p["last"]).alias("decision_maker_last_name"), F.coalesce(p["title"], F.lit("")).alias("decision_maker_title")]
-    return rows.select("facility_id", "facility_name", *names, C.emails_found().alias("emails_found"))
+    return rows.select("facility_id", "facility_name", *names, C.emails_found(F.col("n_mails")).alias("emails_found"))
 
 
-@query()
+@query(f"""WITH {candidate_sql("true")}, np AS (SELECT no, (SELECT count(*) FROM pp WHERE pp.no = fa.no) AS n, n_loc FROM fa)
+SELECT count(*) FILTER (won AND type = 'Published Direct') AS direct, count(*) FILTER (won AND type = 'Published Shared') AS shared, count(*) FILTER (won AND starts_with(type, 'Guessed')) AS guessed, count(DISTINCT CASE WHEN won THEN no END) AS facilities_with_rows, count(*) FILTER (NOT won) AS repeats,
+ (SELECT count(*) FROM np) AS facilities, (SELECT sum(n) FROM np) AS people, (SELECT count(*) FILTER (n > 1) FROM np) AS multi_person, (SELECT count(*) FILTER (n_loc > 1) FROM np) AS multi_site, (SELECT sum(greatest(n_loc, 1)) FROM np) AS branches,
+ (SELECT count(*) FROM fa WHERE no NOT IN (SELECT no FROM ca)) AS no_email FROM cl""")
 def run_stats(spark: SparkSession, d: str) -> DataFrame:
     rows = facilities_with_extras(spark, d)
-    won, again = C.fan_out_candidates(rows)
-    return C.run_stats(won, again, rows)
+    return C.claim_stats(C.claimed_candidates(rows), rows, F.col("n_locations"))
+
+
+def text_sql(c: str) -> str:
+    return f"coalesce(CAST({c} AS VARCHAR), '')"
+
+
+ARRAYS_SQL = {"sports_offered": "array_to_string(coalesce(sports_offered, []), '; ')", "source_urls": "array_to_string(coalesce(source_urls, []), ' | ')", "state": "coalesce(state_code, '')", "company_domain": "coalesce(email_domain, '')"}
+
+
+def columns_sql(columns, **own: str) -> str:
+    return ", ".join(f"{own.get(c) or ARRAYS_SQL.get(c) or text_sql(c)} AS {c}" for c in columns)
+
+
+@query(f"SELECT facility_row_id, {columns_sql(deliver.MASTER_COLUMNS)} FROM {MASTER}")
+def master_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The 24 columns of the master as they are written."""
+    return deliver.master_rows(table(spark, d, MASTER), keep=["facility_row_id"])
+
+
+NOTES_SQL = f"concat_ws('. ', CASE WHEN coalesce(qualification_status, '') <> '' THEN qualification_status END, CASE WHEN n_loc > 1 THEN 'Multi-location operator (' || n_loc || ' ' || coalesce(state_code, '') || ' branches; see locations CSV)' END, CASE WHEN published THEN '{deliver.PUBLISHED}' ELSE '{deliver.GUESSED}' END) || '.'"
+
+
+@query(f"""WITH {candidate_sql(f"qualification_status IN ({quoted(KEPT)})")} SELECT {columns_sql(
+    deliver.CANDIDATE_COLUMNS, decision_maker_first_name=shown_sql("first"), decision_maker_last_name=shown_sql("last"), decision_maker_full_name=f"trim(concat_ws(' ', {shown_sql('first')}, {shown_sql('last')}), ' ')", decision_maker_title=text_sql("title"),
+    candidate_email="email", email_candidate_type="type", pattern_rank=text_sql("rank"), email_source_url="CASE WHEN published THEN coalesce(website, '') ELSE '' END", facility_source_urls=ARRAYS_SQL["source_urls"], qualification_notes=NOTES_SQL,
+)} FROM cl JOIN fq USING (no) WHERE won""")
+def candidate_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The 20 columns of the addresses to verify, of the facilities that go out."""
+    kept, _ = kept_facilities(spark, d)
+    won, _ = C.fan_out_candidates(kept)
+    return deliver.candidate_rows(won, F.col("n_locations"))
+
+
+@query(f"""WITH {candidate_sql("qualification_status = 'Needs Review'")} SELECT {columns_sql(
+    deliver.REVIEW_COLUMNS, indoor_evidence=f"'{deliver.EVIDENCE}'", decision_maker_first_name=shown_sql(FIRST_SQL.format(c="f")), decision_maker_last_name=shown_sql(FIRST_SQL.format(c="l")), decision_maker_title=f"coalesce({FIRST_SQL.format(c='title')}, '')",
+    decision_maker_full_name=f"concat_ws(' ', nullif({shown_sql(FIRST_SQL.format(c='f'))}, ''), nullif({shown_sql(FIRST_SQL.format(c='l'))}, ''))", published_direct_email=text_sql("public_direct_email"), emails_found=f"CAST({FOUND_SQL} AS VARCHAR)",
+)} FROM fq""")
+def review_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The 28 columns of the facilities to review."""
+    _, parked = kept_facilities(spark, d)
+    return deliver.review_rows(parked, F.col("n_mails"))
+
+
+@query(f"""WITH {INDEX_SQL}, {SEATS_SQL} SELECT {columns_sql(deliver.LOCATION_COLUMNS)} FROM br WHERE qualification_status IN ({quoted(KEPT)})""")
+def location_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The 14 columns of the branches of the facilities that go out."""
+    kept, _ = kept_facilities(spark, d)
+    return deliver.location_rows(C.branches_of(kept, places_of(spark, d)))
 
 
 @query(f"""SELECT facility_row_id, CASE WHEN regexp_matches(g, '[",\\n\\r]') THEN '"' || replace(g, '"', '""') || '"' ELSE g END AS cell
 FROM (SELECT facility_row_id, CASE WHEN regexp_matches(n, '^[=+@\\t\\r]') THEN '''' || n ELSE n END AS g FROM (SELECT facility_row_id, coalesce(research_notes, '') || coalesce(facility_name, '') AS n FROM {MASTER}))""")
 def csv_guard(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, MASTER).select("facility_row_id", F.concat(F.coalesce("research_notes", F.lit("")), F.coalesce("facility_name", F.lit(""))).alias("n"))
-    c = csvio.guarded("n")
-    return rows.select("facility_row_id", F.when(c.rlike('[",\n\r]'), F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(c).alias("cell"))
+    return csvio.to_csv_lines(rows, ["n"], keep=["facility_row_id"]).withColumnRenamed("line", "cell")
 
 
 @query(f"""SELECT facility_row_id, array_to_string(coalesce(sports_offered, []), '; ') AS sports, array_to_string(coalesce(source_urls, []), ' | ') AS sources FROM {MASTER}""")
@@ -586,7 +761,6 @@ def csv_arrays(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, MASTER).select("facility_row_id", csvio.joined("sports_offered", "; ").alias("sports"), csvio.joined("source_urls", " | ").alias("sources"))
 
 
-@query(f"""WITH e AS (SELECT facility_row_id, list_filter(list_distinct([lower(public_direct_email), lower(shared_facility_email), lower(guessed_email_1), lower(guessed_email_2)]), lambda x: x IS NOT NULL AND x <> '') AS l FROM {MASTER}) SELECT facility_row_id, len(l) AS emails FROM e""")
+@query(f"WITH {INDEX_SQL} SELECT facility_row_id, {FOUND_SQL} AS emails FROM fa")
 def emails_found(spark: SparkSession, d: str) -> DataFrame:
-    all_ = F.array_distinct(F.filter(F.array(*[F.lower(c) for c in ("public_direct_email", "shared_facility_email", "guessed_email_1", "guessed_email_2")]), lambda e: F.coalesce(e, F.lit("")) != ""))
-    return table(spark, d, MASTER).select("facility_row_id", F.size(all_).alias("emails"))
+    return facilities_with_extras(spark, d).select("facility_row_id", C.emails_found(F.col("n_mails")).alias("emails"))

@@ -31,10 +31,10 @@ def joined(c: Column | str, by: str) -> Column:
     return F.array_join(F.coalesce(as_col(c), F.array().cast("array<string>")), by)
 
 
-def to_csv_lines(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """line: each row as the writer writes it."""
+def to_csv_lines(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """line: each row as the writer writes it; columns of keep go along as they are."""
     cell = lambda c: F.when(guarded(c).rlike("[\",\\n\\r]"), F.concat(F.lit('"'), F.replace(guarded(c), F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(guarded(c))
-    return df.select(F.concat_ws(",", *[cell(c) for c in columns]).alias("line"))
+    return df.select(*keep, F.concat_ws(",", *[cell(c) for c in columns]).alias("line"))
 
 
 def header_line(columns: Sequence[str]) -> str:
