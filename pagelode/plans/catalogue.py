@@ -18,7 +18,7 @@ from pagelode.operators import contacts as C
 from pagelode.operators import facilities as A
 from pagelode.operators import keyed as K
 from pagelode.operators import rules as rules_
-from pagelode.plans import cases, deliver
+from pagelode.plans import cases, deliver, runs
 from pagelode.plans.discover import candidate_sites
 from pagelode.profile import (
     BRAND_STOP_WORDS, ENTITIES, FREE_MAIL_FINAL, FREE_MAIL_SEEN, GUESS_NOTE, HONORIFICS, INDOOR, LISTING_HOSTS, MASTHEADS, NAME_KINDS, NAME_STOP_WORDS, NOT_A_PERSON, OUTDOOR, PAID, PUBLISHER_DOMAINS, RETAIL_SIGNALS,
@@ -66,6 +66,9 @@ def apex_sql(h: str) -> str:
     return f"array_to_string(list_slice(string_split({h}, '.'), greatest(least({lead}, {n} - {least}), 0) + 1, {n}), '.')"
 
 
+QUERIES |= runs.QUERIES
+ORACLES |= runs.sqls(HOST)
+
 # ---------------------------------------------------------------- hosts and names
 
 

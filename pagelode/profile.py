@@ -147,6 +147,17 @@ TX_CODES = (
     "210", "214", "254", "281", "325", "346", "361", "409", "430", "432", "469", "512", "682", "713", "737", "806", "817", "830", "832", "903", "915",
     "936", "940", "945", "956", "972", "979",
 )
+QUERY_TEMPLATES = (
+    "indoor pickleball courts {m}", "indoor tennis club {m}", "indoor basketball courts rental {m}", "indoor volleyball club {m}", "indoor badminton club {m}", "squash club {m}", "racquetball courts {m}",
+    "indoor padel club {m}", "indoor futsal {m}", "sportsplex {m}", "fieldhouse indoor courts {m}", "indoor sports complex {m}", "athletic club indoor courts {m}", "racquet club {m}", "country club indoor tennis {m}",
+    "YMCA gymnasium court rental {m}", "JCC indoor courts {m}", "court rental {m}", "basketball court rental hourly {m}", "private school gymnasium rental {m}", "college recreation center court rental {m}",
+    "platform tennis club {m}", "paddle tennis club {m}", "tennis center {m}", "pickleball center {m}", "sports dome {m}", "swim and tennis club {m}", "volleyball facility rental {m}", "basketball training facility {m}",
+    "indoor soccer and basketball facility {m}", "recreation center court rental {m}",
+)
+NY_STATEWIDE = (
+    "indoor pickleball facilities New York State directory", "USTA Eastern indoor tennis facilities New York", "indoor sports complex New York State list", "New York volleyball clubs indoor facility list", "New York squash clubs list",
+    "best indoor pickleball courts upstate New York", "sportsplex New York State",
+)
 GUESS_NOTE = "Guessed emails are UNVERIFIED pattern permutations - not published addresses."
 
 

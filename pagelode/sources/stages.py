@@ -34,7 +34,7 @@ def read_seeds(spark: SparkSession, path: str) -> DataFrame:
     """domain, url of a JSON list of URLs or {url: ..} objects; a domain's later entry overwrites its earlier ones."""
     text = spark.read.text(path, wholetext=True)
     items = text.select(F.posexplode(F.from_json("value", "array<string>")).alias("ord", "item"))
-    url = F.coalesce(F.get_json_object("item", "$.url"), F.col("item"))
+    url = F.when(F.col("item").startswith("{"), F.get_json_object("item", "$.url")).otherwise(F.col("item"))
     seeds = items.select(F.col("ord").cast("long").alias("ord"), url.alias("url")).withColumn("domain", registrable_domain("url")).filter("domain <> ''")
     return last_per_key(seeds, "domain", "ord").select("domain", "url")
 
