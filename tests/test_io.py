@@ -56,3 +56,26 @@ def test_stream_gives_the_batch_result(spark, tmp_path):
         part.coalesce(1).write.mode("append").parquet(src)
         I.stream_rows(spark, src, pages.schema, state, enrich, "k").awaitTermination(60)
     assert sorted(map(tuple, spark.read.parquet(f"{state}/rows").collect())) == sorted(map(tuple, enrich(pages).collect()))
+
+
+def test_a_run_that_died_between_its_writes_doubles_nothing(spark, tmp_path):
+    pages = spark.createDataFrame([("a", "x"), ("b", "y")], "k string, v string")
+    state = str(tmp_path / "state")
+    S.append_stage(enrich(pages.filter("k = 'a'")), f"{state}/rows")  # and nothing in attempted
+    for _ in range(2):
+        out = I.refresh(spark, pages, state, "k", enrich, "k string, v string", "k string")
+    assert sorted(tuple(r) for r in out.collect()) == [("a", "X"), ("b", "Y")]
+    assert S.read_stage(spark, f"file://{state}/none", "k string").count() == 0
+
+
+def test_a_cluster_without_a_shared_folder_is_refused(spark):
+    from types import SimpleNamespace as N
+
+    import pytest
+
+    from pagelode.operators.lineage import ensure_checkpoint_dir
+
+    scala = N(getCheckpointDir=lambda: N(isDefined=lambda: False))
+    fake = N(sparkContext=N(_jsc=N(sc=lambda: scala), master="spark://x"), conf=N(get=lambda *a: None))
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(fake)

@@ -1,3 +1,4 @@
+import itertools
 import random
 
 import pytest
@@ -53,45 +54,35 @@ def test_salted_join_keeps_rows(spark):
     assert bounded_broadcast(few, 1).count() == 2
 
 
-def model(rows):
-    """The two-key dedup and the contact rule, row by row with ordered maps."""
+FILLERS = {"the", "a", "an", "inc", "llc", "ltd", "co", "corp", "company", "club", "center", "centre", "of", "and"}
 
-    def score(r):
-        return (4 if r[5] else 0) + (2 if r[6] else 0) + (2 if r[8] else 0) + (1 if r[10] is not None else 0) + (1 if r[3] else 0)
 
-    def key(n):
-        import re
+def survivors(rows):
+    """{ord: blanked} of the rows that both dedups leave, from sorted groups."""
+    points = lambda r: 4 * bool(r[5]) + 2 * bool(r[6]) + 2 * bool(r[8]) + (r[10] is not None) + bool(r[3])
+    name = lambda r: " ".join(w for w in "".join(c if c.isascii() and c.isalnum() else " " for c in (r[1] or "").lower()).split() if w not in FILLERS)
 
-        return re.sub(r"\s+", " ", re.sub(r"\b(the|a|an|inc|llc|ltd|co|corp|company|club|center|centre|of|and)\b", " ", re.sub("[^a-z0-9]+", " ", (n or "").lower()))).strip()
+    def best(items, key):
+        """Of every group the fullest item, and the place where the group begins; items are (place, row)."""
+        groups = itertools.groupby(sorted(items, key=lambda x: (key(x[1]), x[0])), key=lambda x: key(x[1]))
+        return [(members[0][0], min(members, key=lambda x: (-points(x[1]), x[0]))[1]) for members in (list(g) for _, g in groups)]
 
-    one, two = {}, {}
-    for r in rows:
-        k = "d:" + r[4]
-        if k not in one or score(r) > score(one[k]):
-            one[k] = r
-    for r in one.values():
-        n = key(r[1])
-        k = f"n:{n}|{(r[3] or '').lower()}" if n else f"w:{r[2]}"
-        if k not in two or score(r) > score(two[k]):
-            two[k] = r
-    seen, blank = {}, set()
-    for r in sorted(two.values(), key=lambda r: -score(r)):
-        e = (r[5] or "").lower()
-        if not e:
-            continue
-        if seen.get(e) and seen[e] == key(r[1]):
-            blank.add(r[0])
-        elif not seen.get(e):
-            seen[e] = key(r[1])
-    return {r[0]: r[0] in blank for r in two.values()}
+    sites = best([(r[0], r) for r in rows], lambda r: r[4])
+    named = best(sites, lambda r: (1, name(r), (r[3] or "").lower()) if name(r) else (0, r[2] or "", ""))
+    ranked = sorted(named, key=lambda x: (-points(x[1]), x[0]))
+    owner = {}
+    for _, r in reversed(ranked):
+        if r[5] and name(r):
+            owner[r[5].lower()] = r
+    return {r[0]: bool(r[5]) and r[5].lower() in owner and owner[r[5].lower()][0] != r[0] and name(owner[r[5].lower()]) == name(r) for _, r in named}
 
 
 @pytest.mark.parametrize("seed", range(4))
-def test_dedup_equals_the_model_whatever_the_partitions(spark, seed):
+def test_dedup_equals_sorted_groups_whatever_the_partitions(spark, seed):
     rnd = random.Random(seed)
     pick = lambda *x: rnd.choice(x)
     rows = [row(i, pick("Quay Club", "The Quay", "Ox", "", "the club"), pick("https://a.test", "https://b.test"), pick("Rye", "", "Troy"), f"d{rnd.randrange(9)}.test", pick(None, "x@m.test", "y@m.test"), pick(None, "info@m.test"), None, pick(None, "Lee"), pick(None, 3)) for i in range(60)]
-    want = model(rows)
+    want = survivors(rows)
     for n in (1, 7):
         df = spark.createDataFrame(rows, MASTER).repartition(n).orderBy(F.rand(seed))
         out = A.blank_repeated_contacts(A.collapse(df))
@@ -152,3 +143,29 @@ def test_contact_index_keeps_the_fullest(spark):
     assert [(r.host, r.ord) for r in idx.collect()] == [("a.test", 2)]
     m = spark.createDataFrame([(1, "https://a.test/z"), (2, None)], "ord long, website string")
     assert sorted((r.ord, r.direct_emails) for r in C.with_contacts(m, idx).collect()) == [(1, ["x", "y"]), (2, None)]
+
+
+def test_places_within_a_key_whatever_its_share(spark):
+    rnd = random.Random(7)
+    rows = [(rnd.choice(["hot", "hot", "hot", "b", None, "c"]), i) for i in rnd.sample(range(100_000), 2_000)]
+    got = {(r.k, r.o): r.n for r in K.ranked_per_key(spark.createDataFrame(rows, "k string, o long").repartition(5), "k", "o", "n").collect()}
+    want = {}
+    for k in ("hot", "b", "c"):
+        want |= {(k, o): n + 1 for n, o in enumerate(sorted(o for x, o in rows if x == k))}
+    assert got == want
+    assert K.ranked_per_key(spark.createDataFrame([], "k string, o long"), "k", "o", "n").count() == 0
+
+
+def test_more_values_than_allowed_are_refused(spark):
+    df = spark.createDataFrame([("a",), ("b",), (None,), ("a",)], "v string")
+    assert K.bounded_values(df, "v", 2) == ["a", "b"]
+    with pytest.raises(ValueError):
+        K.bounded_values(df, "v", 1)
+
+
+def test_every_branch_of_a_website_comes_out(spark):
+    df = spark.createDataFrame([(1, "NY-0001", "Rye", "w", 13), (2, "NY-0002", "Troy", None, None), (3, "NY-0003", None, "none", None)], "o long, facility_id string, city string, extras_website string, n_locations long")
+    places = spark.createDataFrame([("w", n, f"{n} Oak St", None, None) for n in range(1, 14)], "extras_website string, place_no long, street string, city string, zip string")
+    rows = sorted((r.facility_id, r.location_id, r.branch_street, r.branch_city, r.is_multi_location, r.location_count) for r in C.branches_of(df, places).collect())
+    assert len(rows) == 15 and [r[1] for r in rows if r[0] == "NY-0001"] == [f"NY-0001-{c}" for c in "ABCDEFGHIJKLM"] and {r[4:] for r in rows if r[0] == "NY-0001"} == {("Yes", 13)}
+    assert rows[13:] == [("NY-0002", "NY-0002-A", "", "Troy", "No", 1), ("NY-0003", "NY-0003-A", "", "", "No", 1)]
