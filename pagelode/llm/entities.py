@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from pagelode.functions.text import let
 from pagelode.llm.common import cut
+from pagelode.llm.names import KIND_BIT
 from pagelode.llm.facility import city_rows, common_words, facility_records, facility_similarity, free_mail, grams, master_rows, outreach_rows
 from pagelode.operators.skew import salted_join, spread_join
 
@@ -73,7 +74,7 @@ def encode(rec: DataFrame) -> DataFrame:
     empty = F.lit(0).cast("long")
     vec = lambda c: F.when(F.length(c) > 0, bits(c)).otherwise(empty)
     return rec.select(
-        "*", let(F.coalesce(first, F.lit("")), letter_bits).alias("v_first"), vec(F.col("core")).alias("v_core"), vec(F.array_join(F.filter("kinds", lambda k: ~k.isin("club", "center")), " ")).alias("v_kinds"),
+        "*", let(F.coalesce(first, F.lit("")), letter_bits).alias("v_first"), vec(F.col("core")).alias("v_core"), F.col("kinds").bitwiseAND(F.lit(~(KIND_BIT["club"] | KIND_BIT["center"]))).cast("long").alias("v_kinds"),
         vec(F.col("host")).alias("v_host"), vec(F.col("family")).alias("v_family"), vec(F.substring_index("email", "@", 1)).alias("v_email"),
         let(F.col("host"), letter_bits).alias("l_host"), let(F.col("email"), letter_bits).alias("l_mail"),
     )
@@ -94,7 +95,7 @@ def meeting_keys(rec: DataFrame) -> DataFrame:
     free = F.when((F.col("v_first") == 0) | F.col("common"), none).otherwise(F.array(F.lit("w")))
     by_host = F.when(F.col("host") == "", none).when(F.col("generic"), F.transform(at, lambda c: F.concat(F.lit("h"), c))).otherwise(F.array(F.lit("h")))
     by_mail = F.when(F.col("email") == "", none).otherwise(F.array(F.lit("m")))
-    said = F.filter(F.array_distinct(F.array("acro", "acro_town", "sq")), lambda x: F.length(x).between(3, 8))
+    said = F.filter(F.array_distinct(F.array("acro", "acro_town", F.replace("core", F.lit(" ")))), lambda x: F.length(x).between(3, 8))
     acro = F.when(F.col("generic"), none).otherwise(F.flatten(F.transform(towns, lambda c: F.transform(said, lambda y: F.concat(F.lit("a"), y, c)))))
     search = [(by_name, "v_first", NEAR), (free, "v_first", ANYWHERE), (by_host, "l_host", ANYWHERE), (by_mail, "l_mail", ANYWHERE)]
     parts = [rec.select("id", F.explode(F.array_distinct(within(ctx, v, r))).alias("k"), F.col(v).alias("v"), F.lit(r).alias("r")) for ctx, v, r in search]
@@ -110,7 +111,7 @@ def close_pairs(left: DataFrame, right: DataFrame, within: bool = False) -> Data
     return (hit.filter("a < b") if within else hit).select("a", "b").distinct()
 
 
-COLS = ["core", "sq", "head", "short", "kinds", "told", "unit", "ncity", "ccity", "initials", "acro", "acro_town", "host", "slug", "given", "family", "email", "courts", "generic", *[f"v_{c}" for c in WEIGHTS]]
+COLS = ["core", "short", "kinds", "unit", "ncity", "ccity", "initials", "acro", "acro_town", "host", "slug", "given", "family", "email", "courts", "generic", *[f"v_{c}" for c in WEIGHTS]]
 
 
 def scored(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:

@@ -40,13 +40,13 @@ def free_mail(rows: DataFrame) -> list[str]:
     return sorted(r.mail for r in boxes.groupBy("mail").count().filter(F.col("count") >= max(FREE_LEAST, int(FREE_SHARE * n))).select("mail").collect())
 
 
-FACILITY_SCHEMA = "id long, core string, kinds array<string>, unit string, ncity int, ccity int, initials string, acro string, acro_town string, host string, slug string, given string, family string, email string, courts int, generic boolean, common boolean, sq string, head string, short string, told array<string>"
+FACILITY_SCHEMA = "id long, core string, kinds int, unit string, ncity int, ccity int, initials string, acro string, acro_town string, host string, slug string, given string, family string, email string, courts int, generic boolean, common boolean, short string"
 
 
 def facility_records(rows: DataFrame, cities: list[tuple[int, str]], common: list[str], free: Sequence[str] = ()) -> DataFrame:
     """rows(id, name, website, city, email_domain, shared, direct, first, last, courts) in comparable form, one row each.
 
-    sq is the core without blanks, head its first word, short what an abbreviated name may stand for ('' if it is none), told the kinds that tell something.
+    kinds has a bit for each kind of KIND_WORDS; short is what an abbreviated name may stand for, '' if it is none.
     free: mail domains that are nobody's own, beside the public ones.
 
     Optional columns: address (a postal address that names the city) and person (a full name) where city and last are missing."""
@@ -76,9 +76,9 @@ def facility_records(rows: DataFrame, cities: list[tuple[int, str]], common: lis
                 sq = "".join(p["core"])
                 short = p["acro"] if not sq else sq if not p["kinds"] and len(p["core"]) == 1 and len(sq) <= 8 else ""
                 out.append((
-                    r.id, " ".join(p["core"]), p["kinds"], p["unit"], p["city"], town, p["initials"], p["acro"], p["acro_town"], host, slug, given,
+                    r.id, " ".join(p["core"]), sum(names.KIND_BIT[k] for k in set(p["kinds"])), p["unit"], p["city"], town, p["initials"], p["acro"], p["acro_town"], host, slug, given,
                     family if len(family) > 2 else "", direct if "@" in direct else "", None if pd.isna(r.courts) or not 1 <= r.courts <= 60 else int(r.courts), generic, bool(p["core"]) and p["core"][0] in lex.common,
-                    sq, p["core"][0] if p["core"] else "", short, [k for k in p["kinds"] if k not in names.GENERIC],
+                    short,
                 ))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in FACILITY_SCHEMA.split(", ")])
 
@@ -120,11 +120,12 @@ def facility_similarity(a: str, b: str) -> Column:
     have = lambda c: (f(a, c) != "") & (f(b, c) != "")
     same = lambda c: have(c) & (f(a, c) == f(b, c))
     both = lambda c: (f(a, c) > 0) & (f(b, c) > 0)
-    sa, sb = f(a, "sq"), f(b, "sq")
+    sa, sb = (F.replace(f(p, "core"), F.lit(" ")) for p in (a, b))
+    wa, wb = (F.substring_index(f(p, "core"), " ", 1) for p in (a, b))
     shorter = F.least(F.length(sa), F.length(sb))
     head = (shorter >= 5) & (F.startswith(sa, sb) | F.startswith(sb, sa)) & (f(a, "initials") == "") & (f(b, "initials") == "")
     # a name partly in initials: its first word and the first letter of the next word of the other
-    part = lambda p, q: (f(p, "initials") != "") & (f(q, "initials") == "") & (ratio(f(p, "head"), f(q, "head")) >= 0.7) & ((f(p, "initials") == F.substring(f(q, "acro"), 2, 99)) | (f(p, "initials") == F.substring(f(q, "acro_town"), 2, 99))) & (f(p, "core") != "")
+    part = lambda p, q: (f(p, "initials") != "") & (f(q, "initials") == "") & (ratio(wa, wb) >= 0.7) & ((f(p, "initials") == F.substring(f(q, "acro"), 2, 99)) | (f(p, "initials") == F.substring(f(q, "acro_town"), 2, 99))) & (f(p, "core") != "")
     whole = lambda p, q: (F.length(f(p, "short")) >= 2) & ((f(p, "short") == f(q, "acro")) | (f(p, "short") == f(q, "acro_town")))
     slug = lambda p, s: (F.length(f(p, "slug")) >= 6) & (F.startswith(s, f(p, "slug")) | F.startswith(f(p, "slug"), s)) & (F.length(s) >= 6)
     core = F.greatest(
@@ -132,10 +133,12 @@ def facility_similarity(a: str, b: str) -> Column:
         F.when(same("host") & ((f(a, "short") != "") | (f(b, "short") != "")), 0.85).otherwise(0.0),
         F.when(((f(a, "core") == "") & slug(a, sb)) | ((f(b, "core") == "") & slug(b, sa)), 0.9).otherwise(0.0),
     )
-    half = lambda x, y: F.size(F.array_intersect(x, y)) * 2 >= F.least(F.size(x), F.size(y))
-    ka, kb, ta, tb = f(a, "kinds"), f(b, "kinds"), f(a, "told"), f(b, "told")
+    half = lambda x, y: F.bit_count(x.bitwiseAND(y)) * 2 >= F.least(F.bit_count(x), F.bit_count(y))
+    telling = sum(bit for k, bit in names.KIND_BIT.items() if k not in names.GENERIC)
+    ka, kb = f(a, "kinds"), f(b, "kinds")
+    ta, tb = ka.bitwiseAND(F.lit(telling)), kb.bitwiseAND(F.lit(telling))
     # kinds are what is left of a name that two facilities of one brand differ in; common ones say so too, they only agree for less
-    kind = F.when((F.size(ka) == 0) | (F.size(kb) == 0), 0.0).when((F.size(ta) > 0) & (F.size(tb) > 0), F.when(half(ta, tb), 0.5).otherwise(-6.0)).when(half(ka, kb), 0.0).otherwise(-6.0)
+    kind = F.when((ka == 0) | (kb == 0), 0.0).when((ta != 0) & (tb != 0), F.when(half(ta, tb), 0.5).otherwise(-6.0)).when(half(ka, kb), 0.0).otherwise(-6.0)
     host = F.when(~have("host"), 0.0).when(f(a, "host") == f(b, "host"), 2.5).otherwise(-4.0)
     place = F.when(both("ncity"), F.when(f(a, "ncity") == f(b, "ncity"), 1.0).otherwise(-6.0)).otherwise(0.0)
     either = (f(a, "ccity") > 0) & ((f(a, "ccity") == f(b, "ccity")) | (f(a, "ccity") == f(b, "ncity"))) | (f(b, "ccity") > 0) & (f(b, "ccity") == f(a, "ncity"))

@@ -16,6 +16,7 @@ KIND_WORDS = (
 )
 # Short forms that are no beginnings or skeletons of the word.
 KIND_SHORT = {"pb": "pickleball", "pball": "pickleball", "vball": "volleyball", "fh": "fieldhouse", "plex": "sportsplex", "racket": "racquet", "rqt": "racquet", "centre": "center", "assn": "association", "gym": "fitness", "ctr": "center", "cplx": "complex"}
+KIND_BIT = {w: 1 << i for i, w in enumerate(KIND_WORDS)}
 GENERIC = {"club", "center", "sports", "indoor", "hall", "association", "complex"}
 DECOR = (
     r"^\W*(?:welcome to|home of|home)\b\W*", r"\W+official(?: site)?\W*$", r"\W+(?:indoor|ind\.?) courts?\W*$", r"\W+courts\W*$", r"\W+(?:home|homepage)\W*$",
