@@ -125,9 +125,11 @@ def _mark(c: Column) -> Column:
     rules = (
         # scripts with spaces
         (f"([.!?…؟।]+{tail})(?={SPACE}+{START})", f"$1{MARK}"),
-        # no space after the terminator
-        ("[.!?]" + _after("[\\p{Ll}\\p{N})\\]”»>]", point="[.!?]") + "(?=[\"“(]?\\p{Lu}(?:\\p{Ll}|[." + MASKS[0] + "]|\\b))", f"$0{MARK}"),
-        ("([.!?][”»)\\]]{1,2})(?=\\p{Lu}\\p{Ll})", f"$1{MARK}"),
+        # no space after the terminator, or after its closing quote
+        (
+            "[.!?](?:" + _after("[\\p{Ll}\\p{N})\\]”»>]", point="[.!?]") + "(?=[\"“(]?\\p{Lu}(?:\\p{Ll}|[." + MASKS[0] + "]|\\b))|[”»)\\]]{1,2}(?=\\p{Lu}\\p{Ll}))",
+            f"$0{MARK}",
+        ),
         # line breaks that are left, list items among them
         ("\\n+", f"{MARK}$0"),
     )
