@@ -163,8 +163,9 @@ def _where(there: str, pattern: str, put: str):
 
 def units(text: Column) -> Column:
     """Array of (start_pos, end_pos) of a text's units, in code points, end exclusive."""
-    text = let(text, _where(PRIVATE, PRIVATE, "x"))  # so that no mark comes from the text
-    flat = F.translate(F.replace(text, F.lit("\r\n"), F.lit("\n" + FILL)), "\r\u2028\u2029", "\n\n\n")
+    # line ends of one kind, and private-use characters as letters, so that no mark comes from the text; most texts need neither
+    even = lambda x: F.translate(F.replace(F.regexp_replace(x, PRIVATE, "x"), F.lit("\r\n"), F.lit("\n" + FILL)), "\r\u2028\u2029", "\n\n\n")
+    flat = let(text, lambda x: F.when(x.rlike(f"[\r\u2028\u2029{PRIVATE[1:-1]}]"), even(x)).otherwise(x))
     marked = let(flat, lambda w: let(_mask_points(w), lambda p: let(_mask_breaks(p), lambda q: let(_mask_speech(q), _mark))))
 
     def cut(pieces: Column) -> Column:
