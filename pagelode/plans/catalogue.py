@@ -103,24 +103,14 @@ def title_case(spark: SparkSession, d: str) -> DataFrame:
     return names.select("typed", T.title_case("typed").alias("shown"))
 
 
-@query(f"""SELECT c AS typed, CASE WHEN regexp_matches(t, '^(?i)(nyc|new york city|n\\.?y\\.?c\\.?)$') THEN 'New York' WHEN t = upper(t) THEN
- array_to_string(list_transform(regexp_extract_all(lower(t), '[a-z0-9_]+|[^a-z0-9_]+'), lambda p: upper(p[1]) || p[2:]), '') ELSE t END AS city
-FROM (SELECT DISTINCT city AS c, trim(regexp_replace(city, '[.''’-]+$', ''), ' ') AS t FROM {MASTER} WHERE city IS NOT NULL AND regexp_full_match(city, '[ -~]*'))""".replace("^(?i)", "(?i)^"))
-def city_normalize(spark: SparkSession, d: str) -> DataFrame:
-    from pagelode.profile import NY
-
-    rows = table(spark, d, MASTER).filter(F.coalesce("city", F.lit("")).rlike("^[ -~]*$")).select(F.col("city").alias("typed")).distinct().filter("typed is not null")
-    return rows.select("typed", T.normalize_city("typed", NY.city_alias).alias("city"))
-
-
 CITY_BLANK = "[\\s\\x0b\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}\\x{feff}]+"
 
 
 @query(f"""SELECT c AS typed, CASE WHEN regexp_matches(t, '(?i)^(nyc|new york city|n\\.?y\\.?c\\.?)$') THEN 'New York' WHEN t = upper(t) THEN
  array_to_string(list_transform(regexp_extract_all(lower(t), '[a-z0-9_]+|[^a-z0-9_]+'), lambda p: CASE WHEN regexp_matches(p, '^[a-z]') THEN upper(p[1]) || p[2:] ELSE p END), '') ELSE t END AS city
 FROM (SELECT DISTINCT city AS c, regexp_replace(regexp_replace(city, '[.''’-]+$', ''), '^{CITY_BLANK}|{CITY_BLANK}$', '', 'g') AS t FROM {MASTER} WHERE city IS NOT NULL)""")
-def city_normalize_all(spark: SparkSession, d: str) -> DataFrame:
-    """Every city, whatever its characters; city_normalize is the part of it that its SQL can say."""
+def city_normalize(spark: SparkSession, d: str) -> DataFrame:
+    """Every city, whatever its characters."""
     from pagelode.profile import NY
 
     rows = table(spark, d, MASTER).filter("city is not null").select(F.col("city").alias("typed")).distinct()

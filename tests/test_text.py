@@ -66,4 +66,4 @@ def test_cities_beyond_ascii_are_normalized(spark, tmp_path):
         "Brooklyn’": "Brooklyn", "SAINT‑JEAN": "Saint‑Jean", "L’ORÉAL": "L’OréAl", "ÉVREUX": "éVreux", "Núñez": "Núñez", "NYC’": "New York", "\u00a0Rye\u00a0": "Rye", "Rye": "Rye", "中城": "中城", "": "",
     }
     spark.createDataFrame([(c,) for c in [*want, "Rye", None]], "city string").write.parquet(f"{tmp_path}/new_york_indoor_court_facilities.parquet")
-    assert {r.typed: r.city for r in QUERIES["city_normalize_all"](spark, str(tmp_path)).collect()} == want
+    assert {r.typed: r.city for r in QUERIES["city_normalize"](spark, str(tmp_path)).collect()} == want
