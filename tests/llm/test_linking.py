@@ -175,3 +175,33 @@ def test_texts_are_mapped_to_their_entry(spark):
     rows = spark.createDataFrame([(1, "Relabrook"), (2, None), (3, "  "), (4, "Relabrook"), (5, "???")], "i long, c string")
     assert sorted((r.id, r.ref_id) for r in canonical.map_column(rows, "i", "c", cities, canonical.CITY).collect()) == [(1, 1), (4, 1), (5, 0)]
     assert sorted((r.id, r.ref_id) for r in canonical.map_column(rows, "i", "c", cities.limit(0), canonical.CITY).collect()) == [(1, 0), (4, 0), (5, 0)]
+
+
+def test_branches_elsewhere_are_no_match(spark):
+    # pairs of scored: 1 is of another town by name, 2 stands in that town, 3 does too but its person agrees, 4 stands elsewhere without such a branch
+    rows = [(9, 1, 0.9, True, 5, False), (9, 2, 0.9, False, 5, False), (9, 3, 0.9, False, 5, True), (9, 4, 0.9, False, 6, False), (8, 2, 0.9, False, 5, False), (9, 5, 0.9, False, 0, False)]
+    df = spark.createDataFrame(rows, "a long, b long, score double, away boolean, town int, person boolean")
+    assert {(r.a, r.b) for r in entities.at_home(df).collect()} == {(9, 3), (9, 4), (8, 2), (9, 5)}
+
+
+def test_a_group_has_the_town_of_its_names(spark):
+    rows = [(1, 7, 0, 5), (2, 7, 3, 0), (3, 7, 0, 5), (4, 8, 0, 2), (5, 8, 0, 0), (6, None, 4, 4)]
+    got = {r.dup_group: (r.named, r.stood) for r in entities.group_towns(spark.createDataFrame(rows, "id long, dup_group long, ncity int, ccity int")).collect()}
+    assert got == {7: (3, 5), 8: (0, 2)}
+
+
+def test_mail_services_are_found_by_their_boxes(spark):
+    from pagelode.llm.facility import free_mail
+
+    rows = [(f"club{i}@service.test",) for i in range(20)] + [(f"{b}@own.test",) for b in ("info", "office", "hello")] * 20 + [(None,), ("",), ("no address",)]
+    assert free_mail(spark.createDataFrame(rows, "shared string")) == ["service.test"]
+    assert free_mail(spark.createDataFrame([], "shared string")) == []
+
+
+def test_facilities_of_one_brand_and_different_kinds_are_apart(spark):
+    n = (None,) * 5
+    s = facility_pairs(spark, [
+        (1, "Caditotem Bramble Indoor Sports Complex", None, "Rellabrook", *n, None), (2, "Caditotem Bramble Fieldhouse", None, "Rellabrook", *n, None), (3, "Caditotem Bramble Health and Racquet Club", None, "Rellabrook", *n, None),
+        (4, "Caditotem Bramble Ind. Sports Cplx", None, "Rellabrook", *n, None), (5, "Caditotem Bramble", None, "Rellabrook", *n, None),
+    ])
+    assert s[1, 4] > 0.9 and max(s[1, 2], s[1, 3], s[2, 3], s[2, 4], s[3, 4]) < 0.2 and s[1, 5] > 0.5
