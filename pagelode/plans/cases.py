@@ -43,6 +43,11 @@ MAILS = [
     ("Anna Whitfield;Bobby Whitfield", "whitfield@c.test;bobby@c.test", "whitfield@c.test;bobby@c.test"), ("Bobby Whitfield;Anna Whitfield", "whitfield@c.test;bobby@c.test", "whitfield@c.test;"), ("Ann Lee;Bob Lee", "alee@c.test;lee@c.test", "alee@c.test;"),
     ("Ann Lee", "", ""), ("Ann Lee;Ann Lee", "ann.lee@c.test;lee-ann@c.test", "ann.lee@c.test;lee-ann@c.test"), ("Robert Poe", "robertp@c.test", "robertp@c.test"), ("Robert Poe", "info@c.test;123@c.test", ""),
 ]
+OWN_NAMES = [("Marlene Grey Hall", "Grey Hall;Ann Lee", "Ann Lee"), ("Quay Club", "Ann Lee;Quay Lee", "Ann Lee;Quay Lee"), ("", "Ann Lee", "Ann Lee"), (None, "Ann Lee", "Ann Lee"), ("ANN & LEE COURTS", "Ann Lee", "")]
+OWN_MAILS = [
+    ("Dana Grey", "info@c.test;dgrey@c.test", "dgrey@c.test"), ("Dana Grey", "dana@c.test", "dana@c.test"), ("Dana Grey", "danag@c.test;grey@c.test", "danag@c.test"), ("Dana Grey", "zed@c.test", ""), ("", "only@c.test", "only@c.test"),
+    ("", "a@c.test;b@c.test", ""), ("Dana Grey", "", ""), ("", "", ""),
+]
 CITIES = [
     ("12 Oak St, Rochester, NY 14604", "Rochester"), ("Visit us at 9 Elm Avenue Saratoga Springs, NY 12866. Also Troy, NY", "Saratoga Springs"), ("Troy, NY and Albany, NY and Troy, New York", "Troy"), ("nothing here", None), ("1 Main St, Nowhere Hamlet, NY", "Nowhere Hamlet"),
     ("Nowhere Hamlet, NY; Nowhere Hamlet, NY; Troy, NY", "Troy"), ("NYC, NY 10001", "New York"), (None, None), ("7 Broadway, ALBANY, NY", "Albany"),
@@ -81,6 +86,28 @@ def _mails(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("case_no", F.array_join(F.transform(hit, lambda p: p["email"]), ";").alias("value"))
 
 
+def _person(w: Column) -> Column:
+    part = lambda n: F.split_part(w, F.lit(" "), F.lit(n))
+    return F.struct(part(1).alias("first"), part(2).alias("last"))
+
+
+def _listed(c: str) -> Column:
+    return F.filter(F.split(c, ";"), lambda e: e != "")
+
+
+def _own_names(spark: SparkSession, d: str) -> DataFrame:
+    """Persons whose names are words of the facility's own."""
+    rows = spark.createDataFrame([(i + 1, r[0], r[1]) for i, r in enumerate(OWN_NAMES)], "case_no int, name string, who string")
+    kept = X.drop_name_artifacts(F.transform(_listed("who"), _person), "name")
+    return rows.select("case_no", F.array_join(F.transform(kept, lambda p: F.concat(p["first"], F.lit(" "), p["last"])), ";").alias("value"))
+
+
+def _own_mails(spark: SparkSession, d: str) -> DataFrame:
+    """The address of the first person, or the only one where there is no person."""
+    rows = spark.createDataFrame([(i + 1, r[0], r[1]) for i, r in enumerate(OWN_MAILS)], "case_no int, who string, mail string")
+    return rows.select("case_no", X.own_direct_email(F.transform(_listed("who"), _person), _listed("mail")).alias("value"))
+
+
 def _cities(spark: SparkSession, d: str) -> DataFrame:
     sites = _text(spark, CITIES).select(F.col("case_no").alias("site"), F.col("t").alias("text"))
     found = known_cities(sites, spark.createDataFrame([(p,) for p in PLACES], "place string"))
@@ -131,6 +158,8 @@ for _name, (_query, _sql) in {
     "people_cases": _cases(PEOPLE, _people),
     "link_cases": (_links, values_sql(numbered((r[1], r[2]) for r in LINKS), "case_no, href, label")),
     "email_match_cases": (_mails, values_sql(numbered((r[2],) for r in MAILS), "case_no, value")),
+    "name_artifact_cases": (_own_names, values_sql(numbered((r[2],) for r in OWN_NAMES), "case_no, value")),
+    "direct_email_cases": (_own_mails, values_sql(numbered((r[2],) for r in OWN_MAILS), "case_no, value")),
     "city_detect_cases": (_cities, values_sql(numbered((r[1],) for r in CITIES), "case_no, value")),
     "pages_to_master": (_path, values_sql(MASTER_PATH, "facility_name, website, city, number_of_courts, who, title, direct, shared, guess, email_domain, research_notes, sources")),
     "page_faults": (_faults, values_sql([("https://harborclub.test/courts", "status 500"), ("", "no host"), ("https://empty.test/", "status 404")], "url, fault")),

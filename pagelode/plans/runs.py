@@ -13,8 +13,8 @@ from pagelode.plans.cases import values_sql
 from pagelode.plans.discover import answered, candidate_sites
 from pagelode.profile import LISTING_HOSTS, NY_STATEWIDE, QUERY_TEMPLATES
 from pagelode.sources import csvio
-from pagelode.sources.stages import answered_queries, check_inputs, read_seeds, table
-from pagelode.streaming.incremental import refresh
+from pagelode.sources.stages import answered_queries, check_inputs, read_seeds, read_stage, table
+from pagelode.streaming.incremental import refresh, stream_rows
 
 MASTER, OUTREACH = "new_york_indoor_court_facilities", "n8n_indoor_courts_5_row_reference"
 ENGINES = ["one", "two", "three"]
@@ -58,6 +58,17 @@ def resumed_run(spark: SparkSession, d: str) -> DataFrame:
     return refresh(spark, pages, state, "track_row_id", work(2), *args)
 
 
+def streamed_run(spark: SparkSession, d: str) -> DataFrame:
+    """Pages that arrive in two batches of files, the second with those of the first again, worked as a stream: each once."""
+    source, state = scratch(spark), scratch(spark)
+    pages = table(spark, d, OUTREACH).select("track_row_id", "batch_label", F.length(F.coalesce("company_name", F.lit(""))).alias("size"))
+    work = lambda batch: batch.filter(F.col("track_row_id") % 5 != 0).select("track_row_id", "size")
+    for part in (pages.filter("batch_label <= 'B005'"), pages):
+        part.write.mode("append").parquet(source)
+        stream_rows(spark, source, pages.schema, state, work, "track_row_id").awaitTermination()
+    return read_stage(spark, f"{state}/rows", "track_row_id long, size int")
+
+
 def _hits(spark: SparkSession, d: str) -> DataFrame:
     n = F.col("track_row_id")
     return table(spark, d, OUTREACH).select(
@@ -99,6 +110,7 @@ def sqls(host: str) -> dict[str, str]:
         "seed_list": values_sql([("a.test", "https://a.test/later"), ("b.test:8080", "http://b.test:8080/")], "domain, url"),
         "inputs_checked": "SELECT * FROM (VALUES ('documents.parquet', true), ('no_such_table.parquet', false)) v(name, rows_found)",
         "resumed_run": f"SELECT track_row_id, length(coalesce(company_name, '')) AS size, CASE WHEN batch_label <= 'B005' THEN 1 ELSE 2 END AS run FROM {OUTREACH} WHERE track_row_id % 5 <> 0",
+        "streamed_run": f"SELECT track_row_id, length(coalesce(company_name, '')) AS size FROM {OUTREACH} WHERE track_row_id % 5 <> 0",
         "discovery_path": f"""WITH h AS ({hits}), u AS (SELECT * FROM h WHERE ok QUALIFY e = min(e) OVER (PARTITION BY q)), k AS (SELECT *, {host} AS domain FROM u)
 SELECT domain, 'https://' || domain AS url, {cap("company_name")} AS titles, {cap("fit_notes")} AS snippets, {cap("q")} AS queries FROM k WHERE domain <> '' AND NOT regexp_matches(domain, '{listing}') AND NOT regexp_matches(domain, '(?i)\\.(gov|mil|ny\\.us)$') GROUP BY domain""",
         "queries_left": f"WITH h AS ({hits}) SELECT q AS query FROM h GROUP BY q HAVING NOT bool_or(ok AND trim(q, ' ') <> '')",
@@ -107,4 +119,4 @@ SELECT query, market_ord, template_ord FROM (SELECT replace(t, '{{m}}', city_nam
     }
 
 
-QUERIES = {f.__name__: f for f in (csv_round_trip, seed_list, inputs_checked, resumed_run, discovery_path, queries_left, query_fanout)}
+QUERIES = {f.__name__: f for f in (csv_round_trip, seed_list, inputs_checked, resumed_run, streamed_run, discovery_path, queries_left, query_fanout)}
