@@ -234,7 +234,7 @@ def page_title(html: Column | str) -> Column:
         tag = F.regexp_extract(h, "(?i)<title[^>]*>([^<]{2,160})</title>", 1)
         raw = F.when(tag != "", tag).otherwise(meta(h, "og:title"))
         clean = decode_entities(normalize_separators(raw))
-        parts = F.filter(F.transform(F.split(clean, "\\s+[|–—-]\\s+"), F.trim), lambda s: s != "")
+        parts = F.filter(F.transform(F.split(clean, "\\s+[|–—-]\\s+"), lambda s: F.trim(s)), lambda s: s != "")
         named = F.get(F.filter(parts, lambda s: ~generic(s)), 0)
         return let(meta(h, "og:site_name"), lambda site: F.when((site != "") & ~generic(site), F.trim(site)).otherwise(F.trim(F.coalesce(named, F.get(parts, 0), clean))))
 

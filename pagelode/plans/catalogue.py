@@ -21,7 +21,7 @@ from pagelode.operators import rules as rules_
 from pagelode.plans import cases, deliver, runs
 from pagelode.plans.discover import candidate_sites
 from pagelode.profile import (
-    BRAND_STOP_WORDS, ENTITIES, FREE_MAIL_FINAL, FREE_MAIL_SEEN, GUESS_NOTE, HONORIFICS, INDOOR, LISTING_HOSTS, MASTHEADS, NAME_KINDS, NAME_STOP_WORDS, NOT_A_PERSON, OUTDOOR, PAID, PUBLISHER_DOMAINS, RETAIL_SIGNALS,
+    BRAND_STOP_WORDS, ENTITIES, FREE_MAIL_FINAL, FREE_MAIL_SEEN, GENERIC_TITLES, GUESS_NOTE, HONORIFICS, INDOOR, LISTING_HOSTS, MASTHEADS, NAME_KINDS, NAME_STOP_WORDS, NOT_A_PERSON, OUTDOOR, PAID, PUBLISHER_DOMAINS, RETAIL_SIGNALS,
     ROLE_LOCALS, SHARED_LOCALS, SPORTS, STREET_SUFFIXES, STREET_WORDS, TEXT_KINDS, VANITY_LABELS, VENUE_WORDS, WEAK_MASTHEADS,
 )
 from pagelode.sources import csvio
@@ -323,13 +323,17 @@ def people_extract(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("track_row_id", F.explode(X.people("text")).alias("p")).select("track_row_id", "p.*")
 
 
-@query()
+@query(f"""WITH r AS (SELECT facility_row_id, 'Home | ' || replace(replace(coalesce(facility_name, ''), '<', ''), '&amp;', '&') AS t FROM {MASTER}), s AS (SELECT facility_row_id, replace({SEPARATORS_SQL.format(c=repair_sql('t'))}, chr(1), chr(39)) AS s FROM r),
+p AS (SELECT facility_row_id, list_filter(list_transform(string_split_regex({decode_sql('s')}, '\\s+[|–—-]\\s+'), lambda x: trim(x, ' ')), lambda x: x <> '') AS p FROM s)
+SELECT facility_row_id, coalesce(list_filter(p, lambda x: NOT regexp_matches(x, '(?i){GENERIC_TITLES}'))[1], p[1], '') AS title FROM p""")
 def page_title(spark: SparkSession, d: str) -> DataFrame:
     page = F.concat(F.lit("<html><head><title>Home | "), F.replace(F.replace(F.coalesce("facility_name", F.lit("")), F.lit("<"), F.lit("")), F.lit("&amp;"), F.lit("&")), F.lit("</title></head><body/></html>"))
     return table(spark, d, MASTER).select("facility_row_id", X.page_title(page).alias("title"))
 
 
-@query()
+@query(f"""WITH u AS (SELECT facility_row_id, regexp_extract(website, '^(https?://[^/?#]*)', 1) AS root, regexp_replace(regexp_replace(website, '[?#].*$', ''), '^https?://[^/]*', '') AS page, unnest(source_urls) AS u, unnest(range(0, len(source_urls))) AS pos FROM {MASTER} WHERE regexp_matches(website, '^https?://[^/]')),
+h AS (SELECT *, regexp_replace(u, '^https?://[^/]*', '') AS path FROM u)
+SELECT facility_row_id, pos, root || CASE WHEN path <> '' THEN path WHEN page = '' THEN '/' ELSE regexp_replace(page, '[^/]*$', '') END AS href, 'see page' AS text FROM h""")
 def link_explode(spark: SparkSession, d: str) -> DataFrame:
     page = F.array_join(F.transform("source_urls", lambda u: F.concat(F.lit('<a class="x" href="'), F.regexp_replace(u, "^https?://[^/]*", ""), F.lit('">see <b>page</b></a>'))), "\n")
     rows = table(spark, d, MASTER).filter("source_urls is not null and website rlike '^https?://[^/]'").select("facility_row_id", F.posexplode(X.links(page, "website")).alias("pos", "l"))
