@@ -14,9 +14,11 @@ from pagelode.functions.text import let, title_case
 from pagelode.functions.urls import registrable_domain
 from pagelode.operators.facilities import full
 from pagelode.operators.keyed import first_claim, richest_per_key
+from pagelode.operators.skew import spread_left_join
 from pagelode.profile import ROLE_LOCALS
 
 PERSON = "struct<first:string,last:string,title:string,email:string>"
+HOT = 64  # places of a website beyond which they are dealt to several tasks; every place comes out either way
 CANDIDATE = "struct<email:string,type:string,rank:int,published:boolean,first:string,last:string,title:string>"
 
 
@@ -116,15 +118,17 @@ def branches(facilities: DataFrame) -> DataFrame:
 def branches_of(facilities: DataFrame, places: DataFrame) -> DataFrame:
     """branches for locations that stand in a table of their own: places(extras_website, place_no from 1, street, city, zip), facilities with extras_website and n_locations.
 
-    A website's places are never gathered in one row, so one with a large part of all places is no burden."""
+    A website's places are never gathered in one row, and one with more than HOT of them is dealt to several tasks: a chain's branches are
+    its facilities times its places. What is a facility's or a place's own is made before the two meet."""
     n = F.coalesce("n_locations", F.lit(0))
-    seats = places.select("extras_website", "place_no", *[F.coalesce(c, F.lit("")).alias(f"branch_{c}") for c in ("street", "city", "zip")])
-    rows = facilities.join(seats, "extras_website", "left")
-    letter = branch_letter(F.coalesce(F.col("place_no") - 1, F.lit(0)).cast("int"))
+    sites = facilities.withColumns({"is_multi_location": F.when(n > 1, "Yes").otherwise("No"), "location_count": F.greatest(n, F.lit(1)).cast("int")})
+    letter = branch_letter((F.col("place_no") - 1).cast("int")).alias("__letter")
+    seats = places.select("extras_website", "place_no", letter, *[F.coalesce(c, F.lit("")).alias(f"branch_{c}") for c in ("street", "city", "zip")])
+    rows = spread_left_join(sites, seats, "extras_website", "place_no", HOT)
     return rows.withColumns({
-        "location_id": F.concat(F.col("facility_id"), F.lit("-"), letter), "branch_street": F.coalesce("branch_street", F.lit("")), "branch_city": F.when(F.col("place_no").isNull(), full("city")).otherwise(F.col("branch_city")),
-        "branch_zip": F.coalesce("branch_zip", F.lit("")), "is_multi_location": F.when(n > 1, "Yes").otherwise("No"), "location_count": F.greatest(n, F.lit(1)).cast("int"),
-    })
+        "location_id": F.concat(F.col("facility_id"), F.lit("-"), F.coalesce("__letter", F.lit("A"))), "branch_street": F.coalesce("branch_street", F.lit("")),
+        "branch_city": F.coalesce("branch_city", full("city")), "branch_zip": F.coalesce("branch_zip", F.lit("")),
+    }).drop("__letter")
 
 
 def emails_found(known: Column | None = None) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pagelode.operators import contacts as C
 from pagelode.operators import facilities as A
 from pagelode.operators import keyed as K
-from pagelode.operators.skew import bounded_broadcast, salted_join
+from pagelode.operators.skew import bounded_broadcast, salted_join, spread_left_join
 
 MASTER = (
     "ord long, facility_name string, website string, city string, email_domain string, public_direct_email string, shared_facility_email string, decision_maker_first_name string, "
@@ -169,3 +169,19 @@ def test_every_branch_of_a_website_comes_out(spark):
     rows = sorted((r.facility_id, r.location_id, r.branch_street, r.branch_city, r.is_multi_location, r.location_count) for r in C.branches_of(df, places).collect())
     assert len(rows) == 15 and [r[1] for r in rows if r[0] == "NY-0001"] == [f"NY-0001-{c}" for c in "ABCDEFGHIJKLM"] and {r[4:] for r in rows if r[0] == "NY-0001"} == {("Yes", 13)}
     assert rows[13:] == [("NY-0002", "NY-0002-A", "", "Troy", "No", 1), ("NY-0003", "NY-0003-A", "", "", "No", 1)]
+
+
+def test_branches_of_a_chain_are_made_by_several_tasks(spark):
+    df = spark.range(300).select(F.format_string("NY-%04d", "id").alias("facility_id"), F.lit("Rye").alias("city"), F.when(F.col("id") < 290, "w").alias("extras_website"), F.when(F.col("id") < 290, 400).cast("long").alias("n_locations"))
+    places = spark.range(1, 401).select(F.lit("w").alias("extras_website"), F.col("id").alias("place_no"), F.format_string("%d Oak St", "id").alias("street"), F.lit(None).cast("string").alias("city"), F.lit("1").alias("zip"))
+    rows = C.branches_of(df, places).select("facility_id", "location_id", "branch_street", "branch_city", "location_count", F.spark_partition_id().alias("p"))
+    tasks = [r["count"] for r in rows.filter("location_count = 400").groupBy("p").count().collect()]
+    assert sum(tasks) == 290 * 400 and len(tasks) > 1 and max(tasks) < 290 * 400 * 0.8
+    assert rows.select("facility_id", "location_id", "branch_street").distinct().count() == 290 * 400 + 10 and rows.filter("location_count = 1 and branch_city = 'Rye' and location_id like '%-A'").count() == 10
+
+
+def test_spread_left_join_keeps_every_row_once(spark):
+    a = spark.createDataFrame([("hot", i) for i in range(7)] + [("b", 8), (None, 9), ("none", 10)], "k string, i long")
+    b = spark.createDataFrame([("hot", n % 2) for n in range(50)] + [("b", 1), ("c", 2)], "k string, v long")  # two values for ten parts: most parts are empty
+    key = lambda r: (r.k or "", r.i, -1 if r.v is None else r.v)
+    assert sorted(map(key, spread_left_join(a, b, "k", "v", 5).collect())) == sorted(map(key, a.join(b, "k", "left").collect()))
