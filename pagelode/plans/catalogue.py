@@ -743,7 +743,7 @@ def review_rows(spark: SparkSession, d: str) -> DataFrame:
 def location_rows(spark: SparkSession, d: str) -> DataFrame:
     """The 14 columns of the branches of the facilities that go out."""
     kept, _ = kept_facilities(spark, d)
-    return deliver.location_rows(C.branches_of(kept, places_of(spark, d)))
+    return deliver.location_rows(C.branches_of(deliver.location_sites(kept), places_of(spark, d)))
 
 
 @query(f"""SELECT facility_row_id, CASE WHEN regexp_matches(g, '[",\\n\\r]') THEN '"' || replace(g, '"', '""') || '"' ELSE g END AS cell

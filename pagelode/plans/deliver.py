@@ -80,8 +80,16 @@ def review_rows(facilities: DataFrame, known_mails: Column | None = None) -> Dat
     return rows.withColumns(made).select(*[_text(c).alias(c) for c in REVIEW_COLUMNS])
 
 
+def location_sites(facilities: DataFrame) -> DataFrame:
+    """Facilities with their own columns of location_rows as text: made once a facility, not once a branch, of which a chain has very many."""
+    rows = _shared(facilities).withColumn("company_domain", F.col("email_domain"))
+    own = [c for c in LOCATION_COLUMNS if c in rows.columns]
+    return rows.select(*[_text(c).alias(c) for c in own], "city", "extras_website", "n_locations")
+
+
 def location_rows(branch: DataFrame) -> DataFrame:
-    return _shared(branch).withColumn("company_domain", F.col("email_domain")).select(*[_text(c).alias(c) for c in LOCATION_COLUMNS])
+    """Branches of location_sites as they are written."""
+    return branch.select(*[_text(c).alias(c) for c in LOCATION_COLUMNS])
 
 
 def write(rows: DataFrame, path: str) -> None:
