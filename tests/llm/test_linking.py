@@ -1,5 +1,6 @@
 import itertools
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,8 @@ from pagelode.llm import canonical, entities, names, variants
 from pagelode.llm.facility import facility_records, facility_similarity, grams
 from pagelode.llm.linkage import average_linkage
 from pagelode.llm.variants import PERSON_COLS, parse_contacts, person_links, person_similarity, sparse_cosine
+from pagelode.operators.lineage import cut, discard, setting
+from pagelode.operators.skew import BY_PLACE, meeting_join
 
 CITIES = [(1, "Rellabrook"), (2, "West Sorrervale"), (3, "Pennworth Landing"), (4, "Fennshaw Harbor")]
 
@@ -51,6 +54,17 @@ def test_linkage_of_nothing(spark):
     assert average_linkage(spark.createDataFrame([(1, 2, 0.1)], "a long, b long, s double"), 0.5, 0.3).count() == 0
 
 
+def test_pairs_of_a_context_are_summed_up_where_they_meet(spark):
+    rows = spark.range(400).select("id", (F.col("id") % 3).alias("c"), (F.col("id") % 7).alias("k"))
+    with setting(spark, BY_PLACE, "false"):
+        hit = meeting_join(rows.withColumnRenamed("id", "a"), rows.withColumnRenamed("id", "b"), "c", "k", "b", 20)
+        got = hit.groupBy("a", "b", "c", "__part").count().select("a", "b", "count")
+        pairs = sorted(tuple(r) for r in got.collect())
+        plan = got._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[0]
+    assert pairs == [(a, b, 1) for a in range(400) for b in range(400) if (a - b) % 21 == 0]
+    assert plan.count("Exchange hashpartitioning") == plan.count("REPARTITION_BY_NUM") == 2  # no pair is shuffled
+
+
 def test_sparse_cosine_equals_brute_force(spark):
     import math
 
@@ -205,3 +219,20 @@ def test_facilities_of_one_brand_and_different_kinds_are_apart(spark):
         (4, "Caditotem Bramble Ind. Sports Cplx", None, "Rellabrook", *n, None), (5, "Caditotem Bramble", None, "Rellabrook", *n, None),
     ])
     assert s[1, 4] > 0.9 and max(s[1, 2], s[1, 3], s[2, 3], s[2, 4], s[3, 4]) < 0.2 and s[1, 5] > 0.5
+
+
+def test_cut_leaves_no_shuffle_files_and_discard_no_rows(spark):
+    import os
+
+    files = lambda: {f for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString() for _, _, fs in os.walk(d) for f in fs if f.startswith("shuffle_")}
+    before = files()
+    df = cut(spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count())
+    for _ in range(50):
+        if files() <= before:
+            break
+        time.sleep(0.1)
+    assert files() <= before and df.count() == 10
+    path = df._jdf.queryExecution().logical().rdd().getCheckpointFile().get().removeprefix("file:")
+    assert os.path.isdir(path)
+    discard(df)
+    assert not os.path.exists(path)
