@@ -146,8 +146,9 @@ def map_texts(texts: DataFrame, entries: DataFrame, rules: Rules) -> DataFrame:
     small = n <= rules.broadcast_entries
     hint = F.broadcast if small else (lambda x: x)
     parts, words = (cut(x) for x in _vocabulary(entries, n, rules))  # as small as the list, read many times
-    said = texts.select("text", F.explode(tokens(F.col("text"), rules)).alias("token"))
-    rep = _repairs(said.select("token").distinct(), words, rules, small)
+    # read many times below: without the cuts each reading would hold the long expression of tokens, and the driver plans it again
+    said = cut(texts.select("text", F.explode(tokens(F.col("text"), rules)).alias("token")))
+    rep = _repairs(cut(said.select("token").distinct()), words, rules, small)
     idf = parts.select("tok", "idf").distinct()
     rep = cut(rep.join(hint(idf), "tok"))
     top = float(math.log(1 + max(n, 1)))

@@ -236,3 +236,10 @@ def test_cut_leaves_no_shuffle_files_and_discard_no_rows(spark):
     assert os.path.isdir(path)
     discard(df)
     assert not os.path.exists(path)
+
+
+def test_texts_are_split_into_tokens_once(spark):
+    texts, cities = spark.createDataFrame([("Rellabrok",)], "text string"), spark.createDataFrame(CITIES, "entry long, name string")
+    out = canonical.map_texts(texts, cities, canonical.CITY)
+    assert "regexp_replace" not in out._jdf.queryExecution().analyzed().toString()  # the long expression is not planned with the result again
+    assert [(r.text, r.entry) for r in out.collect()] == [("Rellabrok", 1)]
